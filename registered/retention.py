@@ -83,8 +83,8 @@ ARTIFACTS_SQL = """
 
 
 @R.add(f"""
-    SELECT a.event_id, a.database || '/' || a.mode || '/set=' || a.set_token || '/public/t'
-           || a.user_id AS path
+    SELECT a.event_id, a.database || '/' || a.mode || '/public/t' || a.user_id
+           || '/set=' || a.set_token AS path
     FROM ({ARTIFACTS_SQL}) a
     WHERE (a.database, a.mode, a.set_token) IN (
         SELECT (database, mode, set_token) FROM ({RANKED_SQL}) WHERE rn > 7)

@@ -147,8 +147,9 @@ def destination_options(spark, sf_dir):
 @R.add("""
     SELECT event_id, disk, base_path, file_name,
            CASE WHEN base_path = '' THEN path ELSE base_path || '/' || path END AS remote_path
-    FROM (SELECT event_id, event_type || '/incremental/set=' || strftime(ts, '%Y%m%d_%H%M%S')
-                 || '/public/user-' || user_id AS path, 'user-' || user_id AS file_name FROM events),
+    FROM (SELECT event_id, event_type || '/incremental/public/user-' || user_id || '/set='
+                 || strftime(ts, '%Y%m%d_%H%M%S') AS path,
+                 'set=' || strftime(ts, '%Y%m%d_%H%M%S') AS file_name FROM events),
          (VALUES ('s3', 'backups/prod'), ('wasabi', ''), ('gcs', 'fallback/x')) d(disk, base_path)
 """)
 def placement(spark, sf_dir):

@@ -98,11 +98,11 @@ def fanout_copies(spark, sf_dir):
         spark, [Table("main", "events", events)], database="shop", destinations=disks,
         remote_map="a:backups/prod,b:", at=AT, gzip=True, keep_raw=True,
     )
-    below = "shop/full/set=20240201_000000/main/events"
     copies = []
     for disk, base in (("a", f"{root}/a/backups/prod"), ("b", f"{root}/b")):
         for copy, suffix in (("gzip", ""), ("raw", RAW_SUFFIX)):
-            rows = read_artifact(spark, f"{base}/{below}{suffix}", events.schema)
+            path = f"{base}/shop/full/main/events{suffix}/set=20240201_000000"
+            rows = read_artifact(spark, path, events.schema)
             copies.append(
                 rows.agg(
                     F.count(F.lit(1)).alias("n_rows"), F.min("ts").alias("first_ts"),

@@ -80,12 +80,15 @@ def manifest_name(
 def artifact_path(
     database: Column, mode: Column, token: Column, schema_name: Column, table_name: Column
 ) -> Column:
-    """Path of one table's output below a destination base."""
+    """Path of one table's output below a destination base.
+
+    All sets of a table lie side by side, so several of them read as one partitioned table.
+    """
     return F.concat_ws(
         "/",
         sanitise(database),
         sanitise(mode),
-        F.concat(F.lit("set="), token),
         sanitise(schema_name),
         sanitise(table_name),
+        F.concat(F.lit("set="), token),
     )

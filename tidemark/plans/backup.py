@@ -44,12 +44,12 @@ RAW_SUFFIX = ".raw"
 
 @dataclass(frozen=True)
 class Job:
-    """One artifact to write: its rows and its path below every destination base."""
+    """One artifact to write: its rows and its table's folder below every destination base."""
 
     schema_name: str
     table_name: str
     df: DataFrame
-    path: str
+    folder: str
     watermark: str | None = None
     partition_by: Sequence[str] = ()
 
@@ -92,14 +92,14 @@ def _require_distinct(jobs: Sequence[Job]) -> None:
     taken: dict[str, str] = {}
     for job in jobs:
         name = f"{job.schema_name}.{job.table_name}"
-        for path in (job.path, job.path + RAW_SUFFIX):
+        for path in (job.folder, job.folder + RAW_SUFFIX):
             if path in taken:
-                raise ValueError(f"{taken[path]} and {name} have the same path {path}")
+                raise ValueError(f"{taken[path]} and {name} have the same folder {path}")
             taken[path] = name
 
 
 def _write_everywhere(
-    spark: SparkSession, jobs: Sequence[Job], bases: Sequence[str], *,
+    spark: SparkSession, jobs: Sequence[Job], bases: Sequence[str], token: str, *,
     fmt: str, gzip: bool, keep_raw: bool, drop_empty: bool, on_error: str, max_parallel: int,
 ) -> Outcome:
     """Write each artifact once, copy what was written to the other destinations.
@@ -110,9 +110,9 @@ def _write_everywhere(
     first, *others = bases
 
     def one(job: Job) -> tuple[Job, dict | None, Exception | None]:
-        versions = [(job.path, "gzip" if gzip else None)]
+        versions = [(f"{job.folder}/set={token}", "gzip" if gzip else None)]
         if gzip and keep_raw:
-            versions.append((job.path + RAW_SUFFIX, "none"))
+            versions.append((f"{job.folder}{RAW_SUFFIX}/set={token}", "none"))
         try:
             read_at = datetime.now(timezone.utc)
             main, compression = versions[0]
@@ -146,7 +146,7 @@ def _write_everywhere(
             return job, None, error
 
     outcome = Outcome()
-    for job, entry, error in run_jobs(one, jobs, max_parallel):
+    for job, entry, error in run_jobs(spark, one, jobs, max_parallel):
         if error is not None:
             outcome.failed.append(f"{job.schema_name}.{job.table_name}: {error}"[:500])
         elif entry is not None:
@@ -221,7 +221,6 @@ def run_backup(
     first_base = next(iter(bases.values()))
     state_path = state_path or f"{first_base}/_state"
     token = set_token_text(at, note)
-    root = f"{sanitise_text(database)}/{mode}/set={token}"
     name = manifest_name_text(database, driver, mode, token)
     for base in bases.values():
         if Storage(spark).exists(f"{manifest_location(base)}/{name}"):
@@ -230,7 +229,8 @@ def run_backup(
     resume: dict = {}
 
     def table_path(schema_name: str, table_name: str) -> str:
-        return f"{root}/{sanitise_text(schema_name)}/{sanitise_text(table_name)}"
+        parts = [database, mode, schema_name, table_name]
+        return "/".join(sanitise_text(p) for p in parts if p != "")
 
     if mode == INCREMENTAL and driver == "mysql":
         if not changes:
@@ -285,7 +285,7 @@ def run_backup(
                     for s in sorted({t.schema_name for t in chosen})
                 ]
             else:
-                jobs = [Job("", CATALOG_ARTIFACT, rows, f"{root}/{CATALOG_ARTIFACT}")]
+                jobs = [Job("", CATALOG_ARTIFACT, rows, table_path("", CATALOG_ARTIFACT))]
         else:
             jobs = []
             for t in chosen:
@@ -300,7 +300,7 @@ def run_backup(
 
     _require_distinct(jobs)
     outcome = _write_everywhere(
-        spark, jobs, list(bases.values()),
+        spark, jobs, list(bases.values()), token,
         fmt=fmt, gzip=gzip, keep_raw=keep_raw, drop_empty=mode == INCREMENTAL,
         on_error=on_error, max_parallel=max_parallel,
     )

@@ -105,7 +105,7 @@ def read_increments(
     schema = _schema(entries[0])
     if any(_schema(e) != schema for e in entries):
         raise ChainError(f"the columns of {schema_name}.{table_name} changed between increments")
-    root = f"{base.rstrip('/')}/{entries[0].path.split('/set=')[0]}"
+    root = f"{base.rstrip('/')}/{entries[0].path.rpartition('/')[0]}"
     scans = []
     for fmt in sorted({e.format for e in entries}):
         paths = [f"{base.rstrip('/')}/{e.path}" for e in entries if e.format == fmt]

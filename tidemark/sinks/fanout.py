@@ -15,13 +15,15 @@ In = TypeVar("In")
 Out = TypeVar("Out")
 
 
-def run_jobs(work: Callable[[In], Out], items: Iterable[In], max_parallel: int) -> list[Out]:
+def run_jobs(
+    spark: SparkSession, work: Callable[[In], Out], items: Iterable[In], max_parallel: int
+) -> list[Out]:
     """Submit independent Spark jobs from a small thread pool and return results in order.
 
     The first failure is raised once the jobs already running have ended; waiting ones are dropped.
     """
     with ThreadPoolExecutor(max_workers=max_parallel) as pool:
-        futures = [pool.submit(inheritable_thread_target(work), item) for item in items]
+        futures = [pool.submit(inheritable_thread_target(spark)(work), item) for item in items]
         try:
             return [f.result() for f in futures]
         except BaseException:
