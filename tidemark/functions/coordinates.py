@@ -27,18 +27,12 @@ class Coordinate(NamedTuple):
     def order(self) -> tuple[int, int]:
         return self.seq, self.pos
 
-    def with_seq(self, seq: int) -> Coordinate:
-        """The same log's file number `seq`, keeping the suffix width."""
-        head = self.file[: re.search(SEQ_PATTERN, self.file).start()]
-        width = len(self.file) - len(head)
-        return Coordinate(f"{head}{seq:0{width}d}", FIRST_POSITION)
-
 
 def log_seq(file: Column) -> Column:
     """Numeric suffix of a log file name; a name without one fails the query."""
     number = F.regexp_extract(file, SEQ_PATTERN, 1).try_cast("bigint")
     bad = F.raise_error(F.concat(F.lit("log file name has no numeric suffix: "), file)).cast("bigint")
-    return F.when(number.isNotNull(), number).otherwise(bad)
+    return F.coalesce(number, bad)
 
 
 def in_range(seq: Column, pos: Column, start: Coordinate, end: Coordinate) -> Column:

@@ -70,7 +70,7 @@ def manifest_name(
     database: Column, driver: Column, mode: Column, stamp: Column, note: Column | None = None
 ) -> Column:
     """`{database}_{pg|my}_{mode}_{stamp}[_{note}].manifest.json`."""
-    head = F.concat_ws("_", database, driver_abbreviation(driver), F.lower(mode), stamp)
+    head = F.concat_ws("_", sanitise(database), driver_abbreviation(driver), F.lower(mode), stamp)
     tag = F.lit("") if note is None else F.when(
         F.coalesce(note, F.lit("")) != "", F.concat(F.lit("_"), sanitise(F.trim(note)))
     ).otherwise("")

@@ -13,9 +13,17 @@ from pyspark.sql import Column, functions as F
 from tidemark.functions.names import trim_slashes
 
 
+# Fixed value: the characters that count as blank around an option.
+BLANKS = " \t\n\r\0\x0b"
+
+
+def _strip(text: Column) -> Column:
+    return F.btrim(text, F.lit(BLANKS))
+
+
 def csv_list(text: Column) -> Column:
     """Split on commas, trim, drop empty items; NULL gives an empty array."""
-    parts = F.transform(F.split(F.coalesce(text, F.lit("")), ","), F.trim)
+    parts = F.transform(F.split(F.coalesce(text, F.lit("")), ","), lambda x: _strip(x))
     return F.filter(parts, lambda x: x != "")
 
 
@@ -24,13 +32,13 @@ def destination_map(text: Column) -> Column:
 
     The first colon splits a pair; a pair without a colon is left out; an empty path stays.
     """
-    body = F.trim(F.coalesce(text, F.lit("")))
+    body = _strip(F.coalesce(text, F.lit("")))
     pairs = F.filter(csv_list(body), lambda p: F.contains(p, F.lit(":")))
     entries = F.transform(
         pairs,
         lambda p: F.struct(
-            F.trim(F.substring_index(p, ":", 1)).alias("key"),
-            F.trim(F.substr(p, F.position(F.lit(":"), p) + 1)).alias("value"),
+            _strip(F.substring_index(p, ":", 1)).alias("key"),
+            _strip(F.substr(p, F.position(F.lit(":"), p) + 1)).alias("value"),
         ),
     )
     # A disk named twice keeps its last path.
@@ -58,7 +66,7 @@ def base_path(disk: Column, mapping: Column, fallback: Column) -> Column:
 
 def non_negative_int(text: Column) -> Column:
     """NULL or blank stays NULL; anything but a whole number >= 0 fails the query."""
-    cleaned = F.trim(text.cast("string"))
+    cleaned = _strip(text.cast("string"))
     number = cleaned.try_cast("int")
     bad = F.raise_error(F.concat(F.lit("not a non-negative whole number: "), cleaned)).cast("int")
     return (
@@ -72,25 +80,25 @@ def parse_list(value: str | Iterable[str] | None) -> list[str]:
     if value is None:
         return []
     items = value.split(",") if isinstance(value, str) else value
-    return [item.strip() for item in items if item.strip() != ""]
+    return [item.strip(BLANKS) for item in items if item.strip(BLANKS) != ""]
 
 
 def parse_destination_map(value: str | Mapping[str, str] | None) -> dict[str, str]:
-    if value is None or isinstance(value, str) and value.strip() == "":
+    if value is None or isinstance(value, str) and value.strip(BLANKS) == "":
         return {}
-    if isinstance(value, str) and value.strip().startswith("{"):
+    if isinstance(value, str) and value.strip(BLANKS).startswith("{"):
         value = json.loads(value)
     if isinstance(value, Mapping):
         return {str(disk): str(path or "").strip("/") for disk, path in value.items()}
     split = [item.partition(":") for item in parse_list(value)]
-    return {disk.strip(): path.strip().strip("/") for disk, colon, path in split if colon}
+    return {disk.strip(BLANKS): path.strip(BLANKS).strip("/") for disk, colon, path in split if colon}
 
 
 def parse_count(value: int | str | None, name: str) -> int | None:
     """Retention numbers: a typo must never become 0, which would delete everything."""
-    if value is None or (isinstance(value, str) and value.strip() == ""):
+    if value is None or (isinstance(value, str) and value.strip(BLANKS) == ""):
         return None
-    text = str(value).strip()
+    text = str(value).strip(BLANKS)
     if isinstance(value, bool) or not (text.isascii() and text.isdigit()):
         raise ValueError(f"{name} must be a non-negative whole number, got {value!r}")
     return int(text)

@@ -52,12 +52,24 @@ def log_end_row(changes: DataFrame) -> DataFrame:
     return last.filter(F.col("last").isNotNull()).select("last.file", "last.seq", "last.pos")
 
 
-def log_end(changes: DataFrame) -> Coordinate:
-    """Coordinate just past the last event: the exclusive end of a slice taken now."""
-    row = log_end_row(changes).first()
-    if row is None:
-        raise LogGapError("the change log is empty or not accessible")
-    return Coordinate(row.file, row.pos + 1)
+def log_end(changes: DataFrame, from_seq: int | None = None) -> Coordinate:
+    """Coordinate just past the last event: the exclusive end of a slice taken now.
+
+    The last file is found first and only that file's positions are read. A run that resumes
+    passes the file it starts in, and earlier ones are not looked at.
+    """
+    log = with_seq(changes)
+    if from_seq is not None:
+        log = log.filter(F.col("seq") >= from_seq)
+    top = log.agg(F.max("seq").alias("seq")).first().seq
+    if top is None:
+        raise LogGapError(
+            "the change log is empty or not accessible"
+            if from_seq is None
+            else f"the change log ends before file number {from_seq}; was it reset?"
+        )
+    last = log_end_row(log.filter(F.col("seq") == top)).first()
+    return Coordinate(last.file, last.pos + 1)
 
 
 def start_of_current(end: Coordinate) -> Coordinate:
@@ -70,10 +82,16 @@ def log_slice(changes: DataFrame, start: Coordinate, end: Coordinate) -> DataFra
     return with_seq(changes).filter(in_range(F.col("seq"), F.col("pos"), start, end))
 
 
-def log_gaps(changes: DataFrame, first_seq: int, last_seq: int) -> DataFrame:
-    """Files of the range, both boundaries included, that the log does not hold."""
+def log_gaps(
+    changes: DataFrame, first_seq: int, last_seq: int, files: DataFrame | None = None
+) -> DataFrame:
+    """Files of the range, both boundaries included, that the log does not hold.
+
+    `files` is a list of the log's files (column `file`), for a log where a file may hold no
+    change of the tables at hand; without it, the files are those the changes come from.
+    """
     present = (
-        with_seq(changes)
+        with_seq(changes if files is None else files)
         .filter(F.col("seq").between(first_seq, last_seq))
         .select("seq")
         .distinct()
@@ -82,11 +100,13 @@ def log_gaps(changes: DataFrame, first_seq: int, last_seq: int) -> DataFrame:
     return expected.join(present, "seq", "left_anti")
 
 
-def require_complete(changes: DataFrame, start: Coordinate, end: Coordinate) -> None:
+def require_complete(
+    changes: DataFrame, start: Coordinate, end: Coordinate, files: DataFrame | None = None
+) -> None:
     """Fail when the range runs backwards (the log was reset) or a file in it is missing."""
     if start.order > end.order:
         raise LogGapError(f"log starts after its end: {start} > {end}; was the log reset?")
-    missing = log_gaps(changes, start.seq, end.seq)
+    missing = log_gaps(changes, start.seq, end.seq, files)
     shown = [r.seq for r in missing.orderBy("seq").limit(SHOWN_GAPS).collect()]
     if shown:
         raise LogGapError(f"log files missing between {start.file} and {end.file}, first: {shown}")

@@ -21,7 +21,7 @@ from tidemark.operators.changes import (
     require_complete,
     start_of_current,
 )
-from tidemark.operators.incremental import incremental_extract, resume_window
+from tidemark.operators.incremental import Window, incremental_extract, resume_window
 from tidemark.operators.placement import destination_bases
 from tidemark.operators.selection import select_schemas, select_tables
 from tidemark.plans.retention import apply_retention
@@ -54,11 +54,20 @@ class Job:
     partition_by: Sequence[str] = ()
 
 
+@dataclass
+class RunPlan:
+    """What a run writes, what its manifest says about it, and the state it leaves."""
+
+    jobs: list[Job]
+    meta: dict
+    resume: dict = field(default_factory=dict)
+
+
 @dataclass
 class Outcome:
     entries: list[dict] = field(default_factory=list)
     files: list[str] = field(default_factory=list)
-    failed: list[str] = field(default_factory=list)
+    failed: dict[str, str] = field(default_factory=dict)
 
 
 def _canonical_driver(driver: str) -> str:
@@ -69,25 +78,86 @@ def _canonical_driver(driver: str) -> str:
 
 
 def _chosen_tables(
-    spark: SparkSession,
-    tables: Sequence[Table],
-    names: DataFrame,
-    *,
-    include_schemas=None,
-    exclude_schemas=None,
-    include_tables=None,
-    exclude_tables=None,
+    tables: Sequence[Table], names: DataFrame, include: str | Iterable[str] | None,
+    exclude: str | Iterable[str] | None,
 ) -> list[Table]:
     """Tables whose names pass the filters. Only names come to the driver, to submit their jobs."""
-    chosen = select_tables(
-        select_schemas(names, include_schemas, exclude_schemas), include_tables, exclude_tables
-    )
-    wanted = {(r.schema_name, r.table_name) for r in chosen.collect()}
+    wanted = {(r.schema_name, r.table_name) for r in select_tables(names, include, exclude).collect()}
     return sorted(
         (t for t in tables if (t.schema_name, t.table_name) in wanted), key=lambda t: t.name
     )
 
 
+def _folder(database: str, mode: str, schema_name: str, table_name: str) -> str:
+    parts = (database, mode, schema_name, table_name)
+    return "/".join(sanitise_text(p) for p in parts if p != "")
+
+
+def snapshot_plan(database: str, tables: Sequence[Table], upper: datetime, log: DataFrame | None) -> RunPlan:
+    """Every table whole."""
+    meta = {"upper_utc": iso(upper)}
+    if log is not None:
+        meta["to"] = log_end(log)._asdict()
+    jobs = [
+        Job(t.schema_name, t.table_name, t.df, _folder(database, FULL, t.schema_name, t.table_name))
+        for t in tables
+    ]
+    return RunPlan(jobs, meta)
+
+
+def schema_plan(
+    spark: SparkSession, database: str, tables: Sequence[Table], upper: datetime, per_schema: bool
+) -> RunPlan:
+    """The columns of every table as one catalog, or as one per schema."""
+    rows = catalog_columns(spark, tables).coalesce(1)
+    if per_schema:
+        parts = {s: rows.filter(F.col("schema_name") == s) for s in {t.schema_name for t in tables}}
+    else:
+        parts = {"": rows}
+    jobs = [
+        Job(s, CATALOG_ARTIFACT, part, _folder(database, SCHEMA, s, CATALOG_ARTIFACT))
+        for s, part in sorted(parts.items())
+    ]
+    return RunPlan(jobs, {"upper_utc": iso(upper)})
+
+
+def watermark_plan(database: str, tables: Sequence[Table], column: str, window: Window) -> RunPlan:
+    """The rows of every table that changed within the window."""
+    jobs = [
+        Job(
+            t.schema_name, t.table_name, incremental_extract(t.df, column, *window),
+            _folder(database, INCREMENTAL, t.schema_name, t.table_name), watermark=column,
+        )
+        for t in tables
+    ]
+    meta = {
+        "incremental_type": WATERMARK_INCREMENT,
+        "since_utc": iso(window.since),
+        "next_since_utc": iso(window.upper),
+    }
+    return RunPlan(jobs, meta, {"since": window.upper})
+
+
+def log_plan(
+    database: str, changes: Sequence[Table], start: Coordinate | None,
+    files: DataFrame | None, cluster: bool,
+) -> RunPlan:
+    """The slice of every change table from `start` to where the log ends now."""
+    log = log_coordinates(changes)
+    end = log_end(log, start.seq if start else None)
+    start = start or start_of_current(end)
+    require_complete(log, start, end, files)
+    jobs = [
+        Job(
+            t.schema_name, t.table_name, ordered_slice(log_slice(t.df, start, end), cluster),
+            _folder(database, INCREMENTAL, t.schema_name, t.table_name), partition_by=("seq",),
+        )
+        for t in changes
+    ]
+    meta = {"incremental_type": LOG_INCREMENT, "from": start._asdict(), "to": end._asdict()}
+    return RunPlan(jobs, meta, {"coordinate": end})
+
+
 def _require_distinct(jobs: Sequence[Job]) -> None:
     taken: dict[str, str] = {}
     for job in jobs:
@@ -148,7 +218,7 @@ def _write_everywhere(
     outcome = Outcome()
     for job, entry, error in run_jobs(spark, one, jobs, max_parallel):
         if error is not None:
-            outcome.failed.append(f"{job.schema_name}.{job.table_name}: {error}"[:500])
+            outcome.failed[f"{job.schema_name}.{job.table_name}"] = str(error)
         elif entry is not None:
             outcome.entries.append(entry)
             outcome.files += [p for p in (entry["path"], entry["raw_path"]) if p]
@@ -178,6 +248,7 @@ def run_backup(
     since: datetime | str | None = None,
     lookback: timedelta = timedelta(0),
     changes: Sequence[Table] = (),
+    log_files: DataFrame | None = None,
     log_start: Coordinate | None = None,
     cluster_changes: bool = False,
     remote_map: str | Mapping[str, str] | None = None,
@@ -198,6 +269,7 @@ def run_backup(
 
     `changes` are change tables, one per source table, that share one coordinate space; a log
     increment slices them, and a full set records where the log stood before its tables were read.
+    `log_files` lists the log's files where some hold no change of these tables.
 
     `at` is the run's clock: the set stamp, the upper bound of a watermark increment and the
     instant retention counts ages from. Tables are read one by one, not in one transaction; the
@@ -210,6 +282,8 @@ def run_backup(
         raise ValueError(f"unknown on_error {on_error!r}")
     if not destinations:
         raise ValueError("at least one destination is needed")
+    if (include_schemas or exclude_schemas) and not per_schema:
+        raise ValueError("schema filters go with per_schema")
     driver = _canonical_driver(driver)
     # Checked before any data moves, so that a typo cannot fail a run that has already written.
     if not isinstance(retention_keep, int):
@@ -225,82 +299,33 @@ def run_backup(
     for base in bases.values():
         if Storage(spark).exists(f"{manifest_location(base)}/{name}"):
             raise FileExistsError(f"{name} is already recorded at {base}")
-    meta: dict = {}
-    resume: dict = {}
-
-    def table_path(schema_name: str, table_name: str) -> str:
-        parts = [database, mode, schema_name, table_name]
-        return "/".join(sanitise_text(p) for p in parts if p != "")
 
     if mode == INCREMENTAL and driver == "mysql":
         if not changes:
             raise ValueError("a log increment needs change tables")
-        log = log_coordinates(changes)
-        end = log_end(log)
-        start = (
-            log_start
-            or load_coordinate(spark, state_path, connection, driver)
-            or start_of_current(end)
-        )
-        require_complete(log, start, end)
-        jobs = [
-            Job(t.schema_name, t.table_name,
-                ordered_slice(log_slice(t.df, start, end), cluster_changes),
-                table_path(t.schema_name, t.table_name), partition_by=("seq",))
-            for t in changes
-        ]
-        meta = {"incremental_type": LOG_INCREMENT, "from": start._asdict(), "to": end._asdict()}
-        resume = {"coordinate": end}
+        start = log_start or load_coordinate(spark, state_path, connection, driver)
+        plan = log_plan(database, changes, start, log_files, cluster_changes)
+    elif mode == INCREMENTAL:
+        saved = load_since(spark, state_path, connection, driver) if since is None else None
+        window = resume_window(at, since=since, saved=saved, lookback=lookback)
+        names = watermark_tables(catalog_columns(spark, tables), watermark_column)
+        chosen = _chosen_tables(tables, names, include_tables, exclude_tables)
+        plan = watermark_plan(database, chosen, watermark_column, window)
     else:
-        catalog = catalog_columns(spark, tables)
-        if mode == INCREMENTAL:
-            names = watermark_tables(catalog, watermark_column)
-            saved = load_since(spark, state_path, connection, driver) if since is None else None
-            window = resume_window(at, since=since, saved=saved, lookback=lookback)
-            meta = {
-                "incremental_type": WATERMARK_INCREMENT,
-                "since_utc": iso(window.since),
-                "next_since_utc": iso(window.upper),
-            }
-            resume = {"since": window.upper}
-        else:
-            names = user_tables(catalog)
-            meta = {"upper_utc": iso(at)}
-            if changes:
-                meta["to"] = log_end(log_coordinates(changes))._asdict()
-            if not per_schema and (include_schemas or exclude_schemas):
-                raise ValueError("schema filters go with per_schema")
-        chosen = _chosen_tables(
-            spark, tables, names,
-            include_schemas=include_schemas if mode != INCREMENTAL else None,
-            exclude_schemas=exclude_schemas if mode != INCREMENTAL else None,
-            include_tables=include_tables, exclude_tables=exclude_tables,
-        )
+        names = user_tables(catalog_columns(spark, tables))
+        if per_schema:
+            names = select_schemas(names, include_schemas, exclude_schemas)
+        chosen = _chosen_tables(tables, names, include_tables, exclude_tables)
         if mode == SCHEMA:
-            rows = catalog_columns(spark, chosen).coalesce(1)
-            if per_schema:
-                jobs = [
-                    Job(s, CATALOG_ARTIFACT, rows.filter(F.col("schema_name") == s),
-                        table_path(s, CATALOG_ARTIFACT))
-                    for s in sorted({t.schema_name for t in chosen})
-                ]
-            else:
-                jobs = [Job("", CATALOG_ARTIFACT, rows, table_path("", CATALOG_ARTIFACT))]
+            plan = schema_plan(spark, database, chosen, at, per_schema)
         else:
-            jobs = []
-            for t in chosen:
-                rows, column = t.df, None
-                if mode == INCREMENTAL:
-                    column = watermark_column
-                    rows = incremental_extract(t.df, column, window.since, window.upper)
-                jobs.append(
-                    Job(t.schema_name, t.table_name, rows,
-                        table_path(t.schema_name, t.table_name), column)
-                )
+            plan = snapshot_plan(
+                database, chosen, at, log_coordinates(changes) if changes else None
+            )
 
-    _require_distinct(jobs)
+    _require_distinct(plan.jobs)
     outcome = _write_everywhere(
-        spark, jobs, list(bases.values()), token,
+        spark, plan.jobs, list(bases.values()), token,
         fmt=fmt, gzip=gzip, keep_raw=keep_raw, drop_empty=mode == INCREMENTAL,
         on_error=on_error, max_parallel=max_parallel,
     )
@@ -314,13 +339,15 @@ def run_backup(
         "gzip": gzip,
         "note": note,
         "files": outcome.files,
-        "meta": meta | {"tables": outcome.entries, "failed": outcome.failed},
+        "meta": plan.meta | {
+            "tables": outcome.entries, "failed": list(outcome.failed), "errors": outcome.failed,
+        },
     }
     for base in bases.values():
         write_manifest(spark, base, name, manifest)
 
-    if resume and not outcome.failed:
-        save_state(spark, state_path, connection, driver, token, at, **resume)
+    if plan.resume and not outcome.failed:
+        save_state(spark, state_path, connection, driver, token, at, **plan.resume)
 
     if retention_keep is not None or retention_days is not None:
         apply_retention(

@@ -31,43 +31,60 @@ class Chain(NamedTuple):
 
 
 def backup_chain(
-    spark: SparkSession, base: str, database: str, driver: str, until: datetime | str
+    spark: SparkSession,
+    base: str,
+    database: str,
+    driver: str,
+    until: datetime | str,
+    table: tuple[str, str] | None = None,
 ) -> Chain:
     """The last full set stamped at or before `until` and every later increment up to it.
 
-    The rows are the chain of one database: as many as increments since its last full set.
+    With `table`, the last full set that holds it. The rows are the chain of one database: as
+    many as there are increments since that set.
     """
     sets = parsed_meta(read_manifests(spark, base)).filter(
         (F.col("database") == database) & (F.col("driver") == driver)
         & (F.col("set_ts") <= stamp(until))
     )
-    full = (
-        sets.filter(F.col("mode") == FULL).orderBy(F.desc("set_ts"), F.desc("manifest")).first()
-    )
+    full_sets = sets.filter(F.col("mode") == FULL)
+    if table is not None:
+        schema_name, table_name = table
+        full_sets = full_sets.filter(
+            F.exists(
+                "info.tables",
+                lambda t: (t["schema_name"] == schema_name) & (t["table_name"] == table_name),
+            )
+        )
+    full = full_sets.orderBy(F.desc("set_ts"), F.desc("manifest")).first()
     if full is None:
         raise ChainError(f"no full set of {database} at or before {until}")
     later = sets.filter((F.col("mode") == INCREMENTAL) & (F.col("set_ts") > full.set_ts))
     return Chain(full, later.orderBy("set_ts", "manifest").collect())
 
 
-def require_joined(chain: Chain) -> None:
-    """Each increment must start no later than where the one before it, or the full set, ended."""
+def require_joined(chain: Chain, table_name: str) -> None:
+    """Each increment must start no later than where the one before it, or the full set, ended.
+
+    An increment that failed for this table counts for nothing: a later one has to make up for it.
+    """
     full = chain.full.info
     reached = full.upper_utc
     position = Coordinate(*full["to"]).order if full["to"] is not None else None
     for increment in chain.increments:
         info = increment.info
-        if info.failed:
-            raise ChainError(f"{increment.manifest} lacks tables: {list(info.failed)}")
+        lost = table_name in (info.failed or [])
         if info.incremental_type == LOG_INCREMENT:
             start, end = Coordinate(*info["from"]).order, Coordinate(*info["to"]).order
             joined = position is None or start <= position
-            position = end if position is None else max(position, end)
+            position = position if lost else end if position is None else max(position, end)
         else:
             joined = reached is None or info.since_utc <= reached
-            reached = max(reached or info.next_since_utc, info.next_since_utc)
+            reached = reached if lost else max(reached or info.next_since_utc, info.next_since_utc)
         if not joined:
             raise ChainError(f"{increment.manifest} does not join what was extracted before it")
+    if chain.increments and table_name in (chain.increments[-1].info.failed or []):
+        raise ChainError(f"{chain.increments[-1].manifest} failed for {table_name}")
 
 
 def _entry(manifest: Row, schema_name: str, table_name: str) -> Row | None:
@@ -133,8 +150,8 @@ def restore_table(
     Watermark increments are upserted, so deletes between full sets are not seen; change slices
     are replayed in log order, deletes included.
     """
-    chain = backup_chain(spark, base, database, driver, until)
-    require_joined(chain)
+    chain = backup_chain(spark, base, database, driver, until, (schema_name, table_name))
+    require_joined(chain, f"{schema_name}.{table_name}")
     table = restore_snapshot(spark, base, chain.full, schema_name, table_name)
     changed = read_increments(spark, base, chain.increments, schema_name, table_name)
     if changed is None:

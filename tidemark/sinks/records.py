@@ -21,7 +21,7 @@ def set_token_text(at: datetime, note: str | None = None) -> str:
 
 
 def manifest_name_text(database: str, driver: str, mode: str, token: str) -> str:
-    return f"{database}_{DRIVER_ABBREVIATIONS[driver]}_{mode}_{token}{MANIFEST_SUFFIX}"
+    return f"{sanitise_text(database)}_{DRIVER_ABBREVIATIONS[driver]}_{mode}_{token}{MANIFEST_SUFFIX}"
 
 
 def write_manifest(spark: SparkSession, base: str, name: str, manifest: dict) -> str:
