@@ -54,7 +54,7 @@ def upsert(
     if check_keys:
         require_keys(increment, keys, "increment")
         require_keys(base, keys, "base")
-    untouched = base.join(increment.select(*keys), list(keys), "left_anti")
+    untouched = base.join(increment.select(*keys), list(keys), "left_anti").select(*base.columns)
     return untouched.unionByName(increment, allowMissingColumns=allow_missing_columns)
 
 
@@ -76,7 +76,7 @@ def apply_changes(
         require_keys(base, keys, "base")
     latest = latest_changes(changes, keys, order)
     kept = latest.filter(~F.coalesce(F.col(op_column).isin(list(delete_ops)), F.lit(False)))
-    untouched = base.join(latest.select(*keys), list(keys), "left_anti")
+    untouched = base.join(latest.select(*keys), list(keys), "left_anti").select(*base.columns)
     return untouched.unionByName(kept.select(*base.columns))
 
 
@@ -90,4 +90,5 @@ def upsert_partitions(
     if not set(partition_keys) <= set(keys):
         raise ValueError("partition columns must be part of the key")
     touched = increment.select(*partition_keys).distinct()
-    return upsert(target.join(touched, list(partition_keys), "left_semi"), increment, keys)
+    affected = target.join(touched, list(partition_keys), "left_semi").select(*target.columns)
+    return upsert(affected, increment, keys)
