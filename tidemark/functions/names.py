@@ -17,8 +17,7 @@ DRIVER_ALIASES = {"pgsql": "pgsql", "mysql": "mysql", "mariadb": "mysql"}
 
 def set_token(manifest_name: Column) -> Column:
     """Token of a manifest name, NULL where the name carries none."""
-    token = F.regexp_extract(manifest_name, TOKEN_PATTERN, 1)
-    return F.when(token != "", token)
+    return F.nullif(F.regexp_extract(manifest_name, TOKEN_PATTERN, 1), F.lit(""))
 
 
 def set_ts(token: Column) -> Column:
@@ -70,11 +69,11 @@ def manifest_name(
     database: Column, driver: Column, mode: Column, stamp: Column, note: Column | None = None
 ) -> Column:
     """`{database}_{pg|my}_{mode}_{stamp}[_{note}].manifest.json`."""
-    head = F.concat_ws("_", sanitise(database), driver_abbreviation(driver), F.lower(mode), stamp)
-    tag = F.lit("") if note is None else F.when(
-        F.coalesce(note, F.lit("")) != "", F.concat(F.lit("_"), sanitise(F.trim(note)))
-    ).otherwise("")
-    return F.concat(head, tag, F.lit(MANIFEST_SUFFIX))
+    parts = [sanitise(database), driver_abbreviation(driver), F.lower(mode), stamp]
+    if note is not None:
+        # concat_ws leaves out a part that is NULL.
+        parts.append(F.nullif(sanitise(F.trim(note)), F.lit("")))
+    return F.concat(F.concat_ws("_", *parts), F.lit(MANIFEST_SUFFIX))
 
 
 def artifact_path(

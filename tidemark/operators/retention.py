@@ -44,9 +44,10 @@ def _cut_by_counts(sets: DataFrame, family: Sequence[str], keep: int) -> DataFra
     its name.
 
     Only counts are ordered in a window: as many rows per family as there are days, then seconds
-    of one day, then names within one second.
+    of one day, then names within one second. The names are stored once for the three passes.
     """
     sets = sets.withColumn("day", F.substring("set_ts", 1, DAY_LENGTH))
+    sets = materialise(sets, "retention-names").filter(F.col("set_ts").isNotNull())
     rows, carried = sets.withColumn("need", F.lit(keep).cast("bigint")), list(family)
     for level in ("day", "set_ts", "manifest"):
         counts = rows.groupBy(*carried, level).agg(
@@ -75,32 +76,36 @@ def flag_expired(
     as_of: datetime | str | None = None,
     family: Sequence[str] = FAMILY,
 ) -> DataFrame:
-    """Parsed manifests with `by_keep`, `by_age` and `expired`, their union.
+    """The manifests with `by_keep`, `by_age` and `expired`, their union.
 
     The two rules are one predicate on each row, so nothing is unioned or made distinct. Only the
-    cut of each family is computed; it is stored, and joined by its measured size.
+    cut of each family is computed; it is stored, and joined by its measured size. A row without
+    a token sorts behind all others in its family and is neither old nor surplus.
     """
     days = parse_count(days, "days")
     if not isinstance(keep, int) or isinstance(keep, bool):
         keep = parse_count(keep, "keep")
     if days is not None and as_of is None:
         raise ValueError("days needs as_of, the instant that ages are counted from")
-    sets = manifests.filter(F.col("set_token").isNotNull())
-    by_age = F.lit(False) if days is None else F.col("set_ts") < cutoff_stamp(as_of, days)
+    by_age = F.lit(False)
+    if days is not None:
+        by_age = F.coalesce(F.col("set_ts") < cutoff_stamp(as_of, days), F.lit(False))
     if keep is None or keep < 0:
-        flagged = sets.withColumn("by_keep", F.lit(False))
+        flagged = manifests.withColumn("by_keep", F.lit(False))
     elif keep == 0:
-        flagged = sets.withColumn("by_keep", F.lit(True))
+        flagged = manifests.withColumn("by_keep", F.col("set_token").isNotNull())
     else:
-        narrow = sets.select(*family, "set_ts", "manifest")
-        limit = int(sets.sparkSession.conf.get(GROUP_LIMIT_CONF))
+        narrow = manifests.select(*family, "set_ts", "manifest")
+        limit = int(manifests.sparkSession.conf.get(GROUP_LIMIT_CONF))
         if keep <= limit:
             cut = materialise(_cut_by_rank(narrow, family, keep), "retention-cut")
         else:
             cut = _cut_by_counts(narrow, family, keep)
+        # Structs order NULL first instead of comparing to NULL, hence the separate test.
         older = F.struct("s.set_ts", "s.manifest") < F.struct("c.set_ts", "c.manifest")
+        older = F.col("s.set_ts").isNotNull() & older
         flagged = (
-            sets.alias("s")
+            manifests.alias("s")
             .join(cut.alias("c"), _same_family(family, "s", "c"), "left")
             .select("s.*", F.coalesce(older, F.lit(False)).alias("by_keep"))
         )

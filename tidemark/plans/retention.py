@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.operators.retention import expired_sets
 from tidemark.sinks.removal import remove_sets
 from tidemark.sources.manifests import manifest_location, read_manifests
-from tidemark.workspace import Storage
+from tidemark.workspace import Storage, materialise
 
 
 def all_manifests(spark: SparkSession, bases: Mapping[str, str]) -> DataFrame | None:
@@ -47,6 +47,8 @@ def apply_retention(
     for name, value in (("database", database), ("driver", driver), ("mode", mode)):
         if value is not None:
             manifests = manifests.filter(F.col(name) == value)
+    # Documents are parsed once; the passes over them read the stored rows.
+    manifests = materialise(manifests, "manifests")
     return remove_sets(
         spark, expired_sets(manifests, keep=keep, days=days, as_of=as_of), bases, dry_run
     )
