@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.coordinates import Coordinate
 from tidemark.operators import changes as ch
-from tidemark.operators.incremental import incremental_extract, resume_window
+from tidemark.operators.incremental import highest_watermark, incremental_extract, resume_window
 from tidemark.operators.restore import InvalidKeyError, apply_changes, upsert, upsert_partitions
 from tidemark.sinks.formats import read_artifact, write_artifact
 from tidemark.workspace import work_dir
@@ -156,6 +156,22 @@ def test_extract_bounds(spark, kind):
     assert days("2024-01-03", "2024-01-03") == []
 
 
+def test_highest_watermark_is_utc_in_any_session(spark):
+    micros = 1_759_226_400_123_456
+    ltz = spark.range(1).select(F.timestamp_micros(F.lit(micros)).alias("c"))
+    ntz = spark.range(1).select(F.expr("TIMESTAMP_NTZ '2025-09-30 10:00:00.123456'").alias("c"))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        tops = [highest_watermark(df, "c") for df in (ltz, ntz)]
+        written = write_artifact(ltz, work_dir(spark, "t"), watermark="c")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [t.isoformat() for t in tops] == ["2025-09-30T10:00:00.123456+00:00"] * 2
+    assert written.max_watermark == "2025-09-30 10:00:00.123456"
+    assert highest_watermark(ltz.limit(0), "c") is None
+
+
 def test_extract_needs_a_time_column(spark):
     with pytest.raises(TypeError):
         incremental_extract(spark.range(1), "id", "2024-01-01")

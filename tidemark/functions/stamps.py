@@ -42,6 +42,14 @@ def cutoff_stamp(as_of: datetime | str, days: int) -> str:
     return stamp(as_utc(as_of) - timedelta(days=days))
 
 
+def utc_text(ts: Column, data_type: T.DataType) -> Column:
+    """A watermark value as text in UTC clock time, whatever the session's time zone."""
+    if isinstance(data_type, T.TimestampType):
+        seconds = (F.unix_micros(ts) / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+        ts = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + F.make_dt_interval(secs=seconds)
+    return ts.cast("string")
+
+
 def typed_literal(value: datetime | str, data_type: T.DataType) -> Column:
     """The instant as a literal of the watermark column's own type, so that it can be pushed down.
 

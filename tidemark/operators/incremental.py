@@ -9,7 +9,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions.stamps import DEFAULT_WINDOW, as_utc, typed_literal
+from tidemark.functions.stamps import DEFAULT_WINDOW, as_utc, typed_literal, utc_text
 
 
 class Window(NamedTuple):
@@ -67,5 +67,5 @@ def extract_summary(extracts: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
 
 def highest_watermark(df: DataFrame, column: str) -> datetime | None:
     """The single highest watermark value as an aware UTC instant."""
-    row = df.agg(F.max(column).cast("string").alias("top")).first()
+    row = df.agg(utc_text(F.max(column), df.schema[column].dataType).alias("top")).first()
     return as_utc(row.top) if row.top is not None else None

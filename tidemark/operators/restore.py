@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators.changes import DELETE_OPS, latest_changes
+from tidemark.workspace import materialise
 
 SHOWN_KEYS = 5
 
@@ -85,10 +86,12 @@ def upsert_partitions(
 ) -> DataFrame:
     """The new content of just those partitions of `target` that the increment touches.
 
-    The partition columns must be part of the key, so that no row can change partition.
+    The partition columns must be part of the key, so that no row can change partition. The
+    touched partition values are stored first: their known size lets Spark broadcast them and
+    prune a target stored by these columns, instead of shuffling it on a handful of values.
     """
     if not set(partition_keys) <= set(keys):
         raise ValueError("partition columns must be part of the key")
-    touched = increment.select(*partition_keys).distinct()
+    touched = materialise(increment.select(*partition_keys).distinct(), "touched-partitions")
     affected = target.join(touched, list(partition_keys), "left_semi").select(*target.columns)
     return upsert(affected, increment, keys)

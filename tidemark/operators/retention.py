@@ -127,8 +127,12 @@ def expired_tokens(expired: DataFrame, family: Sequence[str] = FAMILY) -> DataFr
 def expired_artifacts(
     expired: DataFrame, artifacts: DataFrame, family: Sequence[str] = FAMILY
 ) -> DataFrame:
-    """Artifacts of expired sets, by exact equality on the family and the token."""
-    return artifacts.join(expired_tokens(expired, family), [*family, "set_token"], "left_semi")
+    """Artifacts of expired sets, by exact equality on the family and the token.
+
+    The tokens are stored first and joined by their measured size.
+    """
+    tokens = materialise(expired_tokens(expired, family), "expired-tokens")
+    return artifacts.join(tokens, [*family, "set_token"], "left_semi").select(*artifacts.columns)
 
 
 def expired_counts(expired: DataFrame) -> DataFrame:

@@ -63,24 +63,32 @@ def backup_chain(
     return Chain(full, later.orderBy("set_ts", "manifest").collect())
 
 
+def _instant(value: datetime | None) -> float | None:
+    # Rows carry local clock times, which repeat for an hour where clocks are set back.
+    return value.timestamp() if value is not None else None
+
+
 def require_joined(chain: Chain, table_name: str) -> None:
     """Each increment must start no later than where the one before it, or the full set, ended.
 
     An increment that failed for this table counts for nothing: a later one has to make up for it.
     """
     full = chain.full.info
-    reached = full.upper_utc
+    reached = _instant(full.upper_utc)
     position = Coordinate(*full["to"]).order if full["to"] is not None else None
     for increment in chain.increments:
         info = increment.info
+        if info is None:
+            raise ChainError(f"{increment.manifest} does not say what it covers")
         lost = table_name in (info.failed or [])
         if info.incremental_type == LOG_INCREMENT:
             start, end = Coordinate(*info["from"]).order, Coordinate(*info["to"]).order
             joined = position is None or start <= position
             position = position if lost else end if position is None else max(position, end)
         else:
-            joined = reached is None or info.since_utc <= reached
-            reached = reached if lost else max(reached or info.next_since_utc, info.next_since_utc)
+            since, upper = _instant(info.since_utc), _instant(info.next_since_utc)
+            joined = reached is None or since <= reached
+            reached = reached if lost else upper if reached is None else max(reached, upper)
         if not joined:
             raise ChainError(f"{increment.manifest} does not join what was extracted before it")
     if chain.increments and table_name in (chain.increments[-1].info.failed or []):
@@ -88,7 +96,7 @@ def require_joined(chain: Chain, table_name: str) -> None:
 
 
 def _entry(manifest: Row, schema_name: str, table_name: str) -> Row | None:
-    for entry in manifest.info.tables or []:
+    for entry in (manifest.info and manifest.info.tables) or []:
         if (entry.schema_name, entry.table_name) == (schema_name, table_name):
             return entry
     return None

@@ -7,6 +7,8 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
+from tidemark.functions.stamps import utc_text
+
 PARQUET = "parquet"
 CSV = "csv"
 FORMATS = (PARQUET, CSV)
@@ -27,13 +29,14 @@ CSV_OPTIONS = {
     **TIME_OPTIONS,
 }
 JSON_OPTIONS = {"ignoreNullFields": "false", **TIME_OPTIONS}
-# A CSV file with line breaks inside values cannot be split, so no file may grow without bound.
+# A CSV file with line breaks inside values cannot be split when read: one input split's rows
+# make one file, and this bounds it where a shuffle came before.
 CSV_MAX_RECORDS = 1_000_000
 
 
 class Written(NamedTuple):
     n_rows: int
-    max_watermark: object
+    max_watermark: str | None
 
 
 def _is_nested(data_type: T.DataType) -> bool:
@@ -91,7 +94,9 @@ def write_artifact(
     if fmt not in FORMATS:
         raise ValueError(f"unknown format {fmt!r}")
     seen = Observation()
-    top = F.lit(None) if watermark is None else F.max(watermark).cast("string")
+    top = F.lit(None).cast("string")
+    if watermark is not None:
+        top = utc_text(F.max(watermark), df.schema[watermark].dataType)
     body = df.select([_to_text(f) for f in df.schema.fields]) if fmt == CSV else df
     body = body.observe(seen, F.count(F.lit(1)).alias("n_rows"), top.alias("max_watermark"))
     writer = body.write.mode(mode)

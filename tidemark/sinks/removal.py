@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
+from itertools import batched
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -10,6 +12,7 @@ from tidemark.sources.manifests import manifest_artifacts, manifest_location
 from tidemark.workspace import Storage, materialise
 
 DATA, MANIFEST = 0, 1
+BATCH_SIZE = 1_000
 
 
 def removal_plan(expired: DataFrame) -> DataFrame:
@@ -21,7 +24,9 @@ def removal_plan(expired: DataFrame) -> DataFrame:
     return data.unionByName(docs)
 
 
-def _inside(base: str, relative: str) -> str:
+def _location(base: str, step: int, relative: str) -> str:
+    if step == MANIFEST:
+        base = manifest_location(base)
     parts = relative.strip("/").split("/")
     if not relative.strip("/") or any(p in ("", ".", "..") for p in parts):
         raise ValueError(f"refusing to delete {relative!r} below {base!r}")
@@ -29,7 +34,11 @@ def _inside(base: str, relative: str) -> str:
 
 
 def remove_sets(
-    spark: SparkSession, expired: DataFrame, bases: Mapping[str, str], dry_run: bool = True
+    spark: SparkSession,
+    expired: DataFrame,
+    bases: Mapping[str, str],
+    dry_run: bool = True,
+    max_parallel: int = 16,
 ) -> DataFrame:
     """Delete expired sets and return the plan that was, or with `dry_run` would be, carried out.
 
@@ -40,10 +49,11 @@ def remove_sets(
     if dry_run:
         return plan
     storage = Storage(spark)
-    for step in (DATA, MANIFEST):
-        paths = plan.filter(F.col("step") == step).select("destination", "path")
-        for row in paths.toLocalIterator():
-            base = bases[row.destination]
-            root = base if step == DATA else manifest_location(base)
-            storage.delete(_inside(root, row.path))
+    with ThreadPoolExecutor(max_workers=max_parallel) as pool:
+        for step in (DATA, MANIFEST):
+            rows = plan.filter(F.col("step") == step).toLocalIterator()
+            for batch in batched(rows, BATCH_SIZE):
+                paths = [_location(bases[r.destination], step, r.path) for r in batch]
+                # Waits for the batch, and raises what went wrong in it before going on.
+                list(pool.map(storage.delete, paths))
     return plan
