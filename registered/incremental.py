@@ -97,6 +97,18 @@ def incr_lookback(spark, sf_dir):
     return latest_changes(both, ["event_id"], ["run"]).select(events.columns)
 
 
+@R.add("""
+    SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN ts END AS updated_at FROM events
+    WHERE event_id % 5 <> 0 AND ts > TIMESTAMP '2024-01-15'
+""")
+def incr_null_watermarks(spark, sf_dir):
+    """Rows without a watermark are never extracted; without an upper bound the rest is open-ended."""
+    stamped = load(spark, sf_dir, "events").select(
+        "event_id", F.when(F.col("event_id") % 5 != 0, F.col("ts")).alias("updated_at")
+    )
+    return incremental_extract(stamped, "updated_at", "2024-01-15")
+
+
 @R.add("""
     SELECT connection, driver, set_id, since FROM (
         SELECT event_type AS connection,

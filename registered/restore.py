@@ -11,6 +11,7 @@ from tidemark.operators.changes import replay, with_seq
 from tidemark.operators.restore import upsert, upsert_partitions
 from tidemark.plans.backup import run_backup
 from tidemark.plans.restore import restore_table
+from tidemark.sinks.formats import CSV, read_artifact, write_artifact
 from tidemark.sources.tables import Table
 from tidemark.workspace import work_dir
 
@@ -32,6 +33,21 @@ def upsert_orders(spark, sf_dir):
     return upsert(base, _increment(orders), ["o_orderkey"])
 
 
+@R.add("""
+    SELECT * FROM customer WHERE c_custkey % 4 <> 0
+    UNION ALL
+    SELECT * REPLACE (c_acctbal + 1 AS c_acctbal) FROM customer WHERE c_custkey % 4 = 0
+""")
+def upsert_from_csv(spark, sf_dir):
+    """An increment kept as compressed CSV, loaded with its declared columns and upserted."""
+    customer = load(spark, sf_dir, "customer")
+    changed = customer.filter("c_custkey % 4 = 0").withColumn("c_acctbal", F.col("c_acctbal") + 1)
+    path = work_dir(spark, "staging")
+    write_artifact(changed, path, fmt=CSV, compression="gzip")
+    staging = read_artifact(spark, path, customer.schema, fmt=CSV)
+    return upsert(customer, staging, ["c_custkey"])
+
+
 @R.add("""
     SELECT * REPLACE (CASE WHEN o_orderkey % 10 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus)
     FROM orders

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from registered.common import MANIFESTS_SQL, Registry, load, manifest_set, mode_of
 from tidemark.functions.names import artifact_path, manifest_name
@@ -14,8 +16,13 @@ from tidemark.operators.retention import (
     expired_tokens,
     family_counts,
 )
+from tidemark.plans.backup import run_backup
+from tidemark.plans.retention import all_manifests
+from tidemark.sinks.formats import read_artifact
 from tidemark.sinks.removal import removal_plan
 from tidemark.sources.manifests import with_tokens
+from tidemark.sources.tables import Table
+from tidemark.workspace import work_dir
 
 R = Registry()
 AS_OF = "2024-01-31"
@@ -143,3 +150,36 @@ def expired_set_tokens(spark, sf_dir):
 """)
 def sets_per_family(spark, sf_dir):
     return family_counts(manifest_set(load(spark, sf_dir, "events")), 7)
+
+
+@R.add("""
+    SELECT destination, manifest, n_rows FROM (VALUES ('a'), ('b')) d(destination), (
+        SELECT 'shop_pg_full_19990101_000000.manifest.json' AS manifest, count(*) AS n_rows
+        FROM orders WHERE o_orderdate <= TIMESTAMP '1999-01-01'
+        UNION ALL
+        SELECT 'shop_pg_full_20010101_000000.manifest.json', count(*)
+        FROM orders WHERE o_orderdate <= TIMESTAMP '2001-01-01')
+""")
+def retention_applied(spark, sf_dir):
+    """Three full backups at two destinations, keeping two: the sets left, and the rows they hold."""
+    root = work_dir(spark, "retention")
+    disks = {"a": f"{root}/a", "b": f"{root}/b"}
+    orders = load(spark, sf_dir, "orders")
+    for at in ("1997-01-01", "1999-01-01", "2001-01-01"):
+        seen = orders.filter(f"o_orderdate <= TIMESTAMP_NTZ '{at}'")
+        run_backup(
+            spark, [Table("main", "orders", seen)], database="shop", destinations=disks, at=at,
+            retention_keep=2,
+        )
+    left = all_manifests(spark, disks)
+    schema = T.StructType([*orders.schema.fields, T.StructField("set", T.StringType())])
+    stored = reduce(DataFrame.unionByName, [
+        read_artifact(spark, f"{base}/shop/full/main/orders", schema).withColumn("destination", F.lit(disk))
+        for disk, base in disks.items()
+    ])
+    rows = stored.groupBy("destination", F.col("set").alias("set_token")).agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
+    return left.join(rows, ["destination", "set_token"], "full_outer").select(
+        "destination", "manifest", "n_rows"
+    )

@@ -12,7 +12,12 @@ from tidemark.plans.backup import RAW_SUFFIX, run_backup
 from tidemark.plans.restore import backup_chain, restore_snapshot
 from tidemark.sinks.formats import CSV, read_artifact, write_artifact
 from tidemark.sources.catalog import table_counts
-from tidemark.sources.manifests import MANIFEST_SCHEMA, parsed_meta
+from tidemark.sources.manifests import (
+    MANIFEST_SCHEMA,
+    manifest_artifacts,
+    parsed_meta,
+    read_manifests,
+)
 from tidemark.sources.tables import Table, parquet_tables
 from tidemark.workspace import work_dir
 
@@ -83,6 +88,18 @@ def csv_nested_roundtrip(spark, sf_dir):
     )
 
 
+@R.add("SELECT event_id, props, octet_length(encode(props)) AS n_bytes FROM events")
+def csv_binary_roundtrip(spark, sf_dir):
+    """Binary values through CSV, as hex."""
+    events = load(spark, sf_dir, "events")
+    binary = events.select("event_id", F.col("props").cast("binary").alias("body"))
+    back = _roundtrip(binary, "csv-binary", fmt=CSV)
+    return back.select(
+        "event_id", F.decode("body", "UTF-8").alias("props"),
+        F.octet_length("body").cast("bigint").alias("n_bytes"),
+    )
+
+
 @R.add("""
     SELECT disk, copy, count(*) AS n_rows, min(ts) AS first_ts, max(ts) AS last_ts,
            CAST(sum(event_id) AS BIGINT) AS id_sum
@@ -126,6 +143,31 @@ def per_schema_snapshot(spark, sf_dir):
     return read_artifact(spark, path, chosen.schema).select(*customer.columns)
 
 
+@R.add("""
+    SELECT event_type AS database, event_type || '_pg_incremental_20240125_000000.manifest.json' AS manifest,
+           event_type || '/incremental/public/events/set=20240125_000000' AS path,
+           count(*) AS n_rows, max(ts) AS max_watermark
+    FROM events WHERE ts > TIMESTAMP '2024-01-15' AND ts <= TIMESTAMP '2024-01-25'
+    GROUP BY event_type
+""")
+def manifest_inventory(spark, sf_dir):
+    """One increment per event type as a database of its own; what the listed manifests say of them."""
+    base = work_dir(spark, "inventory")
+    events = load(spark, sf_dir, "events")
+    for kind in [r.event_type for r in events.select("event_type").distinct().collect()]:
+        run_backup(
+            spark, [Table("public", "events", events.filter(F.col("event_type") == kind))],
+            database=kind, destinations={"local": base}, mode="incremental", watermark_column="ts",
+            since="2024-01-15", at="2024-01-25",
+        )
+    listed = read_manifests(spark, base)
+    entries = parsed_meta(listed).select("database", "manifest", F.inline("info.tables"))
+    return manifest_artifacts(listed).join(entries, ["database", "manifest", "path"]).select(
+        "database", "manifest", "path", "n_rows",
+        F.col("max_watermark").cast("timestamp_ntz").alias("max_watermark"),
+    )
+
+
 @R.add("""
     SELECT database, mode, set_token, since, len(files) AS n_files, files[1] AS first_file
     FROM (SELECT event_type AS database, CASE user_id % 2 WHEN 0 THEN 'full' ELSE 'incremental' END AS mode,

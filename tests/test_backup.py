@@ -254,11 +254,11 @@ def test_a_failed_run_moves_nothing(spark, base):
     with pytest.raises(PySparkException, match="source is gone"):
         backup_of(spark, base, "2024-01-02", good | {"public.b": broken(spark)}, mode="incremental")
     assert all_manifests(spark, {"local": base}) is None
-    assert load_since(spark, f"{base}/_state", "default", "pgsql") is None
+    assert load_since(spark, f"{base}/_state", "shop", "pgsql") is None
     # The same run again, now with a sound source, takes over what was left.
     row = backup_of(spark, base, "2024-01-02", good, mode="incremental").first()
     assert len(row.files) == 1
-    assert load_since(spark, f"{base}/_state", "default", "pgsql").day == 2
+    assert load_since(spark, f"{base}/_state", "shop", "pgsql").day == 2
     with pytest.raises(FileExistsError):
         backup_of(spark, base, "2024-01-02", good, mode="incremental")
 
@@ -269,7 +269,7 @@ def test_skipped_tables_hold_back_state(spark, base):
     changed = {"public.a": rows_at(spark, 3, "2024-01-02"), "public.b": broken(spark)}
     row = backup_of(spark, base, "2024-01-02", changed, mode="incremental", since="2024-01-01", on_error="skip")
     assert list(parsed_meta(row).first().info.failed) == ["public.b"]
-    assert load_since(spark, f"{base}/_state", "default", "pgsql") is None
+    assert load_since(spark, f"{base}/_state", "shop", "pgsql") is None
     args = (spark, base, "shop", "public")
     assert restore_table(*args, "a", ["id"], until="2024-01-02").count() == 3
     with pytest.raises(ChainError, match="failed for public.b"):
@@ -328,7 +328,7 @@ def test_log_increments(spark, base):
     )
     info = parsed_meta(first).first().info
     assert (tuple(info["from"]), tuple(info["to"])) == (("bin.9", 91), ("bin.10", 5))
-    assert load_coordinate(spark, f"{base}/_state", "default", "mysql") == ("bin.10", 5)
+    assert load_coordinate(spark, f"{base}/_state", "shop", "mysql") == ("bin.10", 5)
     log_backup(spark, base, "2024-01-03", change_table(spark, 6))
     nothing = log_backup(spark, base, "2024-01-04", change_table(spark, 6)).first()
     assert nothing.files == []
@@ -351,12 +351,12 @@ def test_a_log_gap_moves_nothing(spark, base):
     log_backup(spark, base, "2024-01-02", change_table(spark, 2))
     table = change_table(spark, 6)[0]
     purged = [Table("public", "t", table.df.filter("seq <> 10"))]
-    before = load_coordinate(spark, f"{base}/_state", "default", "mysql")
+    before = load_coordinate(spark, f"{base}/_state", "shop", "mysql")
     with pytest.raises(LogGapError, match="missing"):
         log_backup(spark, base, "2024-01-03", purged)
     with pytest.raises(LogGapError, match="reset"):
         log_backup(spark, base, "2024-01-03", [Table("public", "t", table.df.filter("seq < 9"))])
-    assert load_coordinate(spark, f"{base}/_state", "default", "mysql") == before
+    assert load_coordinate(spark, f"{base}/_state", "shop", "mysql") == before
     assert len(names(read_manifests(spark, base))) == 1
     files = spark.createDataFrame([("bin.9",), ("bin.10",), ("bin.11",)], "file string")
     log_backup(spark, base, "2024-01-03", purged, log_files=files)
@@ -380,10 +380,22 @@ def test_order_of_commitment(spark, base, monkeypatch):
                     "save_state", "apply_retention"]
 
 
+def test_state_keeps_microseconds_and_history(spark, base):
+    tables = {"public.t": rows_at(spark, 1)}
+    for at in ("2024-01-02T03:04:05.123456+01:00", "2024-01-02T04:00:00.000001Z"):
+        row = backup_of(spark, base, at, tables, mode="incremental", connection="a/b")
+    state = f"{base}/_state"
+    assert load_since(spark, state, "a/b", "pgsql").isoformat() == "2024-01-02T04:00:00.000001+00:00"
+    assert load_since(spark, state, "a-b", "pgsql") is None
+    assert len(Storage(spark).child_names(f"{state}/a-b_pgsql_state")) == 2
+    info = parsed_meta(row).select(F.unix_micros("info.since_utc").alias("s")).first()
+    assert info.s % 1_000_000 == 123456
+
+
 def test_malformed_state_is_an_error(spark, base):
-    Storage(spark).write_text(f"{base}/_state/default_pgsql_state/x.json", "{broken")
+    Storage(spark).write_text(f"{base}/_state/shop_pgsql_state/x.json", "{broken")
     with pytest.raises(Exception, match="FAILED_READ_FILE"):
-        load_since(spark, f"{base}/_state", "default", "pgsql")
+        load_since(spark, f"{base}/_state", "shop", "pgsql")
 
 
 def test_retention_removes_exactly_the_expired_sets(spark, base):

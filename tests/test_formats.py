@@ -99,3 +99,22 @@ def test_an_artifact_is_never_overwritten_by_default(spark, small):
         write_artifact(load(spark, small, "nation"), path)
     with pytest.raises(ValueError):
         write_artifact(load(spark, small, "region"), work_dir(spark, "t"), fmt="orc")
+
+
+def test_overwriting_leaves_no_old_partition(spark):
+    path, before = work_dir(spark, "t"), spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for first in (0, 2):
+            df = spark.range(first, 4).select("id", (F.col("id") % 10).alias("p"))
+            write_artifact(df, path, partition_by=("p",), mode="overwrite")
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    assert sorted(r.p for r in spark.read.parquet(path).collect()) == [2, 3]
+
+
+def test_rows_are_counted_when_the_plan_turns_out_empty(spark):
+    left, right = spark.range(100).filter("rand() < 0"), spark.range(100).filter("rand() >= 0")
+    joined = left.hint("merge").join(right, "id")
+    assert write_artifact(joined, work_dir(spark, "t")) == (0, None)
+    assert write_artifact(spark.range(5).filter("false"), work_dir(spark, "t")).n_rows == 0

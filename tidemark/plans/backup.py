@@ -10,7 +10,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.coordinates import Coordinate
-from tidemark.functions.names import DRIVER_ALIASES, sanitise_text
+from tidemark.functions.names import DRIVER_ALIASES, MANIFEST_SUFFIX, sanitise_text
 from tidemark.functions.options import parse_count
 from tidemark.functions.stamps import as_utc, iso
 from tidemark.operators.changes import (
@@ -231,7 +231,7 @@ def run_backup(
     *,
     database: str,
     destinations: Mapping[str, str],
-    connection: str = "default",
+    connection: str | None = None,
     driver: str = "pgsql",
     mode: str = FULL,
     at: datetime | str | None = None,
@@ -271,6 +271,8 @@ def run_backup(
     increment slices them, and a full set records where the log stood before its tables were read.
     `log_files` lists the log's files where some hold no change of these tables.
 
+    Resume state belongs to a `connection`, by default the database itself.
+
     `at` is the run's clock: the set stamp, the upper bound of a watermark increment and the
     instant retention counts ages from. Tables are read one by one, not in one transaction; the
     common upper bound is what watermark increments agree on.
@@ -284,6 +286,7 @@ def run_backup(
         raise ValueError("at least one destination is needed")
     if (include_schemas or exclude_schemas) and not per_schema:
         raise ValueError("schema filters go with per_schema")
+    connection = connection or database
     driver = _canonical_driver(driver)
     # Checked before any data moves, so that a typo cannot fail a run that has already written.
     if not isinstance(retention_keep, int):
@@ -347,7 +350,8 @@ def run_backup(
         write_manifest(spark, base, name, manifest)
 
     if plan.resume and not outcome.failed:
-        save_state(spark, state_path, connection, driver, token, at, **plan.resume)
+        set_id = name.removesuffix(MANIFEST_SUFFIX)
+        save_state(spark, state_path, connection, driver, set_id, at, **plan.resume)
 
     if retention_keep is not None or retention_days is not None:
         apply_retention(

@@ -99,7 +99,8 @@ def write_artifact(
         top = utc_text(F.max(watermark), df.schema[watermark].dataType)
     body = df.select([_to_text(f) for f in df.schema.fields]) if fmt == CSV else df
     body = body.observe(seen, F.count(F.lit(1)).alias("n_rows"), top.alias("max_watermark"))
-    writer = body.write.mode(mode)
+    # Overwriting replaces the whole artifact, also where the session would keep other partitions.
+    writer = body.write.mode(mode).option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if compression is not None:
