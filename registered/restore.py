@@ -10,7 +10,7 @@ from tidemark.functions.coordinates import Coordinate
 from tidemark.operators.changes import replay, with_seq
 from tidemark.operators.restore import upsert, upsert_partitions
 from tidemark.plans.backup import run_backup
-from tidemark.plans.restore import restore_table
+from tidemark.plans.restore import restore_table, upsert_in_place
 from tidemark.sinks.formats import CSV, read_artifact, write_artifact
 from tidemark.sources.tables import Table
 from tidemark.workspace import work_dir
@@ -64,6 +64,23 @@ def upsert_touched_partitions(spark, sf_dir):
     )
 
 
+@R.add("""
+    SELECT * REPLACE (CASE WHEN o_orderkey % 10 = 0 AND o_orderpriority <> '5-LOW' THEN 'X'
+                      ELSE o_orderstatus END AS o_orderstatus)
+    FROM orders
+""")
+def upsert_in_stored_table(spark, sf_dir):
+    """A table stored by priority, an increment that leaves one priority alone, upserted in place."""
+    orders = load(spark, sf_dir, "orders")
+    path = work_dir(spark, "in-place")
+    write_artifact(orders, path, partition_by=("o_orderpriority",))
+    increment = _increment(orders).filter("o_orderpriority <> '5-LOW'")
+    upsert_in_place(
+        path, orders.schema, increment, ["o_orderpriority", "o_orderkey"], ["o_orderpriority"]
+    )
+    return read_artifact(spark, path, orders.schema)
+
+
 T0, T1, T2 = "1997-01-01", "1999-01-01", "2001-01-01"
 
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from registered.common import TABLES, Registry, counts_sql, load
+from tidemark.functions.stamps import utc_text
 from tidemark.operators.selection import select_schemas
 from tidemark.plans.backup import RAW_SUFFIX, run_backup
 from tidemark.plans.restore import backup_chain, restore_snapshot
@@ -205,7 +206,7 @@ def manifest_documents(spark, sf_dir):
     read = parsed_meta(spark.read.schema(MANIFEST_SCHEMA).option("mode", "FAILFAST").json(path))
     return read.select(
         "database", "mode", F.col("note").alias("set_token"),
-        F.date_format("info.since_utc", "yyyy-MM-dd'T'HH:mm:ss").alias("since"),
+        F.replace(utc_text(F.col("info.since_utc"), T.TimestampType()), F.lit(" "), F.lit("T")).alias("since"),
         F.size("files").cast("bigint").alias("n_files"),
         F.element_at("files", 1).alias("first_file"),
     )

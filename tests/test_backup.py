@@ -27,7 +27,7 @@ from tidemark.sinks.removal import remove_sets
 from tidemark.sources.catalog import CATALOG_SCHEMA, catalog_columns, empty_table, user_schemas
 from tidemark.sources.manifests import manifest_artifacts, parsed_meta, read_manifests
 from tidemark.sources.state import load_coordinate, load_since
-from tidemark.sources.tables import Table, catalog_tables, parquet_tables, table_set
+from tidemark.sources.tables import VIEW, Table, catalog_tables, jdbc_table, parquet_tables, table_set
 from tidemark.workspace import Storage, work_dir
 
 
@@ -147,6 +147,17 @@ def test_per_schema(spark, base):
     assert [r.schema_name for r in user_schemas(catalog).collect()] == ["B", "a", "b"]
 
 
+def test_views_are_left_out(spark, base):
+    tables = [Table("public", "t", rows_at(spark, 1)), Table("public", "v", rows_at(spark, 1), VIEW)]
+    row = run_backup(spark, tables, database="shop", destinations={"local": base}, at="2024-02-01")
+    assert row.first().files == ["shop/full/public/t/set=20240201_000000"]
+
+
+def test_jdbc_ranges_need_bounds(spark):
+    with pytest.raises(ValueError, match="bounds"):
+        jdbc_table(spark, "jdbc:postgresql://host/db", "public", "t", partition_column="id")
+
+
 def test_views_and_tables_of_the_session_catalog(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS cat")
     spark.range(3).write.mode("overwrite").saveAsTable("cat.t")

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.coordinates import Coordinate
 from tidemark.operators import changes as ch
+from tidemark.operators import restore
 from tidemark.operators.incremental import highest_watermark, incremental_extract, resume_window
 from tidemark.operators.restore import InvalidKeyError, apply_changes, upsert, upsert_partitions
+from tidemark.plans.restore import upsert_in_place
 from tidemark.sinks.formats import read_artifact, write_artifact
 from tidemark.workspace import work_dir
 
@@ -127,6 +129,28 @@ def test_upsert(spark):
         upsert_partitions(base, inc, ["k"], ["p"])
 
 
+@pytest.mark.parametrize("literals", [500, 0])
+def test_touched_partitions_are_all_that_is_replaced(spark, monkeypatch, literals):
+    monkeypatch.setattr(restore, "MAX_PARTITION_LITERALS", literals)
+    path = work_dir(spark, "t")
+    target = spark.range(40).select("id", F.lit("old").alias("v"), (F.col("id") % 4).alias("p"))
+    target = target.withColumn("p", F.when(F.col("p") != 3, F.col("p")))
+    write_artifact(target, path, partition_by=("p",))
+    before = set(spark.read.parquet(path).inputFiles())
+    increment = target.filter("id < 8 and p = 1").withColumn("v", F.lit("new"))
+    stored = read_artifact(spark, path, target.schema)
+    scan = upsert_partitions(stored, increment, ["p", "id"], ["p"])._jdf.queryExecution()
+    pruned = "PartitionFilters: [(p" in scan.executedPlan().toString()
+    assert pruned == (literals > 0)
+    upsert_in_place(path, target.schema, increment, ["p", "id"], ["p"])
+    after = spark.read.schema(target.schema).parquet(path)
+    assert {r.id: r.v for r in after.collect()} == {
+        i: "new" if i in (1, 5) else "old" for i in range(40)
+    }
+    kept = {f for f in before if "/p=1/" not in f}
+    assert kept < set(after.inputFiles()) and not (before - kept) & set(after.inputFiles())
+
+
 def test_upsert_refuses_bad_input(spark):
     base = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     twice = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")

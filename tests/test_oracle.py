@@ -33,6 +33,8 @@ def test_query_matches_sql(name, spark, duck, medium):
     want = _rows(expected.fetchall(), names)
     assert len(want) > 0
     assert _rows(result.collect(), result.columns) == want
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert not any(bad in plan for bad in ("CartesianProduct", "NestedLoopJoin", "Python"))
 
 
 def test_every_query_has_sql():

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from tidemark.operators.changes import DELETE_OPS, latest_changes
 from tidemark.workspace import materialise
 
 SHOWN_KEYS = 5
+MAX_PARTITION_LITERALS = 500
 
 
 class InvalidKeyError(ValueError):
@@ -81,17 +83,36 @@ def apply_changes(
     return untouched.unionByName(kept.select(*base.columns))
 
 
+def _is_one_of(rows: Sequence[Row], columns: Sequence[str]) -> Column:
+    tests = []
+    for row in rows:
+        test = F.lit(True)
+        for name in columns:
+            test = test & F.col(name).eqNullSafe(F.lit(row[name]))
+        tests.append(test)
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
+
+
 def upsert_partitions(
-    target: DataFrame, increment: DataFrame, keys: Sequence[str], partition_keys: Sequence[str]
+    target: DataFrame,
+    increment: DataFrame,
+    keys: Sequence[str],
+    partition_keys: Sequence[str],
+    *,
+    check_keys: bool = True,
 ) -> DataFrame:
     """The new content of just those partitions of `target` that the increment touches.
 
-    The partition columns must be part of the key, so that no row can change partition. The
-    touched partition values are stored first: their known size lets Spark broadcast them and
-    prune a target stored by these columns, instead of shuffling it on a handful of values.
+    The partition columns must be part of the key, so that no row can change partition. Up to
+    MAX_PARTITION_LITERALS touched partitions become a filter, which prunes the scan of a target
+    stored by these columns; more are semi-joined.
     """
     if not set(partition_keys) <= set(keys):
         raise ValueError("partition columns must be part of the key")
     touched = materialise(increment.select(*partition_keys).distinct(), "touched-partitions")
-    affected = target.join(touched, list(partition_keys), "left_semi").select(*target.columns)
-    return upsert(affected, increment, keys)
+    named = touched.limit(MAX_PARTITION_LITERALS + 1).collect()
+    if len(named) <= MAX_PARTITION_LITERALS:
+        affected = target.filter(_is_one_of(named, partition_keys))
+    else:
+        affected = target.join(touched, list(partition_keys), "left_semi").select(*target.columns)
+    return upsert(affected, increment, keys, check_keys=check_keys)

@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 from tidemark.functions.coordinates import Coordinate
 from tidemark.functions.stamps import stamp
 from tidemark.operators.changes import DELETE_OPS, latest_changes
-from tidemark.operators.restore import apply_changes, upsert
+from tidemark.operators.restore import apply_changes, upsert, upsert_partitions
 from tidemark.plans.backup import FULL, INCREMENTAL, LOG_INCREMENT
 from tidemark.sinks.formats import read_artifact
 from tidemark.sources.manifests import parsed_meta, read_manifests
+from tidemark.workspace import materialise
 
 SET_COLUMN = "set"
 
@@ -176,3 +177,33 @@ def write_restored(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
     """Write a restored table to a new place; a place that already holds data is refused."""
     writer = df.write.mode("errorifexists")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+
+
+def upsert_in_place(
+    target: str,
+    schema: T.StructType,
+    increment: DataFrame,
+    keys: Sequence[str],
+    partition_keys: Sequence[str],
+    *,
+    check_keys: bool = True,
+) -> None:
+    """Upsert into a parquet table stored by `partition_keys`, replacing only touched partitions.
+
+    Their new content is stored elsewhere first, so nothing is overwritten while it is read, and
+    a run that dies while replacing can be repeated. The rebalance splits a large partition over
+    many files and gives a small one few.
+    """
+    spark = increment.sparkSession
+    stored = read_artifact(spark, target, schema)
+    content = materialise(
+        upsert_partitions(stored, increment, keys, partition_keys, check_keys=check_keys),
+        "touched-content",
+    )
+    (
+        content.hint("rebalance", *partition_keys)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_keys)
+        .parquet(target)
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
-from itertools import batched
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -52,7 +52,7 @@ def remove_sets(
     with ThreadPoolExecutor(max_workers=max_parallel) as pool:
         for step in (DATA, MANIFEST):
             rows = plan.filter(F.col("step") == step).toLocalIterator()
-            for batch in batched(rows, BATCH_SIZE):
+            while batch := list(islice(rows, BATCH_SIZE)):
                 paths = [_location(bases[r.destination], step, r.path) for r in batch]
                 # Waits for the batch, and raises what went wrong in it before going on.
                 list(pool.map(storage.delete, paths))
