@@ -68,7 +68,7 @@ def retention_union(spark, sf_dir):
               FROM events)) WHERE rn > 1200
 """)
 def retention_keep_many(spark, sf_dir):
-    """A keep count past what a limited ranking handles, over three very large families."""
+    """A keep count too large to be ranked, over three very large families."""
     events = mode_of(load(spark, sf_dir, "events"))
     named = events.select(
         F.lit("s3").alias("destination"), F.lit("shop").alias("database"),

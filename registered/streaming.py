@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from registered.common import CHANGES_SQL, Registry, change_log, load
 from registered.changes import COLUMNS
 from tidemark.operators.changes import with_seq

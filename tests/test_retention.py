@@ -77,7 +77,7 @@ def test_three_manifests(spark):
     assert sorted(r.set_token for r in got.collect()) == ["20240101_010101", "20240102_010101"]
 
 
-@pytest.mark.parametrize("keep", [10, 1500])
+@pytest.mark.parametrize("keep", [10, 100, 101, 1500])
 def test_one_family_holds_most_rows(spark, keep):
     """Also past the limit up to which a ranking is cut short in every task."""
     names = [

@@ -18,6 +18,8 @@ from tidemark.workspace import materialise
 FAMILY = ("destination", "database", "driver", "mode")
 # Spark stops a row_number filter early in every task up to this limit, and not beyond.
 GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
+# What all tasks send of one family meets in one task, so the count ranked is kept lower still.
+MAX_RANKED_KEEP = 100
 DAY_LENGTH = 8
 
 
@@ -97,7 +99,7 @@ def flag_expired(
     else:
         narrow = manifests.select(*family, "set_ts", "manifest")
         limit = int(manifests.sparkSession.conf.get(GROUP_LIMIT_CONF))
-        if keep <= limit:
+        if keep <= min(limit, MAX_RANKED_KEEP):
             cut = materialise(_cut_by_rank(narrow, family, keep), "retention-cut")
         else:
             cut = _cut_by_counts(narrow, family, keep)
