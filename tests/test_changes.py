@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -224,3 +225,19 @@ def test_ranges_join_up(spark, small):
     parts = incremental_extract(events, "ts", a, b).unionByName(incremental_extract(events, "ts", b, c))
     whole = incremental_extract(events, "ts", a, c)
     assert parts.exceptAll(whole).isEmpty() and whole.exceptAll(parts).isEmpty()
+
+
+@pytest.mark.parametrize("cluster", [True, False])
+def test_slices_are_stored_in_log_order(spark, cluster):
+    """Every file of a stored slice is sorted by position, one log file per folder."""
+    log = spark.range(20_000, numPartitions=5).select(
+        F.concat(F.lit("bin."), F.pmod(F.hash("id"), F.lit(4))).alias("file"),
+        F.xxhash64("id").alias("pos"), F.lit("write").alias("op"), F.col("id").alias("k"),
+    )
+    path = work_dir(spark, "t")
+    write_artifact(ch.ordered_slice(ch.with_seq(log), cluster), path, partition_by=("seq",))
+    files = [f.removeprefix("file://") for f in spark.read.parquet(path).inputFiles()]
+    assert len(files) >= 4
+    for file in files:
+        positions = pq.ParquetFile(file).read(["pos"])["pos"].to_pylist()
+        assert positions == sorted(positions)
