@@ -5,10 +5,11 @@ from __future__ import annotations
 import duckdb
 import pytest
 
+import registered
 from __spark_entry__ import entry, oracle_sql, queries
 from registered.common import TABLES
 
-QUERIES, ORACLES = queries(), oracle_sql()
+QUERIES, ORACLES = registered.queries(), registered.oracles()
 
 
 @pytest.fixture(scope="module")
@@ -39,6 +40,8 @@ def test_query_matches_sql(name, spark, duck, medium):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries())
+    assert set(ORACLES) <= set(oracle_sql())
 
 
 def test_entry(spark):

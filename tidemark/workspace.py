@@ -2,30 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+_named: dict[str, str] = {}
 
-@lru_cache(maxsize=1)
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="tidemark-")
 
+def name_folder(path: str) -> None:
+    """The shared folder of sessions that set no `spark.checkpoint.dir`."""
+    _named["root"] = path
 
-def work_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder named by `spark.checkpoint.dir`.
 
-    Without that setting a temporary folder is used, which only a local session can share.
-    """
-    root = spark.conf.get(CHECKPOINT_DIR, None)
+def work_dir(spark: SparkSession, label: str) -> str:
+    """A fresh path below the shared folder named by `spark.checkpoint.dir`, else by `name_folder`."""
+    root = spark.conf.get(CHECKPOINT_DIR, None) or _named.get("root")
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-        root = _local_root()
+        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
     return f"{root.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
