@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import line_dedup, mixing, quality_rules
+from tidemark.llm import line_dedup, mixing, near_dedup, pieces, quality_rules, secrets
+
+PIECES_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +23,11 @@ def source_group():
     return F.when(number != "", F.concat(F.lit("d"), F.expr("try_cast(regexp_extract(source, '([0-9]+)$', 1) AS bigint)") % 4))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.groups(_table(spark, sf_dir, "documents"), width=2, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.choose(
         _table(spark, sf_dir, "documents"), domain=source_group(), budget_percent=50, max_epochs=2, seed=17,
@@ -28,6 +35,22 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf_dir, "documents"))
+
+    def written(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind: str):
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
+
+    base = written(F.filter("found", lambda s: s["kind"] != "novel"))
+    return found.select(
+        "doc_id", number("assign").alias("n_assign"), number("access").alias("n_access"), number("hex").alias("n_hex"),
+        F.sha2(base, 256).alias("base_sha256"), written(F.col("found")).alias("spans"),
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(_table(spark, sf_dir, "documents"))
     return judged.select(
@@ -45,10 +68,24 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str, model: str = PIECES_MODEL) -> DataFrame:
+    """Ids of every whole text, as a number and a hash, and whether they decode to the text again."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = pieces.Pieces.load(model)
+    both = pieces.decode(pieces.encode(docs, model), model)
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op3_near_dedup": op3_near_dedup,
     "op5_mixing": op5_mixing,
+    "op7_secrets": op7_secrets,
     "op8_quality_rules": op8_quality_rules,
     "op9_line_dedup": op9_line_dedup,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 
 ORACLES: dict[str, str] = {
