@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import line_dedup, mixing, near_dedup, pieces, quality_rules, secrets
+from tidemark.llm import language_id, line_dedup, mixing, near_dedup, pieces, quality_model, quality_rules, secrets
 
 PIECES_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -23,6 +23,24 @@ def source_group():
     return F.when(number != "", F.concat(F.lit("d"), F.expr("try_cast(regexp_extract(source, '([0-9]+)$', 1) AS bigint)") % 4))
 
 
+def held_out(folds: int):
+    """True for the documents kept from learning; a null doc_id counts as the empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % folds == 0
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.filter(~held_out(5)).select("doc_id", "text", "lang"), sample_rows=4000)
+    return language_id.predict(docs, model).select("doc_id", held_out(5).alias("held_out"), "lang_pred", "score")
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = quality_model.fit(docs, labels.filter(~held_out(5)), sample_rows=6000)
+    judged = quality_model.judge(docs.select("doc_id", "text"), model)
+    return judged.select("doc_id", held_out(5).alias("held_out"), "expected_grade", "p_acceptable", "p_good", "accepted")
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.groups(_table(spark, sf_dir, "documents"), width=2, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -80,6 +98,8 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str, model: str = PIECES_MOD
 
 
 QUERIES: dict[str, Query] = {
+    "op1_language_id": op1_language_id,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_near_dedup": op3_near_dedup,
     "op5_mixing": op5_mixing,
     "op7_secrets": op7_secrets,
