@@ -34,7 +34,7 @@ FAMILIES = {
     "semitic": ("ar", "he", "mt", "am"),
     "sinitic": ("zh", "yue"),
 }
-PAIRS, TRIPLES = 4096, 12288
+PAIRS, TRIPLES = 2048, 6144
 SIZE = PAIRS + TRIPLES
 
 _FOLD = np.arange(256, dtype=np.uint32)
@@ -51,7 +51,7 @@ def features(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
     for first, end, data, bounds in slices(texts):
         folded = _FOLD[data]
         pairs = folded[:-1] << np.uint32(8) | folded[1:]
-        two = (pairs * np.uint32(0x9E3779B1)) >> np.uint32(20)
+        two = (pairs * np.uint32(0x9E3779B1)) >> np.uint32(21)
         three = ((pairs[:-1] << np.uint32(8) | folded[2:]) * np.uint32(0x85EBCA6B) >> np.uint32(8)) % np.uint32(TRIPLES)
         for block in range(0, end - first, 256):
             rows = min(256, end - first - block)
@@ -132,7 +132,7 @@ def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def fit(labelled: DataFrame, *, sample_rows: int = 4000) -> Model:
+def fit(labelled: DataFrame, *, sample_rows: int = 3000) -> Model:
     """labelled: doc_id, text, lang. At most about `sample_rows` rows are learned from, as many of each
     language where there are enough."""
     usable = labelled.filter(has_letter(F.col("text")) & F.col("lang").isNotNull())

@@ -124,7 +124,7 @@ class Model:
         return float(self.words[at[self.names[at] == found]].sum() + shares @ self.pairs)
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 6000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 5000) -> Model:
     """At most about `sample_rows` labelled documents are learned from, drawn by a hash of their doc_id."""
     rated = labels.select("doc_id", grade(F.col("quality"), F.col("toxic")).alias("grade")).filter("grade IS NOT NULL AND doc_id IS NOT NULL")
     total = rated.count()

@@ -30,13 +30,13 @@ def held_out(folds: int):
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    model = language_id.fit(docs.filter(~held_out(5)).select("doc_id", "text", "lang"), sample_rows=4000)
+    model = language_id.fit(docs.filter(~held_out(5)).select("doc_id", "text", "lang"), sample_rows=3000)
     return language_id.predict(docs, model).select("doc_id", held_out(5).alias("held_out"), "lang_pred", "score")
 
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
-    model = quality_model.fit(docs, labels.filter(~held_out(5)), sample_rows=6000)
+    model = quality_model.fit(docs, labels.filter(~held_out(5)), sample_rows=5000)
     judged = quality_model.judge(docs.select("doc_id", "text"), model)
     return judged.select("doc_id", held_out(5).alias("held_out"), "expected_grade", "p_acceptable", "p_good", "accepted")
 
