@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import language_id, line_dedup, mixing, near_dedup, pieces, quality_model, quality_rules, secrets
+from tidemark.llm import language_id, line_dedup, mixing, near_dedup, neighbours, pieces, quality_model, quality_rules, secrets
 
 PIECES_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -53,6 +53,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(_table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(_table(spark, sf_dir, "documents"))
 
@@ -102,6 +106,7 @@ QUERIES: dict[str, Query] = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_near_dedup": op3_near_dedup,
     "op5_mixing": op5_mixing,
+    "op6_nearest": op6_nearest,
     "op7_secrets": op7_secrets,
     "op8_quality_rules": op8_quality_rules,
     "op9_line_dedup": op9_line_dedup,
