@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import language_id, line_dedup, mixing, near_dedup, neighbours, pieces, quality_model, quality_rules, secrets
+from tidemark.llm import language_id, line_dedup, lm_score, mixing, near_dedup, neighbours, pieces, quality_model, quality_rules, secrets
 
 PIECES_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -46,6 +46,10 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(_table(spark, sf_dir, "documents"), held_out(10))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.choose(
         _table(spark, sf_dir, "documents"), domain=source_group(), budget_percent=50, max_epochs=2, seed=17,
@@ -105,6 +109,7 @@ QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_near_dedup": op3_near_dedup,
+    "op4_lm_score": op4_lm_score,
     "op5_mixing": op5_mixing,
     "op6_nearest": op6_nearest,
     "op7_secrets": op7_secrets,
