@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.llm.words import WORD, let, words
 from tidemark.workspace import materialise
 
-RULES = ("length", "repetition", "symbols", "lines", "word_length", "capitals")
+RULES = ("length", "repetition", "symbols", "lines", "word_length", "capitals", "letters", "single")
 
 
 def _repeat_words(grams: Column) -> Column:
@@ -63,6 +63,8 @@ def measure(docs: DataFrame) -> DataFrame:
         (F.size("filled") - F.size(F.array_distinct("filled"))).cast("long").alias("n_dup_lines"),
         F.regexp_count("text", F.lit("[A-Z]")).cast("long").alias("n_upper"),
         F.regexp_count("text", F.lit("[a-z]")).cast("long").alias("n_lower"),
+        F.regexp_count("text", F.lit(r"[^\p{L}\x20\x09-\x0D]")).cast("long").alias("n_other"),
+        F.size(F.filter("w", lambda x: F.length(x) == 1)).cast("long").alias("n_single"),
         grams.alias("grams"),
     )
     return counted.withColumn("n_repeat_words", _repeat_words(F.col("grams")).cast("long")).drop("grams")
@@ -81,10 +83,12 @@ def votes() -> dict[str, Column]:
     return dict(zip(RULES, (
         _vote(n >= 100, n < 20),
         _vote(some & (c["n_repeat_words"] * 100 <= n * 20), c["n_repeat_words"] * 100 > n * 50),
-        _vote(some & (c["n_symbols"] * 100 <= n * 10), c["n_symbols"] * 100 > n * 120),
+        _vote(some & (c["n_symbols"] * 100 <= n * 10), c["n_symbols"] * 100 > n * 40),
         _vote(some & (c["n_dup_lines"] * 100 <= c["n_filled"] * 10), c["n_dup_lines"] * 100 > c["n_filled"] * 50),
         _vote(some & (c["word_chars"] >= 3 * n) & (c["word_chars"] <= 12 * n), (c["word_chars"] < 2 * n) | (c["word_chars"] > 20 * n)),
         _vote((letters > 0) & (F.col("n_upper") * 100 <= letters * 30), (letters > 0) & (F.col("n_upper") * 100 > letters * 70)),
+        _vote(some & (F.col("n_other") * 100 <= c["word_chars"] * 15), some & (F.col("n_other") * 100 > c["word_chars"] * 25)),
+        _vote(some & (F.col("n_single") * 100 <= n * 20), some & (F.col("n_single") * 100 > n * 35)),
     ), strict=True))
 
 
@@ -93,10 +97,12 @@ def fit_votes(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 50) ->
     `right`: the probability that a vote on a good and on a bad document is right."""
     patterns = sorted(patterns)
     n = len(RULES)
-    prior, right = 0.8, [(0.8, 0.8)] * n
+    # At first, a bad vote is taken to be rarely wrong, and a good one to say little: most rules look for
+    # one kind of fault each, and a document with one fault passes the others.
+    prior, right = 0.7, [(0.98, 0.25)] * n
     total = sum(k for _, k in patterns)
     for _ in range(rounds if total else 0):
-        good_sum, hits = 0.0, [[1.6, 2.0, 1.6, 2.0] for _ in range(n)]  # priors of two votes, right at 0.8
+        good_sum, hits = 0.0, [[4.9, 5.0, 1.25, 5.0] for _ in range(n)]  # the same belief, worth five votes
         for vote, k in patterns:
             p = 1 / (1 + math.exp(-max(-700.0, min(700.0, _log_odds(prior, right, vote)))))
             good_sum += k * p
@@ -107,8 +113,8 @@ def fit_votes(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 50) ->
                     h[2] += k * (1 - p) * (v < 0)
                     h[3] += k * (1 - p)
         prior = min(0.99, max(0.01, good_sum / total))
-        # A rule is never believed to be worse than a coin: that keeps good from meaning bad.
-        right = [tuple(min(0.99, max(0.51, x)) for x in (h[0] / h[1], h[2] / h[3])) for h in hits]
+        # A rule is admitted if it wrongs few good documents. This also keeps good from meaning bad.
+        right = [(min(0.998, max(0.98, h[0] / h[1])), min(0.99, max(0.02, h[2] / h[3]))) for h in hits]
     return {"prior": prior, "right": right}
 
 

@@ -118,7 +118,56 @@ QUERIES: dict[str, Query] = {
     "op10_sentencepiece": op10_sentencepiece,
 }
 
+def _shared_sql(level: str, above: list[str], weight: str, parent: str) -> str:
+    """One level of the budget tree: the common tables f_<level> and b_<level>."""
+    path = ", ".join([*above, level])
+    within = f"PARTITION BY {', '.join(above)}" if above else ""
+    order = f"{within} ORDER BY cap::DOUBLE / w, {level} NULLS FIRST ROWS BETWEEN"
+    joined = f"JOIN {parent} p ON {' AND '.join(f'n.{c} IS NOT DISTINCT FROM p.{c}' for c in above)}" if above else f"CROSS JOIN {parent} p"
+    return f"""
+        n_{level} AS (SELECT {path}, sum(tokens * 2) AS cap, {weight} AS w FROM leaves GROUP BY {path}),
+        f_{level} AS (
+            SELECT *, cap * sum(w) OVER ({order} CURRENT ROW AND UNBOUNDED FOLLOWING)
+                <= w * (budget - coalesce(sum(cap) OVER ({order} UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS is_full
+            FROM (SELECT n.*, p.budget FROM n_{level} n {joined})
+        ),
+        b_{level} AS (
+            SELECT {path}, CASE WHEN is_full THEN cap ELSE
+                (w * (budget - coalesce(sum(CASE WHEN is_full THEN cap END) OVER ({within}), 0)))
+                // sum(CASE WHEN NOT is_full THEN w END) OVER ({within}) END AS budget
+            FROM f_{level}
+        )"""
+
+
+_NUMBER = "regexp_extract(source, '([0-9]+)$', 1)"
+
 ORACLES: dict[str, str] = {
+    "op5_mixing": rf"""
+        WITH d AS (
+            SELECT doc_id, CASE WHEN {_NUMBER} <> '' THEN 'd' || (CAST({_NUMBER} AS BIGINT) % 4) END AS domain, lang, source,
+                   len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens
+            FROM documents
+        ),
+        leaves AS (SELECT domain, lang, source, sum(n_tokens) AS tokens FROM d GROUP BY ALL),
+        root AS (SELECT sum(tokens) * 50 // 100 AS budget FROM leaves),
+        {_shared_sql("domain", [], "CASE domain WHEN 'd0' THEN 3 WHEN 'd1' THEN 2 ELSE 1 END", "root")},
+        {_shared_sql("lang", ["domain"], "CASE lang WHEN 'en' THEN 4 ELSE 1 END", "b_domain")},
+        {_shared_sql("source", ["domain", "lang"], "1", "b_lang")},
+        placed AS (
+            SELECT d.*, b.budget // l.tokens AS whole, b.budget % l.tokens AS rest,
+                   md5('17:' || (b.budget // l.tokens) || ':' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place
+            FROM d
+            JOIN leaves l ON d.domain IS NOT DISTINCT FROM l.domain AND d.lang IS NOT DISTINCT FROM l.lang AND d.source IS NOT DISTINCT FROM l.source
+            JOIN b_source b ON d.domain IS NOT DISTINCT FROM b.domain AND d.lang IS NOT DISTINCT FROM b.lang AND d.source IS NOT DISTINCT FROM b.source
+        ),
+        summed AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY place, doc_id) AS upto FROM placed),
+        chosen AS (
+            SELECT doc_id, domain, lang, source, n_tokens,
+                   CAST(whole + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END AS BIGINT) AS copies
+            FROM summed
+        )
+        SELECT * FROM chosen WHERE copies > 0
+    """,
     "op9_line_dedup": """
         WITH parts AS (
             SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents
