@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.hashing import shingles, slices, word_hashes
@@ -38,6 +38,7 @@ from tidemark.workspace import materialise
 BANDS, ROWS = 42, 6
 M = BANDS * ROWS
 STEP, RATE, TOP = 1.001, 20.0, 65535  # base of the scale, rate of the variates, greatest register
+HUBS = (3,)  # for each bucket, drawn anew in each of these rounds
 MARGIN = 0.15  # six standard deviations of the estimate at the threshold
 
 _seeds = np.random.default_rng(7919).integers(1, 2**32, (3, M), dtype=np.uint32)
@@ -125,10 +126,10 @@ def _sketched(width: int):
             at = np.cumsum([0] + [len(b) for b in buckets]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("uid"), batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
+                    batch.column("uid"), batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
                     pa.array(sketches, pa.binary()), pa.ListArray.from_arrays(at, flat),
                 ],
-                ["uid", "doc_id", "n_shingles", "key", "sketch", "buckets"],
+                ["uid", "doc_id", "text_hash", "n_shingles", "key", "sketch", "buckets"],
             )
 
     return run
@@ -165,34 +166,76 @@ def _near(cut: float):
     return run
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets are similar enough."""
-    n = classes.select("uid", "n_shingles", "sketch")
-    a = n.select(F.col("uid").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("sketch_a"))
-    b = n.select(F.col("uid").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("sketch_b"))
-    # No set can be similar to one of less than the threshold's share of its size.
-    sized = pairs.join(a, "a").join(b, "b").filter(
-        F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    )
-    near = materialise(sized.mapInArrow(_near(percent / 100 - MARGIN), "a bigint, b bigint"), "near")
-    ends = near.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
-    wanted = materialise(classes.join(ends, "uid", "left_semi").select("uid", "doc_id", "key"), "wanted")
+def _sets_of(uids: DataFrame, classes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """uid and members: the full shingle sets of some classes, made anew from their texts."""
+    wanted = materialise(classes.join(uids, "uid", "left_semi").select("uid", "doc_id", "key"), "wanted")
     texts = docs.alias("d").join(
         wanted.select("doc_id").distinct().alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")), "left_semi"
     )
     sets = texts.select("doc_id", "text").mapInArrow(_full_sets(width), "doc_id bigint, key binary, members array<bigint>")
-    sets = (
+    return materialise(
         sets.alias("s")
         .join(wanted.alias("w"), F.col("s.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("s.key") == F.col("w.key")))
-        .select("w.uid", "s.members").dropDuplicates(["uid"])
+        .select("w.uid", "s.members").dropDuplicates(["uid"]),
+        "sets",
+    )
+
+
+def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose sketches come near the threshold."""
+    n = classes.select("uid", "n_shingles", "sketch")
+    a = n.select(F.col("uid").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("sketch_a"))
+    b = n.select(F.col("uid").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("sketch_b"))
+    # No set can be similar to one of less than the threshold's share of its size.
+    sized = pairs.join(a, "a").join(b, "b").filter(
+        F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
     )
-    sets = materialise(sets, "sets")
-    both = near.join(sets.select(F.col("uid").alias("a"), F.col("members").alias("of_a")), "a").join(
+    return materialise(sized.mapInArrow(_near(percent / 100 - MARGIN), "a bigint, b bigint"), "near")
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets are similar enough."""
+    both = pairs.join(sets.select(F.col("uid").alias("a"), F.col("members").alias("of_a")), "a").join(
         sets.select(F.col("uid").alias("b"), F.col("members").alias("of_b")), "b"
     )
     shared = F.size(F.array_intersect("of_a", "of_b")).cast("long")
     counted = both.select("a", "b", shared.alias("shared"), (F.size("of_a") + F.size("of_b")).cast("long").alias("total"))
-    return counted.filter(F.col("shared") * 100 >= (F.col("total") - F.col("shared")) * percent).select("a", "b")
+    links = counted.filter(F.col("shared") * 100 >= (F.col("total") - F.col("shared")) * percent).select("a", "b")
+    return materialise(links, "links")
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    near = _likely(pairs, classes, percent)
+    ends = near.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
+    return _similar(near, _sets_of(ends, classes, docs, width), percent)
+
+
+def _sharing_rare(outside: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that may be similar, by what is rare in them.
+
+    Members stand in order of their number of sets, rarest first. Sets of similarity p share at least
+    p / (1 + p) of both sizes, so the first shared member can't be far on in either; if the longer one's
+    is looked up among the first (1 - p) of its members, it is among the first (1 - p) / (1 + p) of the
+    shorter one's. What is left behind both places bounds the shared part. No similar pair is missed.
+    """
+    labels = outside.select("uid", "label").distinct()
+    members = materialise(
+        sets.join(labels, "uid").select("uid", "label", F.size("members").alias("size"), F.explode("members").alias("member")), "members"
+    )
+    common = members.groupBy("member").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("l"), F.max("label").alias("h"))
+    rarest = Window.partitionBy("uid").orderBy("n", "member")
+    placed = members.join(common, "member").withColumn("at", F.row_number().over(rarest))
+    first = F.floor(F.col("size") * (100 - percent) / 100) + 1
+    # A member of one component's sets only can't be shared with another component.
+    placed = materialise(placed.filter((F.col("at") <= first) & (F.col("l") < F.col("h"))).select("uid", "label", "size", "member", "at"), "rare")
+    few = placed.filter(F.col("at") <= F.floor(F.col("size") * (100 - percent) / (100 + percent)) + 1)
+    left = 1 + F.least(F.col("x.size") - F.col("x.at"), F.col("y.size") - F.col("y.at"))
+    return placed.alias("x").join(
+        few.alias("y"),
+        (F.col("x.member") == F.col("y.member")) & (F.col("x.label") != F.col("y.label")) & (F.col("x.size") >= F.col("y.size"))
+        & (F.col("y.size") * 100 >= F.col("x.size") * percent)
+        & (left * (100 + percent) >= (F.col("x.size") + F.col("y.size")) * percent),
+    ).select(F.col("x.uid").alias("a"), F.col("y.uid").alias("b"))
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -200,13 +243,15 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 
 def groups(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
-    """uid, doc_id, n_shingles, component_id, kept (doc_id = component_id), and `first`: true for one row
+    """uid, doc_id, text_hash, n_shingles, component_id, kept (doc_id = component_id), and `first`: true for one row
     of each component. doc_id is a whole number; rows are told apart by uid."""
     ship(docs.sparkSession)
-    numbered = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    numbered = docs.select(
+        F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text"
+    )
     sketched = materialise(
         numbered.mapInArrow(
-            _sketched(width), "uid bigint, doc_id bigint, n_shingles bigint, key binary, sketch binary, buckets array<bigint>"
+            _sketched(width), "uid bigint, doc_id bigint, text_hash bigint, n_shingles bigint, key binary, sketch binary, buckets array<bigint>"
         ),
         "sketches",
     )
@@ -230,25 +275,40 @@ def groups(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
     )
     tested = materialise(hubs, "pairs")
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    links = materialise(_verified(tested, classes, source, width, percent), "links")
+    links = _verified(tested, classes, source, width, percent)
     labels = components(links)
-    # Buckets whose classes are not all in one component yet: the pairs across components, each once.
-    named = busy.select("bucket", "uid").join(labels.select(F.col("node").alias("uid"), "label"), "uid", "left").select(
-        "bucket", "uid", F.coalesce("label", "uid").alias("label")
-    )
-    split = named.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l < h")
-    open_ = materialise(named.join(split.select("bucket"), "bucket", "left_semi"), "open")
-    across = (
-        open_.alias("x").join(open_.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") < F.col("y.label")))
-        .select(F.col("x.uid").alias("a"), F.col("y.uid").alias("b"))
-    )
-    more = materialise(_ordered(across).join(tested, ["a", "b"], "left_anti"), "pairs")
-    late = materialise(_verified(more, classes, source, width, percent), "links")
+    for hubs in HUBS:
+        outside = _open(busy, labels)
+        chosen = outside.groupBy("bucket").agg(
+            F.array(*[F.min_by(F.struct("uid", "label"), F.xxhash64("uid", F.lit(hubs + k))) for k in range(hubs)]).alias("hubs")
+        )
+        met = outside.join(chosen, "bucket").select("uid", "label", F.explode("hubs").alias("hub")).filter("label <> hub.label")
+        more = _ordered(met.select(F.col("uid").alias("a"), F.col("hub.uid").alias("b"))).join(tested, ["a", "b"], "left_anti")
+        more = materialise(more, "pairs")
+        tested = tested.unionByName(more)
+        links = links.unionByName(_verified(more, classes, source, width, percent))
+        labels = components(links)
+    outside = _open(busy, labels)
+    sets = _sets_of(outside.select("uid").distinct(), classes, source, width)
+    more = materialise(_ordered(_sharing_rare(outside, sets, percent)).join(tested, ["a", "b"], "left_anti"), "pairs")
+    late = _similar(_likely(more, classes, percent), sets, percent)
     if not late.isEmpty():
         labels = components(links.unionByName(late))
     return _labelled(sketched, heads, labels)
 
 
+def _open(busy: DataFrame, labels: DataFrame) -> DataFrame:
+    """bucket, uid and label of the buckets whose classes are not all in one component yet. In a bucket of
+    three or less every pair has met, for its first and last class have met all."""
+    named = busy.select("bucket", "uid").join(labels.select(F.col("node").alias("uid"), "label"), "uid", "left").select(
+        "bucket", "uid", F.coalesce("label", "uid").alias("label")
+    )
+    split = named.groupBy("bucket").agg(
+        F.min("label").alias("l"), F.max("label").alias("h"), F.count(F.lit(1)).alias("n")
+    ).filter("l < h and n > 3")
+    return materialise(named.join(split.select("bucket"), "bucket", "left_semi"), "open")
+
+
 def _labelled(sketched: DataFrame, heads: DataFrame, labels: DataFrame) -> DataFrame:
     ids = heads.join(labels.select(F.col("node").alias("uid"), "label"), "uid", "left").withColumn(
         "label", F.coalesce("label", "uid")
@@ -258,10 +318,10 @@ def _labelled(sketched: DataFrame, heads: DataFrame, labels: DataFrame) -> DataF
         F.min(F.struct(F.col("class_doc").isNull().alias("none"), "class_doc", "uid")).alias("x"),
     )
     ids = ids.join(least, "label").select("key", "component_id", F.col("x.uid").alias("first_uid"))
-    rows = sketched.select("uid", "doc_id", "n_shingles", "key").join(ids, "key", "left")
+    rows = sketched.select("uid", "doc_id", "text_hash", "n_shingles", "key").join(ids, "key", "left")
     lone = F.col("first_uid").isNull()
     return rows.select(
-        "uid", "doc_id", "n_shingles",
+        "uid", "doc_id", "text_hash", "n_shingles",
         F.when(lone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.when(lone, F.lit(True)).otherwise(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"),
         (lone | (F.col("uid") == F.col("first_uid"))).alias("first"),
