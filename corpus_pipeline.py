@@ -22,8 +22,11 @@ def judge_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in at least 10 of the documents go; documents stay, even empty ones."""
-    return line_dedup.dedup_lines(docs, min_docs=10).select(*docs.columns)
+    """Lines found in at least 10 of the documents go; documents stay, even empty ones. n_chars follows."""
+    left = line_dedup.dedup_lines(docs, min_docs=10)
+    if "n_chars" in docs.columns:
+        left = left.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return left.select(*docs.columns)
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

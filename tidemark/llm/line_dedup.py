@@ -33,10 +33,15 @@ def line_hash(line: Column) -> Column:
     return F.when(key != "", both)
 
 
-def line_hashes(docs: DataFrame, text: str = "text") -> DataFrame:
-    """One row `h` for each document and distinct key in it."""
-    found = F.array_compact(F.array_distinct(F.transform(lines(F.col(text)), line_hash)))
-    return docs.select(F.explode(found).alias("h")).select("h.a", "h.b")
+def line_hashes(docs: DataFrame, *, batches: int, doc_id: str = "doc_id") -> DataFrame:
+    """Stored rows `id`, `a`, `b` for each document and distinct key in it, and the `part` it came with."""
+    found = F.array_compact(F.array_distinct(F.transform(lines(F.col("text")), line_hash)))
+    part = F.pmod(F.xxhash64(F.col(doc_id)), F.lit(batches)).cast("int")
+    rows = docs.select(part.alias("part"), F.col(doc_id).alias("id"), F.explode(found).alias("h")).select("part", "id", "h.a", "h.b")
+    path = work_dir(docs.sparkSession, "lines")
+    rows.write.partitionBy("part").parquet(path)
+    kind = docs.schema[doc_id].dataType.simpleString()
+    return docs.sparkSession.read.schema(f"id {kind}, a bigint, b bigint, part int").parquet(path)
 
 
 class LineRuns:
@@ -86,34 +91,22 @@ class LineRuns:
         return self._merge(self.paths()).filter(F.col("n_docs") >= self.min_docs).select("a", "b")
 
 
-def frequent_lines(
-    docs: DataFrame, *, min_docs: int = 10, batches: int = 4, fanout: int = 2, doc_id: str = "doc_id"
-) -> DataFrame:
-    """The frequent keys of `docs`, which go through the runs in `batches` parts."""
-    spark = docs.sparkSession
-    part = F.pmod(F.xxhash64(F.col(doc_id)), F.lit(batches))
-    found = F.array_compact(F.array_distinct(F.transform(lines(F.col("text")), line_hash)))
-    stored = work_dir(spark, "lines")
-    docs.select(part.alias("part"), F.explode(found).alias("h")).select(
-        "part", "h.a", "h.b"
-    ).write.partitionBy("part").parquet(stored)
-    hashes = spark.read.schema("a bigint, b bigint, part int").parquet(stored)
+def frequent_lines(hashes: DataFrame, *, min_docs: int = 10, batches: int = 4, fanout: int = 2) -> DataFrame:
+    """The frequent keys; the stored hashes go through the runs part by part."""
+    spark = hashes.sparkSession
     runs = LineRuns(spark, work_dir(spark, "runs"), min_docs, fanout)
     for k in range(batches):
         runs.add(hashes.filter(F.col("part") == k).select("a", "b"))
     return materialise(runs.frequent(), "frequent")
 
 
-def drop_lines(docs: DataFrame, frequent: DataFrame, *, doc_id: str = "doc_id") -> DataFrame:
+def drop_lines(docs: DataFrame, hashes: DataFrame, frequent: DataFrame, *, doc_id: str = "doc_id") -> DataFrame:
     """`docs` without the lines of the frequent keys, and how many there were and went.
 
-    Which lines of a document go is found on hashes alone; the texts are moved once, to meet it.
+    Which lines of a document go is found on stored hashes alone; the texts are moved once, to meet it.
     """
-    found = F.array_distinct(F.transform(lines(F.col("text")), line_hash))
     gone = (
-        docs.select(F.col(doc_id).alias("__id"), F.explode(found).alias("h"))
-        .select("__id", "h.a", "h.b")
-        .join(frequent, ["a", "b"], "left_semi")
+        hashes.select(F.col("id").alias("__id"), "a", "b").join(frequent, ["a", "b"], "left_semi")
         .groupBy("__id")
         .agg(F.collect_set(F.struct("a", "b")).alias("__gone"))
     )
@@ -134,4 +127,5 @@ def drop_lines(docs: DataFrame, frequent: DataFrame, *, doc_id: str = "doc_id")
 
 def dedup_lines(docs: DataFrame, *, min_docs: int = 10, batches: int = 4, fanout: int = 2) -> DataFrame:
     """`docs` without its frequent lines; see the module for the results in odd cases."""
-    return drop_lines(docs, frequent_lines(docs, min_docs=min_docs, batches=batches, fanout=fanout))
+    hashes = line_hashes(docs, batches=batches)
+    return drop_lines(docs, hashes, frequent_lines(hashes, min_docs=min_docs, batches=batches, fanout=fanout))
