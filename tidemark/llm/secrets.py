@@ -31,7 +31,7 @@ SENSITIVE = ("secret", "token", "passw", "passphrase", "credential", "bearer", "
 CONTEXT = re.compile("|".join(re.escape(w) for w in SENSITIVE), re.IGNORECASE | re.ASCII)
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 REACH, AROUND = 48, 512
-NOVELTY = 0.8
+NOVELTY = 0.9
 
 # What code and configuration around secrets is made of.
 IDENTIFIERS = " ".join(
