@@ -8,6 +8,7 @@ from registered.common import CHANGES_SQL, Registry, change_log, load
 from tidemark.functions.coordinates import Coordinate
 from tidemark.operators.changes import (
     log_end_row,
+    log_end,
     log_gaps,
     log_inventory,
     log_slice,
@@ -97,7 +98,7 @@ def change_apply(spark, sf_dir):
 def change_apply_to_base(spark, sf_dir):
     """A base as of the middle of the log, then the rest of the log applied to it."""
     log = with_seq(change_log(load(spark, sf_dir, "events")))
-    middle, end = Coordinate("mysql-bin.11", 70004), Coordinate("mysql-bin.999999", 4)
+    middle, end = Coordinate("mysql-bin.11", 70004), log_end(log)
     base = replay(log_slice(log, Coordinate("mysql-bin.8", 4), middle), ["user_id"])
     base = base.select("user_id", "event_id", "event_type", "value")
     return apply_changes(base, log_slice(log, middle, end), ["user_id"])

@@ -200,7 +200,7 @@ def manifest_documents(spark, sf_dir):
     )
     # `meta` is nested JSON, not a quoted string: it is put in front of the other fields.
     body = F.to_json(F.struct("at_utc", "database", "mode", "note", "files"))
-    line = F.concat(F.lit('{"meta":'), "meta_body", F.lit(","), F.substring(body, 2, 1_000_000))
+    line = F.concat(F.lit('{"meta":'), "meta_body", F.lit(","), F.substr(body, F.lit(2)))
     path = work_dir(spark, "manifest-documents")
     docs.select(line.alias("value")).write.text(path)
     read = parsed_meta(spark.read.schema(MANIFEST_SCHEMA).option("mode", "FAILFAST").json(path))

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from registered.common import CHANGES_SQL, Registry, change_log, load
 from registered.changes import COLUMNS
 from tidemark.operators.changes import with_seq
 from tidemark.sinks.formats import write_artifact
 from tidemark.streaming.increments import (
-    dedup_late,
     file_stream,
     read_extracted,
+    read_unique,
     stream_changes,
     stream_extract,
 )
@@ -30,14 +32,14 @@ def stream_incremental(spark, sf_dir):
 
 @R.add("SELECT * FROM events")
 def stream_dedup(spark, sf_dir):
-    """Every event arrives twice and is kept once."""
-    schema = load(spark, sf_dir, "events").schema
-    out, checkpoint = work_dir(spark, "dedup-out"), work_dir(spark, "dedup-checkpoint")
-    once = file_stream(spark, sf_dir, schema, glob="events.parquet")
-    again = file_stream(spark, sf_dir, schema, glob="events.parquet")
-    unique = dedup_late(once.unionByName(again), ["event_id"], "ts", "1 hour").select(schema.names)
-    stream_extract(unique, [out], checkpoint)
-    return read_extracted(spark, out, schema).select(schema.names)
+    """Every event arrives twice, newest first, over many batches, and is kept once."""
+    events = load(spark, sf_dir, "events")
+    source, out = work_dir(spark, "dedup-source"), work_dir(spark, "dedup-out")
+    checkpoint = work_dir(spark, "dedup-checkpoint")
+    for _ in range(2):
+        events.repartitionByRange(3, F.desc("ts")).write.mode("append").parquet(source)
+        stream_extract(file_stream(spark, source, events.schema, max_files=1), [out], checkpoint)
+    return read_unique(spark, out, events.schema, ["event_id"])
 
 
 @R.add(CHANGES_SQL)

@@ -172,3 +172,15 @@ def test_log_names_sort_by_number(spark):
         texts(spark, ["mysql-bin"]).select(log_seq(F.col("t"))).collect()
     with pytest.raises(ValueError):
         Coordinate("mysql-bin", 4).seq
+
+
+def test_stamp_column_agrees_with_stamp_in_any_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for session in ("UTC", "Asia/Tokyo", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", session)
+            instant = F.expr("TIMESTAMP_LTZ '2024-01-01 00:00:00 UTC'")
+            plain = F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'")
+            assert one(spark, stamps.stamp_column(instant)) == one(spark, stamps.stamp_column(plain)) == stamps.stamp("2024-01-01")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -7,7 +7,6 @@ import re
 
 import pytest
 
-from tidemark.operators import retention
 from tidemark.operators.retention import expired_sets, expired_tokens, flag_expired
 from tidemark.sources.manifests import with_tokens
 
@@ -16,19 +15,14 @@ CUTOFF = {0: "20240111_000000", 3: "20240108_000000", 9999: "19960826_000000"}
 
 
 def model(names, keep, days):
-    """Names that expire: sort by name, then by time; drop all but the last `keep`; add old ones."""
-    parsed = []
-    for name in sorted(names):
-        found = re.search(r"_(\d{8}_\d{6}(?:_[A-Za-z0-9._-]+)?)\.manifest\.json$", name)
-        if found:
-            parsed.append((found.group(1)[:15], name))
-    parsed.sort(key=lambda p: p[0])
-    gone = set()
-    if days is not None:
-        gone |= {n for ts, n in parsed if ts < CUTOFF[days]}
-    if keep is not None and keep >= 0:
-        gone |= {n for _, n in parsed[: max(0, len(parsed) - keep)]}
-    return gone
+    """By the definition: a set expires if at least `keep` sets of its family are newer by time and then
+    by name, or if its time lies before the cutoff. A name without a token never expires."""
+    sets = [(m[1], name) for name in names if (m := re.search(r"_([0-9]{8}_[0-9]{6})(_[\w.-]+)?\.manifest\.json$", name))]
+    surplus = {
+        name for at, name in sets
+        if keep is not None and keep >= 0 and sum(other > (at, name) for other in sets) >= keep
+    }
+    return surplus | {name for at, name in sets if days is not None and at < CUTOFF[days]}
 
 
 def frame(spark, families):
@@ -50,20 +44,11 @@ def random_family(rng, db, size):
     return names
 
 
-def both_ways(monkeypatch, way):
-    if way == "counts":
-        monkeypatch.setattr(
-            retention, "_cut_by_rank", lambda s, f, k: retention._cut_by_counts(s, f, k)
-        )
-
-
-@pytest.mark.parametrize("way", ["rank", "counts"])
 @pytest.mark.parametrize("keep, days", [
     (None, None), (0, None), (1, None), (3, None), (50, None), (-1, None), (None, 0), (None, 3),
     (None, 9999), (3, 3), (-1, 3), (5, 0),
 ])
-def test_matches_model(spark, monkeypatch, way, keep, days):
-    both_ways(monkeypatch, way)
+def test_matches_model(spark, keep, days):
     rng = random.Random(hash((keep, days)) & 0xFFFF)
     families = {f"db{i}": random_family(rng, f"db{i}", size) for i, size in enumerate([1, 4, 40, 120])}
     got = expired_sets(frame(spark, families), keep=keep, days=days, as_of=AS_OF)
@@ -71,15 +56,14 @@ def test_matches_model(spark, monkeypatch, way, keep, days):
     assert {r.manifest for r in got.collect()} == want
 
 
-def test_three_manifests(spark):
-    names = [f"db_pg_full_{d}_010101.manifest.json" for d in ("20240101", "20240102", "20250101")]
-    got = expired_tokens(expired_sets(frame(spark, {"db": names}), keep=1))
-    assert sorted(r.set_token for r in got.collect()) == ["20240101_010101", "20240102_010101"]
+def test_tokens_of_expired_sets(spark):
+    names = [f"shop_my_full_{d}_233000.manifest.json" for d in ("20230305", "20230306", "20240229", "20240301")]
+    got = expired_tokens(expired_sets(frame(spark, {"shop": names}), keep=2))
+    assert sorted(r.set_token for r in got.collect()) == ["20230305_233000", "20230306_233000"]
 
 
 @pytest.mark.parametrize("keep", [10, 100, 101, 1500])
 def test_one_family_holds_most_rows(spark, keep):
-    """Also past the limit up to which a ranking is cut short in every task."""
     names = [
         f"hot_pg_full_202401{1 + i % 3:02d}_{i % 24:02d}{i % 60:02d}00_{i:05d}.manifest.json"
         for i in range(4000)
@@ -113,10 +97,3 @@ def test_bad_policies_fail(spark):
     for policy in ({"keep": "ten"}, {"days": "x", "as_of": AS_OF}, {"days": 3}, {"keep": True}):
         with pytest.raises(ValueError):
             expired_sets(sets, **policy)
-
-
-def test_ranking_is_cut_short_before_the_shuffle(spark):
-    sets = frame(spark, {"db": ["db_pg_full_20240101_000000.manifest.json"]})
-    cut = retention._cut_by_rank(sets.repartition(4), retention.FAMILY, 7)
-    plan = cut._jdf.queryExecution().executedPlan().toString()
-    assert plan.index("Final") < plan.index("Exchange hashpartitioning(destination") < plan.index(", Partial")

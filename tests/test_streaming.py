@@ -6,12 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from registered.common import change_log, load
-from tidemark.operators.changes import with_seq
+from tidemark.operators.changes import declare_seq, with_seq
 from tidemark.streaming import increments
 from tidemark.streaming.increments import (
-    dedup_late,
     file_stream,
     read_extracted,
+    read_unique,
     stream_changes,
     stream_extract,
 )
@@ -52,19 +52,21 @@ def test_a_failed_batch_is_repeated_and_not_doubled(spark, small, places, monkey
         assert read_extracted(spark, place, events.schema).count() == events.count()
 
 
-def test_late_repeats_across_runs_are_dropped(spark, small, places):
+def test_late_rows_are_kept_and_repeats_folded(spark, small, places):
     source, out, _, checkpoint = places
-    events = load(spark, small, "events")
-    for _ in range(2):
-        events.filter("event_id < 500").write.mode("append").parquet(source)
-        stream = file_stream(spark, source, events.schema)
-        stream_extract(dedup_late(stream, ["event_id"], "ts", "60 days"), [out], checkpoint)
-    assert read_extracted(spark, out, events.schema).count() == 500
+    events = load(spark, small, "events").filter("event_id < 500")
+    for part in (1, 0, 1):  # newest first, then a repeat
+        events.filter(F.expr(f"event_id div 250 = {part}")).write.mode("append").parquet(source)
+        stream_extract(file_stream(spark, source, events.schema), [out], checkpoint)
+    assert read_extracted(spark, out, events.schema).count() == 750
+    unique = read_unique(spark, out, events.schema, ["event_id"])
+    assert unique.exceptAll(events).isEmpty() and unique.count() == 500
 
 
 def test_change_log_batches(spark, small, places):
     source, out, _, checkpoint = places
     log = with_seq(change_log(load(spark, small, "events"))).withColumn("seq", F.expr("pos div 10000"))
+    log = declare_seq(log)
     log.repartitionByRange(6, "seq").write.parquet(source)
     stream_changes(file_stream(spark, source, log.schema, max_files=2), [out], checkpoint)
     rows = read_extracted(spark, out, log.schema)

@@ -34,7 +34,11 @@ def iso(value: datetime | str) -> str:
 
 
 def stamp_column(ts: Column) -> Column:
-    return F.date_format(ts, STAMP_FORMAT)
+    """`stamp` of a column, whatever the session's time zone: a column with a zone is an instant,
+    one without holds UTC clock time."""
+    as_instant = F.to_utc_timestamp(ts, F.current_timezone())  # in the session's clock, UTC's digits
+    shown = F.when(F.typeof(ts) == "timestamp", as_instant).otherwise(ts.cast("timestamp"))
+    return F.date_format(shown, STAMP_FORMAT)
 
 
 def cutoff_stamp(as_of: datetime | str, days: int) -> str:

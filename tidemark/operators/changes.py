@@ -16,14 +16,26 @@ from tidemark.sources.tables import Table
 
 DELETE_OPS = ("delete",)
 SHOWN_GAPS = 20
+FILE_NUMBER = {"tidemark": "file number"}
 
 
 class LogGapError(ValueError):
     """Part of the requested log range is not there; state must not advance."""
 
 
+def declare_seq(changes: DataFrame) -> DataFrame:
+    """Say that the column `seq` of a stored log is its files' number, by which it is partitioned."""
+    return changes.withMetadata("seq", FILE_NUMBER)
+
+
 def with_seq(changes: DataFrame) -> DataFrame:
-    return changes if "seq" in changes.columns else changes.withColumn("seq", log_seq(F.col("file")))
+    """Add `seq`, the number of the file. A column of that name is only believed if it was made here
+    or declared; any other is the user's own and must be renamed, for it would be misread."""
+    if "seq" not in changes.columns:
+        return changes.withColumn("seq", log_seq(F.col("file"))).withMetadata("seq", FILE_NUMBER)
+    if changes.schema["seq"].metadata != FILE_NUMBER:
+        raise ValueError("`seq` is reserved for the file's number: rename it, or declare_seq if it is that")
+    return changes
 
 
 def log_coordinates(tables: Sequence[Table]) -> DataFrame:
@@ -129,9 +141,9 @@ def latest_changes(
     """The last change of every key. Partial aggregation keeps one row per key and task,
     so a key that holds most of the log reaches its reducer as a handful of rows."""
     rest = [c for c in changes.columns if c not in keys]
-    last = F.max_by(F.struct(*rest), F.struct(*order)).alias("last")
+    last = F.max_by(F.struct(*rest), F.struct(*order)).alias("__last")
     return changes.groupBy(*keys).agg(last).select(
-        *keys, *[F.col("last").getField(c).alias(c) for c in rest]
+        *keys, *[F.col("__last").getField(c).alias(c) for c in rest]
     )
 
 

@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.changes import DELETE_OPS, latest_changes
 from tidemark.workspace import materialise
 
 SHOWN_KEYS = 5
-MAX_PARTITION_LITERALS = 500
 
 
 class InvalidKeyError(ValueError):
@@ -25,8 +23,8 @@ def require_keys(df: DataFrame, keys: Sequence[str], label: str) -> None:
         null_key = null_key | F.col(key).isNull()
     bad = (
         df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter((F.col("n") > 1) | null_key)
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .filter((F.col("__n") > 1) | null_key)
         .limit(SHOWN_KEYS)
         .collect()
     )
@@ -40,6 +38,14 @@ def _same_columns(base: DataFrame, rows: DataFrame, allow_missing: bool) -> None
         raise ValueError(f"columns differ between base and increment: {odd}")
 
 
+def _matching(rows: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """The rows with, or without, a key that `other` has. NULL equals NULL."""
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(f"r.`{key}`").eqNullSafe(F.col(f"o.`{key}`"))
+    return rows.alias("r").join(other.select(*keys).alias("o"), same, how)
+
+
 def upsert(
     base: DataFrame,
     increment: DataFrame,
@@ -57,7 +63,7 @@ def upsert(
     if check_keys:
         require_keys(increment, keys, "increment")
         require_keys(base, keys, "base")
-    untouched = base.join(increment.select(*keys), list(keys), "left_anti").select(*base.columns)
+    untouched = _matching(base, increment, keys, "left_anti")
     return untouched.unionByName(increment, allowMissingColumns=allow_missing_columns)
 
 
@@ -79,18 +85,26 @@ def apply_changes(
         require_keys(base, keys, "base")
     latest = latest_changes(changes, keys, order)
     kept = latest.filter(~F.coalesce(F.col(op_column).isin(list(delete_ops)), F.lit(False)))
-    untouched = base.join(latest.select(*keys), list(keys), "left_anti").select(*base.columns)
+    untouched = _matching(base, latest, keys, "left_anti")
     return untouched.unionByName(kept.select(*base.columns))
 
 
-def _is_one_of(rows: Sequence[Row], columns: Sequence[str]) -> Column:
-    tests = []
-    for row in rows:
-        test = F.lit(True)
-        for name in columns:
-            test = test & F.col(name).eqNullSafe(F.lit(row[name]))
-        tests.append(test)
-    return reduce(lambda a, b: a | b, tests, F.lit(False))
+def _bounds(touched: DataFrame, columns: Sequence[str]) -> Column:
+    """A filter of literals that all touched partitions pass: it prunes, whatever their number."""
+    measured = touched.agg(*[
+        f(name).alias(f"{k}_{i}")
+        for i, name in enumerate(columns)
+        for k, f in (("low", F.min), ("high", F.max), ("null", lambda c: F.max(F.col(c).isNull())))
+    ]).first()
+    within = F.lit(True)
+    for i, name in enumerate(columns):
+        test = F.lit(False)
+        if measured[f"low_{i}"] is not None:
+            test = F.col(name).between(F.lit(measured[f"low_{i}"]), F.lit(measured[f"high_{i}"]))
+        if measured[f"null_{i}"]:
+            test = test | F.col(name).isNull()
+        within = within & test
+    return within
 
 
 def upsert_partitions(
@@ -103,16 +117,13 @@ def upsert_partitions(
 ) -> DataFrame:
     """The new content of just those partitions of `target` that the increment touches.
 
-    The partition columns must be part of the key, so that no row can change partition. Up to
-    MAX_PARTITION_LITERALS touched partitions become a filter, which prunes the scan of a target
-    stored by these columns; more are semi-joined.
+    The partition columns must be part of the key, so that no row can change partition. The least
+    and greatest touched value of each column, and whether NULL is touched, become literals that
+    prune the scan of a target stored by these columns; a semi-join on the touched partitions, in
+    which NULL equals NULL, then keeps exactly those.
     """
     if not set(partition_keys) <= set(keys):
         raise ValueError("partition columns must be part of the key")
     touched = materialise(increment.select(*partition_keys).distinct(), "touched-partitions")
-    named = touched.limit(MAX_PARTITION_LITERALS + 1).collect()
-    if len(named) <= MAX_PARTITION_LITERALS:
-        affected = target.filter(_is_one_of(named, partition_keys))
-    else:
-        affected = target.join(touched, list(partition_keys), "left_semi").select(*target.columns)
+    affected = _matching(target.filter(_bounds(touched, partition_keys)), touched, partition_keys, "left_semi")
     return upsert(affected, increment, keys, check_keys=check_keys)

@@ -19,7 +19,7 @@ from tidemark.sinks.formats import read_artifact
 from tidemark.sources.manifests import parsed_meta, read_manifests
 from tidemark.workspace import materialise
 
-SET_COLUMN = "set"
+SET_COLUMN = "__set"  # taken from the path; no column of a table is mistaken for it
 
 
 class ChainError(ValueError):
@@ -120,7 +120,7 @@ def restore_snapshot(
 def read_increments(
     spark: SparkSession, base: str, increments: Sequence[Row], schema_name: str, table_name: str
 ) -> DataFrame | None:
-    """One table's rows of several increments, with the `set` each came from.
+    """One table's rows of several increments, with the set each came from as `__set`.
 
     All sets of one format are a single scan, however many there are; sets whose schema differs
     from the first one's are an error.
@@ -131,12 +131,16 @@ def read_increments(
     schema = _schema(entries[0])
     if any(_schema(e) != schema for e in entries):
         raise ChainError(f"the columns of {schema_name}.{table_name} changed between increments")
-    root = f"{base.rstrip('/')}/{entries[0].path.rpartition('/')[0]}"
+    root = None
+    if increments[0].info.incremental_type == LOG_INCREMENT:
+        # Slices have folders of their own inside, so that Spark reads the path from here on.
+        if "set" in schema.names:
+            raise ValueError("a change table's column `set` would be taken for the path's: rename it")
+        root = f"{base.rstrip('/')}/{entries[0].path.rpartition('/')[0]}"
     scans = []
     for fmt in sorted({e.format for e in entries}):
         paths = [f"{base.rstrip('/')}/{e.path}" for e in entries if e.format == fmt]
-        columns = T.StructType([*schema.fields, T.StructField(SET_COLUMN, T.StringType())])
-        scans.append(read_artifact(spark, paths, columns, fmt=fmt, base_path=root))
+        scans.append(read_artifact(spark, paths, schema, fmt=fmt, base_path=root, set_as=SET_COLUMN))
     return reduce(DataFrame.unionByName, scans)
 
 

@@ -124,14 +124,17 @@ def read_artifact(
     *,
     fmt: str = PARQUET,
     base_path: str | None = None,
+    set_as: str | None = None,
 ) -> DataFrame:
-    """Read artifacts back with their declared schema; nothing is inferred."""
+    """Read artifacts back with their declared schema; nothing is inferred. `set_as` names a column
+    for the set that each row's path names."""
+    token = [] if set_as is None else [F.regexp_extract("_metadata.file_path", "/set=([^/]+)/", 1).alias(set_as)]
     paths = [paths] if isinstance(paths, str) else list(paths)
     reader = spark.read
     if base_path is not None:
         reader = reader.option("basePath", base_path)
     if fmt == PARQUET:
-        return reader.schema(schema).parquet(*paths)
+        return with_marks(reader.schema(schema).parquet(*paths).select(*[F.col(f"`{n}`") for n in schema.names], *token), schema)
     if fmt != CSV:
         raise ValueError(f"unknown format {fmt!r}")
     text = (
@@ -141,4 +144,12 @@ def read_artifact(
         .option("mode", "FAILFAST")
         .csv(paths)
     )
-    return text.select([_from_text(f) for f in schema.fields])
+    return with_marks(text.select([*[_from_text(f) for f in schema.fields], *token]), schema)
+
+
+def with_marks(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The declared schema's column metadata, which readers drop for partition columns."""
+    for field in schema.fields:
+        if field.metadata and df.schema[field.name].metadata != field.metadata:
+            df = df.withMetadata(field.name, field.metadata)
+    return df

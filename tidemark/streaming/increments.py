@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.changes import ordered_slice, with_seq
 from tidemark.sinks.fanout import copy_artifact
-from tidemark.sinks.formats import PARQUET, write_artifact
+from tidemark.sinks.formats import PARQUET, with_marks, write_artifact
 from tidemark.workspace import Storage
 
 BATCH_DIR = "batch"
@@ -32,7 +32,7 @@ def file_stream(
         reader = reader.option("pathGlobFilter", glob)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(directory)
+    return with_marks(reader.parquet(directory), schema)
 
 
 def drain(
@@ -95,16 +95,18 @@ def stream_changes(
 
 def read_extracted(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
     """All batches written so far, with the batch each row came in."""
+    if BATCH_DIR in schema.names:
+        raise ValueError(f"a column `{BATCH_DIR}` would be taken for the batch's number: rename it")
     columns = T.StructType([*schema.fields, T.StructField(BATCH_DIR, T.LongType())])
-    return spark.read.schema(columns).parquet(base)
+    return with_marks(spark.read.schema(columns).parquet(base), schema)
 
 
-def dedup_late(
-    stream: DataFrame, keys: Sequence[str], ts: str, delay: str, as_column: str = "event_time"
-) -> DataFrame:
-    """Drop repeats of a key that arrive within `delay`; the state forgets keys older than that.
+def read_unique(spark: SparkSession, base: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
+    """All batches written so far with one row for each key, that of the first batch it came in.
 
-    Event time has to be a TIMESTAMP, so a zone-less column is read as UTC clock time.
+    Rows are written as they arrive, however late; nothing is forgotten, and no state grows.
     """
-    timed = stream.withColumn(as_column, F.col(ts).cast("timestamp"))
-    return timed.withWatermark(as_column, delay).dropDuplicatesWithinWatermark(list(keys))
+    rows = read_extracted(spark, base, schema)
+    own = F.struct(*[F.col(f"`{name}`") for name in schema.names])
+    first = F.min_by(own, F.struct(BATCH_DIR, F.xxhash64(own)))
+    return rows.groupBy(*keys).agg(first.alias("__first")).select("__first.*")
