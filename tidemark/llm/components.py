@@ -23,7 +23,7 @@ def _stars(edges: DataFrame, *, larger: bool) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """links: a, b. Gives `node` and `label`, its component's least node, for all nodes with a link.
+    """links: a, b. Gives `node` and `label`, its component's least node, for all other nodes with a link.
 
     Both steps keep components as they are and shorten paths; when nothing changes, every edge joins a
     node to its component's least. A node's neighbours are only ever grouped by a partial minimum.

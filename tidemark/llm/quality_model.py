@@ -10,8 +10,8 @@ lower-cased; byte pairs as they stand, hashed, as damped shares; how much the wo
 Telling words are those whose occurrence depends on the grade in the sample, by a chi-squared test. A
 word weighs the same in a long text as in a short one, unlike a share.
 
-Defined results: null, empty and wordless texts get grade 0, tail 0 and are rejected; with fewer than two
-grades to learn from every document with a word is kept; labels that are null, or without a document,
+Defined results: null texts and texts without a letter get grade 0, tail 0 and are rejected; with fewer than
+two grades to learn from every other document is kept; labels that are null, or without a document,
 are not learned from; of several labels of one doc_id each counts; rows that repeat are each judged.
 """
 
