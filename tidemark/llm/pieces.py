@@ -30,7 +30,8 @@ from pyspark.sql import types as T
 from tidemark.llm.ship import ship
 
 MARK = "▁"
-CHARS = 1 << 24  # of text whose distinct words are encoded together
+CHARS = 1 << 21  # of text whose distinct words are encoded together
+KEPT = 200_000  # words whose ids a worker keeps from one batch to the next
 
 
 class Pieces:
@@ -49,6 +50,7 @@ class Pieces:
         cut = "\n" if not any("\n" in n for n in self.ids) else ""
         self.words = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+" if cut else f"{MARK}*[^{MARK}]+|{MARK}+")
         self.follows: dict[int, bool] = {}
+        self.known: dict[str, bytes] = {}
         self.texts = [self._bytes(i) for i in range(len(names))]
 
     @classmethod
@@ -113,7 +115,7 @@ class Pieces:
                     pair = (before + 1 << 32) | piece
                     ok = follows.get(pair)
                     if ok is None:
-                        if len(follows) > 2_000_000:  # only a cache
+                        if len(follows) > 500_000:  # only a cache
                             follows.clear()
                         ok = follows[pair] = self._may_follow(before, piece)
                     if ok:
@@ -136,7 +138,10 @@ class Pieces:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [self.words.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        known = self.encode_words({w for words in split for w in words})
+        if len(self.known) > KEPT:
+            self.known = {}
+        known = self.known
+        known.update(self.encode_words({w for words in split for w in words if w not in known}))
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
     def decode(self, ids: list[int]) -> str:
