@@ -30,8 +30,8 @@ from pyspark.sql import types as T
 from tidemark.llm.ship import ship
 
 MARK = "▁"
-CHARS = 1 << 21  # of text whose distinct words are encoded together
-KEPT = 200_000  # words whose ids a worker keeps from one batch to the next
+CHARS = 1 << 22  # of text whose distinct words are encoded together
+KEPT = 400_000  # words whose ids a worker keeps from one batch to the next
 
 
 class Pieces:
