@@ -7,6 +7,7 @@ import hashlib
 import math
 import random
 import re
+import string
 import zlib
 
 import numpy as np
@@ -310,6 +311,25 @@ def test_novelty_tells_keys_from_names():
     assert secrets.novel_spans("private key of client_secret_token_1 in access_token_value_1") == []
 
 
+@pytest.mark.parametrize("alphabet", [
+    string.ascii_letters + string.digits + "+/", string.ascii_letters + string.digits + "-_", "0123456789ABCDEF",
+    string.ascii_uppercase + "234567", string.ascii_lowercase + string.digits,
+], ids=["base64", "base64url", "hex", "base32", "lower"])
+def test_random_strings_are_novel_at_any_length(alphabet):
+    rng = random.Random(4)
+    for size in (16, 24, 47, 48, 49, 64, 96, 128, 344, 512, 1000, 4096):
+        for _ in range(5):
+            key = "A1" + "".join(rng.choices(alphabet, k=size - 2))
+            text = f"config = load()\nbearer {key} ;\nreturn client.connect(host, port)"
+            assert secrets.novel_spans(text) == [(23, 23 + size, "novel")], (size, key)
+
+
+def test_long_known_strings_are_not_novel():
+    name = "client_access_configuration_1/"
+    assert secrets.novel_spans(f"see {name * 2} bearer {name * 9}") == []
+    assert secrets.novel_spans("session " + "=" * 100 + "a1" * 100) == []
+
+
 def test_secrets_of_odd_rows(odd, empty):
     assert all(r.found == [] for r in secrets.scan(odd).collect()) and secrets.scan(empty).count() == 0
 

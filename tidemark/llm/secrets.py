@@ -4,7 +4,10 @@ Three fixed forms are always reported. Beyond them, a string of 16 characters or
 digits, that stands up to 48 characters behind a sensitive word on its line is a candidate. zstandard,
 primed with common identifiers and with the text around the candidate, compresses it; the bytes it adds
 over nothing, for each of its characters, are its novelty. Names, paths and words that the surroundings
-or the dictionary hold cost few bytes; what costs nearly one byte for each character is reported.
+or the dictionary hold cost few bytes; what costs nearly one byte for each character is reported. Longer
+candidates are measured in equal pieces of up to 48 characters, each primed with the pieces before it too,
+since of more characters zstandard writes random ones at their alphabet's entropy; one novel piece is
+enough, as it would be if it stood alone. So long paths with unknown parts are reported too.
 
 Defined results: null is empty text; spans are code points, end exclusive, in order of start and then of
 kind; repeated rows are each scanned; only doc_id is carried.
@@ -30,7 +33,7 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 SENSITIVE = ("secret", "token", "passw", "passphrase", "credential", "bearer", "authorization", "api key", "apikey", "api_key", "private", "signature", "access_key", "session")
 CONTEXT = re.compile("|".join(re.escape(w) for w in SENSITIVE), re.IGNORECASE | re.ASCII)
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-REACH, AROUND = 48, 512
+REACH, AROUND, PIECE = 48, 512, 48
 NOVELTY = 0.9
 
 # What code and configuration around secrets is made of.
@@ -68,6 +71,15 @@ def novelty(text: str, start: int, end: int) -> float:
     return (len(compressor.compress(text[start:end].encode())) - len(compressor.compress(b""))) / (end - start)
 
 
+def is_novel(text: str, start: int, end: int, threshold: float = NOVELTY) -> bool:
+    """Whether a piece of the candidate is novel."""
+    n = -(-(end - start) // PIECE)
+    cuts = [start + (end - start) * i // n for i in range(n + 1)]
+    # What follows a piece in its candidate is left out: only what stands before has been seen.
+    after = text[end : end + AROUND]
+    return any(novelty(text[max(0, a - AROUND) : b] + after, min(a, AROUND), min(a, AROUND) + b - a) >= threshold for a, b in zip(cuts, cuts[1:]))
+
+
 def fixed_spans(text: str) -> list[tuple[int, int, str]]:
     found = [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
     found += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text)]
@@ -91,7 +103,7 @@ def novel_spans(text: str, threshold: float = NOVELTY) -> list[tuple[int, int, s
             at = m.end()
             name = m[0]
             if m.span() not in found and re.search("[0-9]", name) and re.search("[A-Za-z]", name):
-                found[m.span()] = novelty(text, *m.span()) >= threshold
+                found[m.span()] = is_novel(text, *m.span(), threshold)
     return [(a, b, "novel") for (a, b), new in found.items() if new]
 
 
