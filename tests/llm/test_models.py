@@ -330,6 +330,43 @@ def test_long_known_strings_are_not_novel():
     assert secrets.novel_spans("session " + "=" * 100 + "a1" * 100) == []
 
 
+KEY = "q7Zk2PpX9vL0sWm4Tn8YbR3c"
+
+
+@pytest.mark.parametrize("text", [
+    f"secret:\n  {KEY}\nnext: 1", f"secret: |\n\n  {KEY}\n", f"{KEY} is the passphrase", f"value {KEY}\n# the private one",
+    f"session {'of a user that came by ' * 9} {KEY}", "bearer qZkPpXvLsWmTnYbR", "secret of it=qZkPpXvLsWmTnYbRcDfGhJwE", f"my_token_{KEY}",
+    "credential 8305719264470318",
+], ids=range(9))
+def test_context_reaches_over_lines_and_to_both_sides(text):
+    (a, b, kind), = secrets.novel_spans(text)
+    assert text[a:b].strip("_").endswith((KEY, "nYbR", "JwE", "0318")) and kind == "novel"
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n    ", "\\n"])
+def test_a_private_key_is_one_span(end):
+    rng = random.Random(8)
+    body = "".join(rng.choices(string.ascii_letters + string.digits + "+/", k=64 * 9 + 6)) + "=="
+    lines = [body[k : k + 64] for k in range(0, len(body), 64)]
+    text = end.join(["cert", "-----BEGIN RSA PRIVATE KEY-----", *lines, "-----END RSA PRIVATE KEY-----", "done"])
+    a = text.index(lines[0])
+    assert secrets.novel_spans(text) == [(a, text.index(lines[-1]) + len(lines[-1]), "novel")]
+    far = text.replace("RSA PRIVATE KEY", "CERTIFICATE")
+    assert secrets.novel_spans(far) == []
+
+
+def test_many_words_and_keys_on_one_line():
+    rng = random.Random(9)
+    keys = ["".join(rng.choices(string.ascii_letters + string.digits, k=24)) for _ in range(2000)]
+    text = " ".join(f"{k} bearer" for k in keys)
+    assert [text[a:b] for a, b, _ in secrets.novel_spans(text)] == keys
+
+
+def test_long_words_beside_sensitive_ones_are_not_novel():
+    for word in ("responsibilities", "internationalization", "characterization", "misunderstanding", "telecommunications", "getAuthorizationTokenProvider"):
+        assert secrets.novel_spans(f"the private session of {word} was over") == []
+
+
 def test_secrets_of_odd_rows(odd, empty):
     assert all(r.found == [] for r in secrets.scan(odd).collect()) and secrets.scan(empty).count() == 0
 

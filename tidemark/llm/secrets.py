@@ -1,13 +1,17 @@
 """Secret scans: fixed forms, and strings that a primed compressor finds new.
 
-Three fixed forms are always reported. Beyond them, a string of 16 characters or more, with letters and
-digits, that stands up to 48 characters behind a sensitive word on its line is a candidate. zstandard,
-primed with common identifiers and with the text around the candidate, compresses it; the bytes it adds
-over nothing, for each of its characters, are its novelty. Names, paths and words that the surroundings
-or the dictionary hold cost few bytes; what costs nearly one byte for each character is reported. Longer
-candidates are measured in equal pieces of up to 48 characters, each primed with the pieces before it too,
+Three fixed forms are always reported. Beyond them, a string of 16 characters or more is a candidate if a
+sensitive word stands on its line, anywhere before or behind it, or on the line above or below, blank lines
+not counted. A private key between PEM marks is one candidate over all its lines, short last line included.
+zstandard, primed with common identifiers, long words and the text around the candidate, compresses it;
+the bytes it adds over nothing, for each of its characters, are its novelty. Names, paths and words that
+the surroundings or the dictionary hold cost few bytes; what costs nearly one byte for each character is
+reported. Longer candidates are measured in equal pieces of up to 48 characters, each primed with those
+before it too,
 since of more characters zstandard writes random ones at their alphabet's entropy; one novel piece is
-enough, as it would be if it stood alone. So long paths with unknown parts are reported too.
+enough, as it would be if it stood alone. So long paths with unknown parts, and words of 16 letters or more
+that the dictionary doesn't help with, are reported too. Lost is a value two lines or more from any
+sensitive word and outside PEM marks.
 
 Defined results: null is empty text; spans are code points, end exclusive, in order of start and then of
 kind; repeated rows are each scanned; only doc_id is carried.
@@ -33,7 +37,11 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 SENSITIVE = ("secret", "token", "passw", "passphrase", "credential", "bearer", "authorization", "api key", "apikey", "api_key", "private", "signature", "access_key", "session")
 CONTEXT = re.compile("|".join(re.escape(w) for w in SENSITIVE), re.IGNORECASE | re.ASCII)
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-REACH, AROUND, PIECE = 48, 512, 48
+# PEM marks with the key between them, and its lines; line ends may be written as \n.
+PEM = re.compile(r"-----BEGIN [A-Z0-9 ]{0,64}PRIVATE KEY[A-Z ]{0,64}-----(.*?)(?:-----END|\Z)", re.DOTALL)
+BODY = re.compile(r"""(?<!\\)[A-Za-z0-9+/_=-]{16,}+(?:[ \t]*+(?:\\r)?(?:\\n|\r?\n)[ \t]*+[A-Za-z0-9+/=]++(?=[\s\\"',]|\Z))*+""")
+LINE_ENDS = re.compile(r"\\[rn]|\s+")
+AROUND, PIECE = 512, 48
 NOVELTY = 0.9
 
 # What code and configuration around secrets is made of.
@@ -57,27 +65,46 @@ IDENTIFIERS = " ".join(
     "template test text thread timeout timestamp title token topic transaction true type unique update upload uri url "
     "user username uuid valid validate value variable vector version view void volume wait while window worker write "
     "xml yaml 0123456789 abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ access_key api_key client_id "
-    "client_secret private_key public_key".split()
+    "client_secret private_key public_key "
+    # Long words of prose, for their stems and endings.
+    "accomplishment acknowledgement administration advertisement approximately archaeological characterization "
+    "characteristically commercialization communications comprehensive conceptualization congratulations "
+    "considerations constitutional contemporary contradictory correspondence counterproductive cryptography "
+    "decentralization demonstration differentiation disappointment discrimination disproportionately electromagnetic "
+    "entertainment entrepreneurship environmentally establishment experimentation extraordinarily fundamentally "
+    "generalization globalization governmental hypothetically identification implementation incomprehensible "
+    "inconsistencies independently individualistic industrialization infrastructure institutionalized instrumentation "
+    "intellectually interconnected interdisciplinary internationalization interpretation investigations "
+    "justification knowledgeable manufacturing mathematically microorganisms misinterpretation misunderstanding "
+    "multidimensional nationalization neighbourhood notwithstanding organizational oversimplification "
+    "parliamentary pharmaceutical philosophical photographers professionalism psychological qualifications "
+    "recommendations rehabilitation representatives responsibilities revolutionary semiconductor simultaneously "
+    "sophistication specialization standardization straightforward superintendent sustainability telecommunications "
+    "transcontinental transformation transportation uncharacteristic unconstitutional understanding unfortunately "
+    "unprecedented vulnerabilities".split()
 ).encode()
 
 
 def novelty(text: str, start: int, end: int) -> float:
     """Marginal compressed bytes for each character of a candidate, given what surrounds it."""
+    return _novelty(text[start:end], text[max(0, start - AROUND) : start] + "\n" + text[end : end + AROUND])
+
+
+def _novelty(piece: str, around: str) -> float:
     import zstandard
 
-    around = text[max(0, start - AROUND) : start] + "\n" + text[end : end + AROUND]
     primer = zstandard.ZstdCompressionDict(IDENTIFIERS + b"\n" + around.encode("utf-8", "replace"), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     compressor = zstandard.ZstdCompressor(level=6, dict_data=primer, write_content_size=False, write_checksum=False, write_dict_id=False)
-    return (len(compressor.compress(text[start:end].encode())) - len(compressor.compress(b""))) / (end - start)
+    return (len(compressor.compress(piece.encode())) - len(compressor.compress(b""))) / len(piece)
 
 
 def is_novel(text: str, start: int, end: int, threshold: float = NOVELTY) -> bool:
-    """Whether a piece of the candidate is novel."""
-    n = -(-(end - start) // PIECE)
-    cuts = [start + (end - start) * i // n for i in range(n + 1)]
+    """Whether a piece of the candidate is novel. Line ends within it don't count."""
+    name, before, after = LINE_ENDS.sub("", text[start:end]), text[max(0, start - AROUND) : start], text[end : end + AROUND]
+    n = -(-len(name) // PIECE)
+    cuts = [len(name) * i // n for i in range(n + 1)]
     # What follows a piece in its candidate is left out: only what stands before has been seen.
-    after = text[end : end + AROUND]
-    return any(novelty(text[max(0, a - AROUND) : b] + after, min(a, AROUND), min(a, AROUND) + b - a) >= threshold for a, b in zip(cuts, cuts[1:]))
+    return any(_novelty(name[a:b], (before + name[max(0, a - AROUND) : a])[-AROUND:] + "\n" + after) >= threshold for a, b in zip(cuts, cuts[1:]))
 
 
 def fixed_spans(text: str) -> list[tuple[int, int, str]]:
@@ -89,28 +116,52 @@ def fixed_spans(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
+def candidates(text: str) -> list[tuple[int, int]]:
+    """Spans of the strings that sensitive words point to, in order."""
+    keys = [m.span(1) for m in PEM.finditer(text)]
+    found = [m.span() for a, b in keys for m in BODY.finditer(text, a, b)]
+    lines, at = [], 0
+    for line in text.split("\n"):
+        if line.strip():
+            lines.append((at, at + len(line)))
+        at += len(line) + 1
+    # The words and the keys part what stands beside them.
+    words, near, i = [m.span() for m in CONTEXT.finditer(text)], set(), 0
+    for a, _ in words:
+        while lines[i][1] <= a:
+            i += 1
+        near.update((i - 1, i, i + 1))
+    walls, k = sorted(words + keys), 0
+    for i in sorted(near & set(range(len(lines)))):
+        at, end = lines[i]
+        while at < end:
+            while k < len(walls) and walls[k][1] <= at:
+                k += 1
+            stop = min(end, walls[k][0]) if k < len(walls) else end
+            found += [m.span() for m in CANDIDATE.finditer(text, at, stop)] if at < stop else []
+            at = walls[k][1] if stop < end else end
+    return sorted(set(found))
+
+
 def novel_spans(text: str, threshold: float = NOVELTY) -> list[tuple[int, int, str]]:
-    """Candidates behind sensitive words, measured. A word's reach ends with its line."""
+    """Candidates, measured."""
     low = text.lower()
     if not any(w in low for w in SENSITIVE):
         return []
-    found = {}
-    for word in CONTEXT.finditer(text):
-        line = text.find("\n", word.end())
-        stop = min(word.end() + REACH, line if line >= 0 else len(text))
-        at = word.end()
-        while at <= stop and (m := CANDIDATE.search(text, at)) and m.start() <= stop:
-            at = m.end()
-            name = m[0]
-            if m.span() not in found and re.search("[0-9]", name) and re.search("[A-Za-z]", name):
-                found[m.span()] = is_novel(text, *m.span(), threshold)
-    return [(a, b, "novel") for (a, b), new in found.items() if new]
+    return [(a, b, "novel") for a, b in candidates(text) if is_novel(text, a, b, threshold)]
 
 
 def scan_text(text: str, threshold: float = NOVELTY) -> list[tuple[int, int, str]]:
     """All spans (start, end, kind). A candidate inside a fixed form's span is that form's already."""
     fixed = fixed_spans(text)
-    new = [s for s in novel_spans(text, threshold) if not any(a <= s[0] and s[1] <= b for a, b, _ in fixed)]
+    new, reach, k = [], 0, 0
+    by_start = sorted(fixed)
+    for s in novel_spans(text, threshold):
+        while k < len(by_start) and by_start[k][0] <= s[0]:
+            reach = max(reach, by_start[k][1])
+            k += 1
+        if s[1] > reach:
+            new.append(s)
     return sorted(fixed + new, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
