@@ -109,6 +109,36 @@ def test_em_finds_accuracies():
     assert all(abs(g - a) < 0.02 and abs(b - 0.7) < 0.06 for (g, b), a in zip(model["right"], accuracy, strict=True))
 
 
+@pytest.mark.parametrize("accuracy, on_bad, most_rejected", [
+    ([0.85, 0.85, 0.985, 0.985, 0.985, 0.985, 0.985, 0.985], 0.6, 0.02),
+    ([0.8, 0.95, 0.85, 0.9, 0.95, 0.9, 0.8, 0.92], 0.7, 0.05),
+])
+def test_em_finds_rules_that_often_wrong_good_documents(accuracy, on_bad, most_rejected):
+    rng = random.Random(1)
+    cast, of_good = collections.Counter(), collections.Counter()
+    for _ in range(10000):
+        good = rng.random() < 0.7
+        vote = tuple((1 if (rng.random() < (a if good else on_bad)) == good else -1) if rng.random() < 0.8 else 0 for a in accuracy)
+        cast[vote] += 1
+        of_good[vote] += good
+    model = quality_rules.fit_votes(list(cast.items()))
+    assert abs(model["prior"] - 0.7) < 0.03
+    assert all(abs(g - a) < 0.03 and abs(b - on_bad) < 0.06 for (g, b), a in zip(model["right"], accuracy, strict=True))
+    rejected = sum(k for v, k in of_good.items() if quality_rules._log_odds(model["prior"], model["right"], v) < 0)
+    assert rejected < most_rejected * sum(of_good.values())
+
+
+def test_em_keeps_good_and_bad_apart():
+    # Seven of ten documents are bad: every vote must still speak for itself.
+    rng = random.Random(2)
+    cast = collections.Counter()
+    for _ in range(3000):
+        good = rng.random() < 0.3
+        cast[tuple((1 if (rng.random() < 0.9) == good else -1) if rng.random() < 0.8 else 0 for _ in range(8))] += 1
+    model = quality_rules.fit_votes(list(cast.items()))
+    assert abs(model["prior"] - 0.3) < 0.05 and all(g >= 0.5 and g + b >= 1 for g, b in model["right"])
+
+
 def test_mixing_shares_shortages_among_siblings_first(spark):
     leaves = [("a", "en", "s1", 100), ("a", "en", "s2", 1000), ("a", "fr", "s3", 1000), ("b", "en", "s4", 5000)]
     df = spark.createDataFrame(leaves, "domain string, lang string, source string, tokens bigint")

@@ -113,8 +113,11 @@ def fit_votes(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 50) ->
                     h[2] += k * (1 - p) * (v < 0)
                     h[3] += k * (1 - p)
         prior = min(0.99, max(0.01, good_sum / total))
-        # A rule is admitted if it wrongs few good documents. This also keeps good from meaning bad.
-        right = [(min(0.998, max(0.98, h[0] / h[1])), min(0.99, max(0.02, h[2] / h[3]))) for h in hits]
+        # No vote of a rule may speak for its opposite: that keeps good from meaning bad, and nothing else does.
+        right = []
+        for h in hits:
+            g = min(0.998, max(0.5, h[0] / h[1]))
+            right.append((g, min(0.99, max(0.02, 1 - g, h[2] / h[3]))))
     return {"prior": prior, "right": right}
 
 
