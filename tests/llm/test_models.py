@@ -258,6 +258,28 @@ def test_neighbours_of_odd_rows(spark):
     assert neighbours.search(df.filter("vec_id = 20"), every=20).count() == 0
 
 
+@pytest.mark.parametrize("lengths", ["outlier", "lognormal"])
+def test_neighbours_of_uneven_lengths(spark, lengths):
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((4000, 64))
+    x /= np.sqrt((x**2).sum(axis=1))[:, None]
+    if lengths == "outlier":
+        x[7] *= 5000
+    else:
+        x *= rng.lognormal(0, 1.5, len(x))[:, None]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "vec_id bigint, embedding array<double>")
+    found = collections.defaultdict(set)
+    for r in neighbours.search(df, every=50, k=20).collect():
+        found[r.query_id].add(r.vec_id)
+    shares = []
+    for q in range(0, len(x), 50):
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        assert len(found[q]) == 20
+        shares.append(len(found[q] & set(np.argsort(-scores)[:20].tolist())) / 20)
+    assert np.mean(shares) >= 0.9 and min(shares) >= 0.5, (np.mean(shares), min(shares))
+
+
 def test_probes_come_in_order_of_success():
     t = neighbours.Tables(8, 2, 5, 1.0)
     place = np.array([0.1, 1.9, -0.4, 3.5, 2.2])

@@ -1,8 +1,9 @@
 """Approximate nearest neighbours by inner product: multiprobe p-stable hashing.
 
-Vectors are put on a sphere: divided by the greatest length of all, with one more component that makes up
-the rest of the length; a query gets none and is stretched to length 1. Then the nearest by distance are
-those of the largest inner product. Each of `tables` hash tables cuts `hashes` Gaussian projections into
+Vectors are dealt into bands by length, each down to half of its longest, and put on a sphere: divided by the
+band's greatest length, with one more component that makes up the rest; a query gets none and is stretched
+to length 1. Then the nearest by distance are those of the largest inner product in the band. A query
+visits all bands. Each of `tables` hash tables cuts `hashes` Gaussian projections into
 cells of `width`; a query visits, in each table, its own cell and then others in the order of estimated
 success, that is of the summed squared distances to the cell walls that lead there. The candidates of
 all tables are merged and ranked by their exact inner products.
@@ -15,7 +16,8 @@ Equal vectors are one candidate, which stands for its least `k` + 1 ids: more ca
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no part, nor do
 those whose length isn't the most common one; rows with equal id are one, with the least vector; a query
-never finds itself; ties go to the smaller id; with fewer than `k` candidates all that were found return.
+never finds itself; ties go to the smaller id; a query that met fewer than `k` is compared with all vectors,
+in blocks, so that `k` return wherever there are as many others.
 """
 
 from __future__ import annotations
@@ -49,9 +51,10 @@ class Tables:
         """Projections in units of cells: rows, tables, hashes."""
         return ((x @ self.directions + self.offsets) / self.width).reshape(len(x), self.tables, self.hashes)
 
-    def bucket(self, cells: np.ndarray) -> np.ndarray:
-        """A number for each table and cell; cells: (..., tables, hashes)."""
+    def bucket(self, cells: np.ndarray, band: np.ndarray | int = 0) -> np.ndarray:
+        """A number for each table, cell and band; cells: (..., tables, hashes), band: one, or (..., 1)."""
         out = (cells.astype(np.int64).view(np.uint64) * self.codes[:, :-1]).sum(axis=-1, dtype=np.uint64) + self.codes[:, -1]
+        out += np.asarray(band, np.int64).view(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
         out ^= out >> np.uint64(31)
         out *= np.uint64(0x9E3779B97F4A7C15)
         return (out ^ (out >> np.uint64(29))).view(np.int64)
@@ -96,14 +99,16 @@ def _indexed(tables: Tables, longest: float):
             if not batch.num_rows:
                 continue
             x = _matrix(batch.column("v")) / longest
+            band = batch.column("band").to_numpy()
+            x = x * np.exp2(band)[:, None]
             rest = np.sqrt(np.maximum(0, 1 - (x**2).sum(axis=1)))
-            buckets = tables.bucket(np.floor(tables.places(np.column_stack([x, rest]))))
+            buckets = tables.bucket(np.floor(tables.places(np.column_stack([x, rest]))), band[:, None])
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), _lists(list(buckets))], ["id", "v", "buckets"])
 
     return run
 
 
-def _probing(tables: Tables, count: int):
+def _probing(tables: Tables, count: int, bands: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -115,7 +120,8 @@ def _probing(tables: Tables, count: int):
             for place in places:
                 cells = [tables.probes(p, count) for p in place]
                 most = min(len(c) for c in cells)
-                rows.append(np.unique(tables.bucket(np.stack([c[:most] for c in cells], axis=1)).ravel()))
+                cells = np.stack([c[:most] for c in cells], axis=1)
+                rows.append(np.unique(np.concatenate([tables.bucket(cells, b).ravel() for b in bands])))
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), _lists(rows)], ["id", "v", "buckets"])
 
     return run
@@ -217,8 +223,12 @@ def search(
     functions = Tables(size["dim"], tables, hashes, width)
     shape = "id bigint, v array<double>, buckets array<bigint>"
     queries = rows.filter(F.col("id") % every == 0)
-    index = materialise(classes.select("id", "v").mapInArrow(_indexed(functions, size["longest"]), shape), "index")
-    probes = materialise(queries.mapInArrow(_probing(functions, max(4, 2 ** (hashes - 1))), shape), "probes")
+    # Halvings that a length needs from the longest; lengths that fall under a double's range share the last.
+    halvings = F.least(F.lit(1000), F.greatest(F.lit(0), F.floor(F.log2(F.lit(size["longest"]) / F.sqrt(square))).cast("int")))
+    banded = classes.select("id", "v", F.coalesce(halvings, F.lit(1000)).cast("long").alias("band"))
+    bands = sorted(r["band"] for r in banded.select("band").distinct().collect())  # 1,001 at most
+    index = materialise(banded.mapInArrow(_indexed(functions, size["longest"]), shape), "index")
+    probes = materialise(queries.mapInArrow(_probing(functions, max(4, 2 ** (hashes - 1)), bands), shape), "probes")
     held = index.select(F.explode("buckets").alias("bucket")).groupBy("bucket").count()
     asked = probes.select(F.explode("buckets").alias("bucket")).groupBy("bucket").count()
 
@@ -242,16 +252,32 @@ def search(
             .select("bucket", "block", "qblock", F.lit(kind).alias("kind"), "id", "v")
         )
 
-    met = dealt(index, 0, "blocks", "qblocks").unionByName(dealt(probes, 1, "qblocks", "blocks"))
-    met = met.repartition("bucket", "block", "qblock").sortWithinPartitions("bucket", "block", "qblock", "kind")
-    found = met.mapInArrow(_searching(k + SLACK), "query_id bigint, id bigint, near double")
-    best = found.groupBy("query_id", "id").agg(F.max("near").alias("near"))
-    first = Window.partitionBy("query_id").orderBy(F.desc("near"), "id")
-    best = best.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= k + SLACK).drop("n")
     exact = F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
-    scored = (
-        best.join(queries.select(F.col("id").alias("query_id"), F.col("v").alias("q")), "query_id").join(classes, "id")
-        .select("query_id", exact.alias("score"), F.explode("members").alias("vec_id")).filter("vec_id <> query_id")
+
+    def ranked(met: DataFrame) -> DataFrame:
+        met = met.repartition("bucket", "block", "qblock").sortWithinPartitions("bucket", "block", "qblock", "kind")
+        found = met.mapInArrow(_searching(k + SLACK), "query_id bigint, id bigint, near double")
+        best = found.groupBy("query_id", "id").agg(F.max("near").alias("near"))
+        first = Window.partitionBy("query_id").orderBy(F.desc("near"), "id")
+        best = best.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= k + SLACK).drop("n")
+        scored = (
+            best.join(queries.select(F.col("id").alias("query_id"), F.col("v").alias("q")), "query_id").join(classes, "id")
+            .select("query_id", exact.alias("score"), F.explode("members").alias("vec_id")).filter("vec_id <> query_id")
+        )
+        final = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        return scored.withColumn("rank", F.row_number().over(final)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    by_cell = materialise(ranked(dealt(index, 0, "blocks", "qblocks").unionByName(dealt(probes, 1, "qblocks", "blocks"))), "ranked")
+    most = min(k, rows.count() - 1)
+    whole = by_cell.groupBy("query_id").count().filter(F.col("count") >= most).select(F.col("query_id").alias("id"))
+    short = materialise(queries.join(whole, "id", "left_anti"), "short")
+    n_short = short.count()
+    if not n_short or most < 1:
+        return by_cell
+    # The few that met fewer: all vectors as one cell, in blocks as above.
+    cells = short.sparkSession.range(1).select(
+        F.lit(0).cast("long").alias("bucket"), F.lit(-(-size["n"] // BLOCK)).alias("blocks"), F.lit(-(-n_short // BLOCK)).alias("qblocks")
     )
-    final = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return scored.withColumn("rank", F.row_number().over(final)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    one = F.array(F.lit(0).cast("long")).alias("buckets")
+    by_all = ranked(dealt(classes.select("id", "v", one), 0, "blocks", "qblocks").unionByName(dealt(short.select("id", "v", one), 1, "qblocks", "blocks")))
+    return by_cell.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").unionByName(by_all)
