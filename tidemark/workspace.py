@@ -24,7 +24,7 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, *, compression: str | None = None) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     Cuts lineage so that a lost executor costs a re-read, and gives the planner the exact size:
@@ -32,7 +32,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = work_dir(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
