@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import language_id, line_dedup, lm_score, mixing, near_dedup, neighbours, pieces, quality_model, quality_rules, secrets
+from tidemark.llm import alignment, collocations, language_id, licenses, line_dedup, lm_score, mixing, near_dedup, neighbours, pieces, quality_model, quality_rules, secrets
 
 PIECES_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+BYTE_LEVEL = "/opt/tokenizers/byte_bpe_50k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -105,6 +106,26 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str, model: str = PIECES_MOD
     )
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    at = F.transform("places", lambda p: p["word"])
+    base = F.array_sort(F.array_distinct(F.transform("places", lambda p: p["label"])))
+    return found.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min(at).alias("first_word"), F.array_max(at).alias("last_word"),
+        F.array_join(base, ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score",
+        F.size("expressions").cast("long").alias("n_expressions"), "terms",
+    )
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"), least=30, percent=80, top=2000)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str, byte_level: str = BYTE_LEVEL, marked: str = PIECES_MODEL) -> DataFrame:
+    return alignment.align(_table(spark, sf_dir, "documents"), alignment.Tokenizers.load(byte_level, marked))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_quality_classifier": op2_quality_classifier,
@@ -116,6 +137,9 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_line_dedup": op9_line_dedup,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_licenses": op11_licenses,
+    "op12_collocations": op12_collocations,
+    "op13_alignment": op13_alignment,
 }
 
 def _shared_sql(level: str, above: list[str], weight: str, parent: str) -> str:
@@ -185,4 +209,40 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
         FROM marked GROUP BY doc_id
     """,
+    "op12_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), split AS (
+            SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+        ), found AS (
+            SELECT lang, m, phrase, count(*) AS f FROM (
+                SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i : i + m - 1], ' '))) AS phrase
+                FROM split, range(1, 5) AS sizes(m)
+            ) GROUP BY ALL
+        ), totals AS (
+            SELECT lang, sum(f)::BIGINT AS n FROM found WHERE m = 1 GROUP BY lang
+        ), often AS (
+            SELECT *, string_split(phrase, ' ') AS w FROM found WHERE m > 1 AND f >= 30
+        ), inner_parts AS (
+            SELECT lang, part, max(f) AS longer FROM (
+                SELECT lang, f, unnest(list_transform(range(1, m - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) AS part
+                FROM often, range(2, 4) AS sizes(k) WHERE k < m
+            ) GROUP BY ALL
+        ), candidates AS (
+            SELECT o.* FROM often o LEFT JOIN inner_parts p ON o.lang = p.lang AND o.phrase = p.part
+            WHERE p.longer IS NULL OR 100 * p.longer::HUGEINT < 80 * o.f::HUGEINT
+        ), cuts AS (
+            SELECT lang, phrase, f, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+            FROM candidates, range(1, 4) AS sizes(k) WHERE k < m
+        ), scored AS (
+            SELECT c.lang, c.phrase, c.f AS a, x.f AS l, y.f AS r, (2000000 * c.f::HUGEINT // (x.f + y.f))::BIGINT AS score,
+                   row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY 2000000 * c.f::HUGEINT // (x.f + y.f), k) AS place
+            FROM cuts c JOIN found x ON x.lang = c.lang AND x.phrase = c.head JOIN found y ON y.lang = c.lang AND y.phrase = c.tail
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM scored WHERE place = 1
+        )
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """,
 }
