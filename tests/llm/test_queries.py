@@ -28,4 +28,4 @@ def test_query_matches_sql(name, spark, duck, medium):
 
 
 def test_each_operator_has_a_query():
-    assert [sum(n.startswith(f"op{k}_") for n in QUERIES) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in QUERIES) for k in range(1, 14)] == [1] * 13
