@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from registered.changes import REPLAY_SQL
-from registered.common import Registry, change_log, load
-from tidemark.functions.coordinates import Coordinate
+from registered.common import TABLES, Registry, change_log, load
 from tidemark.operators.changes import replay, with_seq
 from tidemark.operators.restore import upsert, upsert_partitions
 from tidemark.plans.backup import run_backup
-from tidemark.plans.restore import restore_table, upsert_in_place
+from tidemark.plans.restore import restore_schema, restore_set, restore_table, upsert_in_place
 from tidemark.sinks.formats import CSV, read_artifact, write_artifact
-from tidemark.sources.tables import Table
+from tidemark.sources.catalog import catalog_columns, table_counts
+from tidemark.sources.tables import Table, table_set
 from tidemark.workspace import work_dir
 
 R = Registry()
@@ -58,12 +58,30 @@ def upsert_from_csv(spark, sf_dir):
 def upsert_touched_partitions(spark, sf_dir):
     """Only partitions that the increment touches are rebuilt; the rest is neither read nor written."""
     orders = load(spark, sf_dir, "orders")
+    path = work_dir(spark, "by-priority")
+    write_artifact(orders, path, partition_by=("o_orderpriority",))
     increment = _increment(orders).filter("o_orderpriority <> '5-LOW'")
     return upsert_partitions(
-        orders, increment, ["o_orderpriority", "o_orderkey"], ["o_orderpriority"]
+        read_artifact(spark, path, orders.schema), increment, ["o_orderpriority", "o_orderkey"], ["o_orderpriority"]
     )
 
 
+@R.add("""
+    WITH o AS (SELECT *, o_custkey % 500 AS shard FROM orders),
+         touched AS (SELECT DISTINCT shard FROM o WHERE o_orderkey % 10 = 0 AND (shard < 40 OR shard > 460) AND shard % 3 = 0)
+    SELECT * REPLACE (CASE WHEN o_orderkey % 10 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus)
+    FROM o WHERE shard IN (SELECT shard FROM touched)
+""")
+def upsert_scattered_partitions(spark, sf_dir):
+    """A table in some 500 partitions and an increment that touches a few at both ends: the scan is pruned
+    to these when it runs, not to all between the least and the greatest."""
+    orders = load(spark, sf_dir, "orders").withColumn("shard", F.col("o_custkey") % 500)
+    path = work_dir(spark, "by-shard")
+    write_artifact(orders.repartition("shard"), path, partition_by=("shard",))
+    increment = _increment(orders).filter("(shard < 40 OR shard > 460) AND shard % 3 = 0")
+    return upsert_partitions(read_artifact(spark, path, orders.schema), increment, ["shard", "o_orderkey"], ["shard"])
+
+
 @R.add("""
     SELECT * REPLACE (CASE WHEN o_orderkey % 10 = 0 AND o_orderpriority <> '5-LOW' THEN 'X'
                       ELSE o_orderstatus END AS o_orderstatus)
@@ -111,17 +129,18 @@ def _chain_sql(until: str) -> str:
 def _orders_chain(spark, sf_dir: str, until: str) -> DataFrame:
     base = work_dir(spark, "chain")
     orders = load(spark, sf_dir, "orders")
-    for when, mode, since in ((T0, "full", None), (T1, "incremental", T0), (T2, "incremental", None)):
+    for when, mode in ((T0, "full"), (T1, "incremental"), (T2, "incremental")):
         run_backup(
             spark, [Table("public", "orders", _orders_at(orders, when))], database="shop",
-            destinations={"local": base}, mode=mode, at=when, since=since,
+            destinations={"local": base}, mode=mode, at=when,
         )
     return restore_table(spark, base, "shop", "public", "orders", ["o_orderkey"], until=until)
 
 
 @R.add(_chain_sql(T2))
 def restore_chain(spark, sf_dir):
-    """A full backup, two increments (the second resuming from saved state), and the restored table."""
+    """A full backup, two increments (the first from the full set on, the second from saved state), and
+    the restored table."""
     return _orders_chain(spark, sf_dir, T2)
 
 
@@ -131,6 +150,57 @@ def restore_point_in_time(spark, sf_dir):
     return _orders_chain(spark, sf_dir, T1)
 
 
+@R.add(f"""
+    SELECT o.*, c.*, s.* FROM ({_chain_sql(T2)}) o
+    JOIN (SELECT * REPLACE (CASE WHEN c_custkey % 4 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal),
+                 CASE WHEN c_custkey % 4 = 0 THEN TIMESTAMP '1998-01-01' ELSE TIMESTAMP '1996-01-01' END AS c_updated
+          FROM customer) c ON o.o_custkey = c.c_custkey
+    LEFT JOIN supplier s ON s.s_suppkey = c.c_custkey
+""")
+def restore_all_tables(spark, sf_dir):
+    """Three tables backed up in full and twice in part, restored as one set; two of them changed."""
+    base = work_dir(spark, "whole-set")
+    orders, customer, supplier = (load(spark, sf_dir, n) for n in ("orders", "customer", "supplier"))
+    for when, mode in ((T0, "full"), (T1, "incremental"), (T2, "incremental")):
+        changed = F.lit(when >= T1) & (F.col("c_custkey") % 4 == 0)
+        customers = customer.withColumns({
+            "c_acctbal": F.when(changed, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")),
+            "updated_at": F.when(changed, F.expr("TIMESTAMP_NTZ '1998-01-01'")).otherwise(F.expr("TIMESTAMP_NTZ '1996-01-01'")),
+        })
+        tables = {"public.orders": _orders_at(orders, when), "public.customer": customers, "ref.supplier": supplier}
+        run_backup(spark, table_set(tables), database="shop", destinations={"local": base}, mode=mode, at=when)
+    back = restore_set(
+        spark, base, "shop", {"public.orders": ["o_orderkey"], "public.customer": ["c_custkey"]}, until=T2
+    )
+    customers = back["public.customer"].withColumnRenamed("updated_at", "c_updated")
+    joined = back["public.orders"].join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    return joined.join(back["ref.supplier"], F.col("s_suppkey") == F.col("c_custkey"), "left")
+
+
+@R.add("""
+    SELECT c.table_name, c.ordinal_position AS ordinal, c.column_name,
+           CASE c.data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+                WHEN 'VARCHAR' THEN 'string' WHEN 'FLOAT[]' THEN 'array<float>' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END AS data_type,
+           CASE WHEN c.table_name IN ('orders', 'lineitem', 'part') THEN 'sales' ELSE 'main' END AS schema_name
+    FROM information_schema.columns c
+    WHERE c.table_schema = 'main' AND c.table_name NOT IN ('region', 'nation')
+""")
+def restore_schema_only(spark, sf_dir):
+    """A schema set of two schemas, found by its manifest and rebuilt as empty tables."""
+    base = work_dir(spark, "schema-only")
+    tables = [
+        Table("sales" if t in ("orders", "lineitem", "part") else "lookup" if t in ("region", "nation") else "main", t, load(spark, sf_dir, t))
+        for t in TABLES
+    ]
+    run_backup(
+        spark, tables, database="shop", destinations={"local": base}, mode="schema", at=T0, per_schema=True, exclude_schemas="lookup"
+    )
+    rebuilt = restore_schema(spark, base, "shop", until=T1)
+    restored = [Table(*name.split("."), df) for name, df in rebuilt.items()]
+    found = catalog_columns(spark, restored).join(table_counts(restored).filter("n_rows = 0"), ["schema_name", "table_name"])
+    return found.select("table_name", "ordinal", "column_name", "data_type", "schema_name")
+
+
 @R.add(f"SELECT user_id, event_id, event_type, value FROM ({REPLAY_SQL})")
 def restore_log_chain(spark, sf_dir):
     """A full backup in the middle of a change log, two log increments, and the restored table."""
@@ -138,7 +208,6 @@ def restore_log_chain(spark, sf_dir):
     log = with_seq(change_log(load(spark, sf_dir, "events")))
     last = log.agg(F.max("event_id").alias("n")).first().n
     columns = ["user_id", "event_id", "event_type", "value"]
-    start = None
     for at, mode, upto in (
         ("2024-02-01", "full", last // 3),
         ("2024-02-02", "incremental", 2 * last // 3),
@@ -146,16 +215,10 @@ def restore_log_chain(spark, sf_dir):
     ):
         seen = log.filter(F.col("event_id") <= upto)
         users = replay(seen, ["user_id"]).select(columns)
-        manifest = run_backup(
+        run_backup(
             spark, [Table("app", "users", users)] if mode == "full" else [], database="app",
-            driver="mysql", mode=mode, at=at, destinations={"local": base},
-            changes=[Table("app", "users", seen)], log_start=start,
+            driver="mysql", mode=mode, at=at, destinations={"local": base}, changes=[Table("app", "users", seen)],
         )
-        if mode == "full":
-            end = manifest.select(F.from_json("meta", "`to` struct<file:string,pos:bigint>").alias("m"))
-            start = Coordinate(*end.select("m.to.*").first())
-        else:
-            start = None
     return restore_table(
         spark, base, "app", "app", "users", ["user_id"], driver="mysql", until="2024-02-03"
     )

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import os
 from datetime import timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -17,6 +19,8 @@ from tidemark.plans.backup import run_backup
 from tidemark.plans.restore import (
     ChainError,
     backup_chain,
+    restore_schema,
+    restore_set,
     restore_snapshot,
     restore_table,
     write_restored,
@@ -25,7 +29,12 @@ from tidemark.plans.retention import all_manifests, apply_retention
 from tidemark.sinks.formats import read_artifact
 from tidemark.sinks.removal import remove_sets
 from tidemark.sources.catalog import CATALOG_SCHEMA, catalog_columns, empty_table, user_schemas
-from tidemark.sources.manifests import manifest_artifacts, parsed_meta, read_manifests
+from tidemark.sources.manifests import (
+    compact_manifests,
+    manifest_artifacts,
+    parsed_meta,
+    read_manifests,
+)
 from tidemark.sources.state import load_coordinate, load_since
 from tidemark.sources.tables import VIEW, Table, catalog_tables, jdbc_table, parquet_tables, table_set
 from tidemark.workspace import Storage, work_dir
@@ -298,16 +307,18 @@ def test_chain_with_a_hole_is_refused(spark, base):
         restore_table(spark, base, "shop", "public", "t", ["id"], until="2024-01-05")
 
 
-def test_changed_columns_between_increments_are_refused(spark, base):
+def test_columns_that_vanish_or_change_are_refused(spark, base):
     backup_of(spark, base, "2024-01-01", {"public.t": rows_at(spark, 2)})
     for at, df in (
         ("2024-01-02", rows_at(spark, 2, "2024-01-02")),
         ("2024-01-03", rows_at(spark, 2, "2024-01-03").withColumn("w", F.lit(1))),
+        ("2024-01-04", rows_at(spark, 2, "2024-01-04").withColumn("w", F.lit("1"))),
     ):
-        backup_of(spark, base, at, {"public.t": df}, mode="incremental", since="2024-01-01")
-    assert restore_table(spark, base, "shop", "public", "t", ["id"], until="2024-01-02").count() == 2
+        backup_of(spark, base, at, {"public.t": df}, mode="incremental")
+    for day in (2, 3):
+        assert restore_table(spark, base, "shop", "public", "t", ["id"], until=f"2024-01-0{day}").count() == 2
     with pytest.raises(ChainError, match="columns"):
-        restore_table(spark, base, "shop", "public", "t", ["id"], until="2024-01-03")
+        restore_table(spark, base, "shop", "public", "t", ["id"], until="2024-01-04")
 
 
 def change_table(spark, upto):
@@ -445,3 +456,148 @@ def test_removal_stays_below_the_base(spark, base):
         )
         with pytest.raises(ValueError, match="refusing"):
             remove_sets(spark, expired, {"local": base}, dry_run=False)
+
+
+def test_a_full_set_and_increments_with_nothing_but_defaults_are_a_chain(spark, base):
+    tables = {"public.t": rows_at(spark, 2, "2024-01-01")}
+    backup_of(spark, base, "2024-01-02", tables)
+    changed = {"public.t": rows_at(spark, 3, "2024-01-03")}
+    first = parsed_meta(backup_of(spark, base, "2024-01-05", changed, mode="incremental")).first().info
+    assert first.since_utc.isoformat().startswith("2024-01-02")
+    backup_of(spark, base, "2024-01-09", {"public.t": rows_at(spark, 4, "2024-01-08")}, mode="incremental")
+    back = restore_table(spark, base, "shop", "public", "t", ["id"], until="2024-01-09")
+    assert {(r.id, r.updated_at.day) for r in back.collect()} == {(k, 8) for k in range(4)}
+    # A later full set takes nothing back: the next increment goes on from saved state, and joins it too.
+    backup_of(spark, base, "2024-01-10", changed)
+    last = parsed_meta(backup_of(spark, base, "2024-01-11", changed, mode="incremental")).first().info
+    assert last.since_utc.isoformat().startswith("2024-01-09")
+    assert restore_table(spark, base, "shop", "public", "t", ["id"], until="2024-01-11").count() == 3
+
+
+def test_the_full_set_of_another_connection_is_no_start(spark, base):
+    tables = {"public.t": rows_at(spark, 2, "2024-01-01")}
+    backup_of(spark, base, "2024-01-02", tables, connection="one")
+    info = parsed_meta(backup_of(spark, base, "2024-01-05", tables, mode="incremental", connection="two")).first().info
+    assert info.since_utc.isoformat().startswith("2024-01-04")
+
+
+def test_log_chain_with_defaults(spark, base):
+    log = with_seq(spark.createDataFrame(
+        [(f"bin.{8 + k // 10}", 4 + k % 10, "write", k % 7, k) for k in range(50)], "file string, pos bigint, op string, id int, v int"
+    ))
+    def at(n):
+        return log.filter(F.col("v") < n)
+    def rows(n):
+        return spark.createDataFrame([(k, max(v for v in range(n) if v % 7 == k)) for k in range(7)], "id int, v int")
+    for day, mode, n in ((1, "full", 15), (2, "incremental", 30), (3, "incremental", 50)):
+        run_backup(
+            spark, [Table("a", "t", rows(n))] if mode == "full" else [], database="shop", driver="mariadb", mode=mode,
+            destinations={"local": base}, at=f"2024-01-0{day}", changes=[Table("a", "t", at(n))],
+        )
+    back = restore_table(spark, base, "shop", "a", "t", ["id"], driver="mysql", until="2024-01-03")
+    assert {tuple(r) for r in back.collect()} == {tuple(r) for r in rows(50).collect()}
+
+
+def test_a_run_opens_only_its_familys_documents(spark, base):
+    """100,000 foreign manifests and as many old states, of which any would fail to be read."""
+    tables = {"public.t": rows_at(spark, 2, "2024-01-01")}
+    backup_of(spark, base, "2024-01-02", tables)
+    bad = Path(base.removeprefix("file:")) / "bad.json"
+    bad.write_text("{not json")
+    where = bad.parent / "_manifests"
+    for k in range(100_000):
+        os.link(bad, where / f"other{k % 97}_pg_full_{20000101 + k % 28}_{k:06d}.manifest.json") if k % 30_000 else None
+        if k and not k % 20_000:  # a file holds only so many names
+            bad = bad.with_name(f"bad{k}.json")
+            bad.write_text("{not json")
+    states = bad.parent / "_state/shop_pgsql_state"
+    states.mkdir(parents=True)
+    for k in range(1000):
+        os.link(bad, states / f"shop_pg_incremental_20200101_{k:06d}.json")
+    (states / "shop_pg_incremental_20240102_120000.json").write_text(
+        '{"connection": "shop", "driver": "pgsql", "set_id": "x", "saved_utc": "2024-01-02T12:00:00+00:00", "since_utc": "2024-01-02T00:00:00+00:00"}'
+    )
+    info = parsed_meta(backup_of(spark, base, "2024-01-04", {"public.t": rows_at(spark, 3, "2024-01-03")}, mode="incremental", retention_keep=5)).first().info
+    assert info.since_utc.isoformat().startswith("2024-01-02T00:00")
+    assert restore_table(spark, base, "shop", "public", "t", ["id"], until="2024-01-04").count() == 3
+
+
+def test_manifests_of_a_family_are_indexed(spark, base, monkeypatch):
+    def document(day, database="shop", at=None):
+        name = f"{database.replace('/', '-')}_pg_full_202401{day:02d}_000000.manifest.json"
+        meta = {"upper_utc": f"2024-01-{day:02d}T00:00:00Z", "tables": []}
+        doc = {"at_utc": f"2024-01-{day:02d}T00:00:00Z", "driver": "pgsql", "database": database, "mode": "full", "files": [f"f{day}"], "meta": meta}
+        Storage(spark).write_text(f"{base}/_manifests/{name}", json.dumps(doc))
+        return name
+
+    def own(**family):
+        return names(read_manifests(spark, base, database="shop", **family))
+
+    first = [document(d) for d in range(1, 7)]
+    document(1, "shop_pg_full")  # its name starts alike
+    assert own() == own(driver="pgsql", mode="full") == first
+    assert not compact_manifests(spark, base, "shop", "pgsql", "full", least=7)
+    assert compact_manifests(spark, base, "shop", "pgsql", "full", least=3)
+    want = read_manifests(spark, base).filter("database = 'shop'").orderBy("manifest").collect()
+    assert read_manifests(spark, base, database="shop").orderBy("manifest").collect() == want
+    # Indexed documents are not opened again; those that came since are; those removed are gone.
+    for name in first[1:]:
+        file = Path(base.removeprefix("file:")) / "_manifests" / name
+        file.write_text("{not json")
+        file.with_name(f".{name}.crc").unlink(missing_ok=True)
+    Storage(spark).delete(f"{base}/_manifests/{first[0]}")
+    late = [document(d) for d in range(10, 14)]
+    assert own() == own(driver="pgsql", mode="full") == first[1:] + late
+    assert compact_manifests(spark, base, "shop", "pgsql", "full", least=3)
+    assert own() == first[1:] + late
+    late += [document(d) for d in range(20, 24)]
+    assert compact_manifests(spark, base, "shop", "pgsql", "full", least=3) and own() == first[1:] + late
+    versions = Storage(spark).child_names(f"{base}/_manifests/_index/shop_pg_full_")
+    assert versions == ["v=000000001", "v=000000002"]
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        read_manifests(spark, base).collect()  # all documents
+
+
+def test_a_set_of_tables_is_restored_with_added_columns(spark, base):
+    def tables(day, wide):
+        t = rows_at(spark, 2 + day, f"2024-01-0{day}")
+        t = t.withColumn("w", F.lit(day)) if wide else t
+        return {"public.t": t, "public.u": rows_at(spark, 3, "2024-01-01"), "audit.t": rows_at(spark, day, f"2024-01-0{day}")}
+    for day, mode, fmt in ((1, "full", "parquet"), (2, "incremental", "csv"), (3, "incremental", "parquet"), (4, "incremental", "csv")):
+        backup_of(spark, base, f"2024-01-0{day}T12:00:00", tables(day, day >= 3), mode=mode, fmt=fmt)
+    keys = {"public.t": ["id"], "audit.t": ["id"]}
+    back = restore_set(spark, base, "shop", keys, until="2024-01-05")
+    assert set(back) == {"public.t", "public.u", "audit.t"}
+    assert {(r.id, r.updated_at.day, r.w) for r in back["public.t"].collect()} == {(k, 4, 4) for k in range(6)}
+    assert back["audit.t"].count() == 4 and back["public.u"].count() == 3
+    mid = restore_set(spark, base, "shop", keys, until="2024-01-03T12:00:00")["public.t"]
+    assert {(r.id, r.w) for r in mid.collect()} == {(k, 3) for k in range(5)}
+    with pytest.raises(KeyError, match="audit.t"):
+        restore_set(spark, base, "shop", {"public.t": ["id"]}, until="2024-01-05")
+    with pytest.raises(KeyError, match="public.x"):
+        restore_set(spark, base, "shop", keys | {"public.x": ["id"]}, until="2024-01-05")
+    backup_of(spark, base, "2024-01-06", {"public.t": rows_at(spark, 9, "2024-01-05")}, mode="incremental")
+    with pytest.raises(ChainError, match="'w'"):  # a column is gone
+        restore_set(spark, base, "shop", keys, until="2024-01-06")
+
+
+def test_each_increment_is_read_once(spark, base):
+    backup_of(spark, base, "2024-01-01", {"public.t": rows_at(spark, 50)})
+    backup_of(spark, base, "2024-01-02", {"public.t": rows_at(spark, 5, "2024-01-02")}, mode="incremental")
+    back = restore_table(spark, base, "shop", "public", "t", ["id"], until="2024-01-02")
+    folders = {f.rpartition("/tidemark/")[2].split("-")[0] for f in back.inputFiles()}
+    assert folders == {"base", "latest"} and not any("/incremental/" in f for f in back.inputFiles())
+    assert "HashAggregate" not in back._jdf.queryExecution().executedPlan().toString()
+
+
+def test_schema_sets_are_restored_by_their_manifest(spark, small, base):
+    tables = [Table("a", t.table_name, t.df) if t.table_name < "n" else t for t in parquet_tables(spark, small)]
+    with pytest.raises(ChainError, match="no schema set"):
+        restore_schema(spark, base, "shop", until="2024-01-05")
+    for day, options in ((1, {"per_schema": True, "include_schemas": "a"}), (2, {"fmt": "csv"}), (3, {"per_schema": True})):
+        run_backup(spark, tables, database="shop", destinations={"local": base}, mode="schema", at=f"2024-01-0{day}", **options)
+    want = {t.name: t.df.schema for t in tables}
+    assert set(restore_schema(spark, base, "shop", until="2024-01-01")) == {n for n in want if n.startswith("a.")}
+    for day in (2, 3):
+        back = restore_schema(spark, base, "shop", until=f"2024-01-0{day}")
+        assert {n: df.schema for n, df in back.items()} == want and all(df.isEmpty() for df in back.values())

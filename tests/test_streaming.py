@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 from registered.common import change_log, load
 from tidemark.operators.changes import declare_seq, with_seq
+from tidemark.plans.backup import run_backup
+from tidemark.plans.restore import restore_table
+from tidemark.plans.retention import apply_retention
+from tidemark.sources.manifests import manifest_artifacts, read_manifests
+from tidemark.sources.tables import Table
 from tidemark.streaming import increments
 from tidemark.streaming.increments import (
     file_stream,
@@ -14,6 +19,7 @@ from tidemark.streaming.increments import (
     read_unique,
     stream_changes,
     stream_extract,
+    stream_sets,
 )
 from tidemark.workspace import Storage, work_dir
 
@@ -74,3 +80,71 @@ def test_change_log_batches(spark, small, places):
     back = rows.select(log.columns)
     assert back.exceptAll(log).isEmpty() and log.exceptAll(back).isEmpty()
     assert "batch=0" in Storage(spark).child_names(out)
+
+
+def sets_of(spark, source, base, checkpoint, schema, **options):
+    stream_sets(
+        file_stream(spark, source, schema, max_files=1), checkpoint, database="app", schema_name="app", table_name="t",
+        destinations={"a": base, "b": f"{base}/copy"}, **options,
+    )
+
+
+def test_stream_sets_are_sets_like_others(spark, places):
+    source, base, _, checkpoint = places
+    rows = spark.range(20).select("id", F.lit(1).alias("version"), F.lit("old").alias("v"))
+    run_backup(spark, [Table("app", "t", rows)], database="app", destinations={"a": base, "b": f"{base}/copy"}, at="2024-01-01")
+    want = {k: "old" for k in range(20)}
+    for n in range(3):
+        part = spark.range(5 * n, 5 * n + 12).select("id", F.lit(n + 2).alias("version"), F.lit(f"new{n}").alias("v"))
+        repeat = part.withColumns({"version": F.lit(0), "v": F.lit("stale")})
+        part.unionByName(repeat).coalesce(1).write.mode("append").parquet(source)
+        want |= {k: f"new{n}" for k in range(5 * n, 5 * n + 12)}
+        sets_of(spark, source, base, checkpoint, rows.schema, keys=["id"], order=["version"])
+    for place in (base, f"{base}/copy"):
+        back = restore_table(spark, place, "app", "app", "t", ["id"], until="2999-01-01")
+        assert {r.id: r.v for r in back.collect()} == want
+    listed = read_manifests(spark, base, "a", database="app", driver="pgsql", mode="incremental")
+    assert listed.count() == 3 and manifest_artifacts(listed).count() == 3
+    plan = apply_retention(spark, {"a": base}, keep=1, database="app", mode="incremental", dry_run=False)
+    assert plan.filter("step = 1").count() == 2
+    assert read_manifests(spark, base, database="app", driver="pgsql", mode="incremental").count() == 1
+
+
+@pytest.mark.parametrize("step", ["copy_artifact", "write_manifest"])
+def test_a_batch_is_one_set_however_often_it_is_tried(spark, places, monkeypatch, step):
+    source, base, _, checkpoint = places
+    rows = spark.range(10).select("id", F.lit("v").alias("v"))
+    run_backup(spark, [Table("app", "t", rows.limit(0))], database="app", destinations={"a": base, "b": f"{base}/copy"}, at="2024-01-01")
+    rows.coalesce(1).write.parquet(source)
+    real, calls = getattr(increments, step), []
+
+    def failing(*args, **options):
+        calls.append(args)
+        if len(calls) <= 2:  # nothing is written at the first destination, then nothing at the second
+            raise RuntimeError("lost")
+        if step == "write_manifest" and len(calls) == 4:
+            raise RuntimeError("lost")
+        return real(*args, **options)
+
+    monkeypatch.setattr(increments, step, failing)
+    for tries in range(4):
+        try:
+            sets_of(spark, source, base, checkpoint, rows.schema)
+        except Exception as error:
+            assert "lost" in str(error)
+            if len(calls) <= 2:  # an uncommitted batch is not read
+                assert restore_table(spark, base, "app", "app", "t", ["id"], until="2999-01-01").isEmpty()
+    for place in (base, f"{base}/copy"):
+        assert read_manifests(spark, place, database="app", driver="pgsql", mode="incremental").count() == 1
+        assert restore_table(spark, place, "app", "app", "t", ["id"], until="2999-01-01").count() == 10
+
+
+def test_empty_batches_leave_no_gap(spark, places):
+    source, base, _, checkpoint = places
+    rows = spark.range(4).select("id", F.lit("v").alias("v"))
+    run_backup(spark, [Table("app", "t", rows)], database="app", destinations={"a": base, "b": f"{base}/copy"}, at="2024-01-01")
+    for part in (rows, rows.limit(0), rows.limit(0), rows.withColumn("v", F.lit("w"))):
+        part.coalesce(1).write.mode("append").parquet(source)
+        sets_of(spark, source, base, checkpoint, rows.schema, since="2024-01-01")
+    back = restore_table(spark, base, "app", "app", "t", ["id"], until="2999-01-01")
+    assert {r.v for r in back.collect()} == {"w"}

@@ -5,7 +5,7 @@ from tidemark.operators.changes import LogGapError
 from tidemark.operators.incremental import incremental_extract
 from tidemark.operators.retention import expired_sets
 from tidemark.plans.backup import run_backup
-from tidemark.plans.restore import ChainError, restore_table, upsert_in_place
+from tidemark.plans.restore import ChainError, restore_schema, restore_set, restore_table, upsert_in_place
 from tidemark.plans.retention import apply_retention
 from tidemark.sources.tables import Table, catalog_tables, jdbc_table, parquet_tables, table_set
 
@@ -20,6 +20,8 @@ __all__ = [
     "incremental_extract",
     "jdbc_table",
     "parquet_tables",
+    "restore_schema",
+    "restore_set",
     "restore_table",
     "run_backup",
     "table_set",

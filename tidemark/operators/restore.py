@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators.changes import DELETE_OPS, latest_changes
 from tidemark.workspace import materialise
@@ -53,15 +53,18 @@ def upsert(
     *,
     allow_missing_columns: bool = False,
     check_keys: bool = True,
+    check_base: bool = False,
 ) -> DataFrame:
     """Rows of the increment replace base rows with the same key; other rows stay or are added.
 
     An increment read from files is broadcast by Spark when its size is under the session's
-    threshold, and then the base is not shuffled at all; a larger one is merge-joined.
+    threshold, and then the base is not shuffled at all; a larger one is merge-joined. `check_keys`
+    reads the increment's keys; `check_base` those of the base, which it has to shuffle.
     """
     _same_columns(base, increment, allow_missing_columns)
     if check_keys:
         require_keys(increment, keys, "increment")
+    if check_base:
         require_keys(base, keys, "base")
     untouched = _matching(base, increment, keys, "left_anti")
     return untouched.unionByName(increment, allowMissingColumns=allow_missing_columns)
@@ -75,36 +78,41 @@ def apply_changes(
     op_column: str = "op",
     delete_ops: Sequence[str] = DELETE_OPS,
     order: Sequence[str] = ("seq", "pos"),
-    check_keys: bool = True,
+    check_base: bool = False,
 ) -> DataFrame:
-    """Apply a change slice in log order, deletes included. Change rows are full row images."""
+    """Apply a change slice in log order, deletes included. Change rows are full row images.
+
+    The last change of each key is stored once: what it replaces and what it adds are read from there.
+    `check_base` reads the base's keys, which it has to shuffle.
+    """
     missing = set(base.columns) - set(changes.columns)
     if missing:
         raise ValueError(f"change rows lack columns of the base: {sorted(missing)}")
-    if check_keys:
+    if check_base:
         require_keys(base, keys, "base")
-    latest = latest_changes(changes, keys, order)
+    latest = materialise(latest_changes(changes, keys, order), "latest")
     kept = latest.filter(~F.coalesce(F.col(op_column).isin(list(delete_ops)), F.lit(False)))
     untouched = _matching(base, latest, keys, "left_anti")
     return untouched.unionByName(kept.select(*base.columns))
 
 
-def _bounds(touched: DataFrame, columns: Sequence[str]) -> Column:
-    """A filter of literals that all touched partitions pass: it prunes, whatever their number."""
-    measured = touched.agg(*[
-        f(name).alias(f"{k}_{i}")
-        for i, name in enumerate(columns)
-        for k, f in (("low", F.min), ("high", F.max), ("null", lambda c: F.max(F.col(c).isNull())))
-    ]).first()
-    within = F.lit(True)
-    for i, name in enumerate(columns):
-        test = F.lit(False)
-        if measured[f"low_{i}"] is not None:
-            test = F.col(name).between(F.lit(measured[f"low_{i}"]), F.lit(measured[f"high_{i}"]))
-        if measured[f"null_{i}"]:
-            test = test | F.col(name).isNull()
-        within = within & test
-    return within
+def _touched(target: DataFrame, touched: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows of `target` in touched partitions, read from these alone where it is stored by `columns`.
+
+    Partitions without a NULL are met by equality with the stored rows of `touched`. Spark then runs
+    those first and prunes the scan by them, one by one, if they are few enough to be broadcast; it
+    does so only for a side with a filter, and that is what `hit` is for. Partitions with a NULL are
+    a branch of their own, whose filter prunes all others when the plan is made.
+    """
+    null = F.lit(False)
+    for name in columns:
+        null = null | F.col(f"`{name}`").isNull()
+    hit = touched.filter(F.col("hit") == 1)
+    same = F.lit(True)
+    for name in columns:
+        same = same & (F.col(f"r.`{name}`") == F.col(f"o.`{name}`"))
+    met = target.alias("r").join(hit.alias("o"), same, "left_semi")
+    return met.unionByName(_matching(target.filter(null), touched.filter(null), columns, "left_semi"))
 
 
 def upsert_partitions(
@@ -114,16 +122,17 @@ def upsert_partitions(
     partition_keys: Sequence[str],
     *,
     check_keys: bool = True,
+    check_base: bool = False,
 ) -> DataFrame:
     """The new content of just those partitions of `target` that the increment touches.
 
-    The partition columns must be part of the key, so that no row can change partition. The least
-    and greatest touched value of each column, and whether NULL is touched, become literals that
-    prune the scan of a target stored by these columns; a semi-join on the touched partitions, in
-    which NULL equals NULL, then keeps exactly those.
+    The partition columns must be part of the key, so that no row can change partition. Of a target
+    stored by these columns only the touched partitions are read, however they are scattered.
     """
     if not set(partition_keys) <= set(keys):
         raise ValueError("partition columns must be part of the key")
-    touched = materialise(increment.select(*partition_keys).distinct(), "touched-partitions")
-    affected = _matching(target.filter(_bounds(touched, partition_keys)), touched, partition_keys, "left_semi")
-    return upsert(affected, increment, keys, check_keys=check_keys)
+    if "hit" in partition_keys:
+        raise ValueError("a partition column may not be named hit")
+    touched = increment.select(*partition_keys).distinct().withColumn("hit", F.lit(1))
+    affected = _touched(target, materialise(touched, "touched-partitions"), partition_keys)
+    return upsert(affected, increment, keys, check_keys=check_keys, check_base=check_base)

@@ -29,7 +29,12 @@ from tidemark.sinks.fanout import copy_artifact, run_jobs
 from tidemark.sinks.formats import PARQUET, write_artifact
 from tidemark.sinks.records import manifest_name_text, save_state, set_token_text, write_manifest
 from tidemark.sources.catalog import catalog_columns, user_tables, watermark_tables
-from tidemark.sources.manifests import MANIFEST_SCHEMA, manifest_location, with_tokens
+from tidemark.sources.manifests import (
+    MANIFEST_SCHEMA,
+    compact_manifests,
+    manifest_location,
+    with_tokens,
+)
 from tidemark.sources.state import load_coordinate, load_since
 from tidemark.sources.tables import Table
 from tidemark.workspace import Storage
@@ -271,7 +276,10 @@ def run_backup(
     increment slices them, and a full set records where the log stood before its tables were read.
     `log_files` lists the log's files where some hold no change of these tables.
 
-    Resume state belongs to a `connection`, by default the database itself.
+    Resume state belongs to a `connection`, by default the database itself. An increment without
+    `since` starts where the last one of its connection ended, the first one where the newest full
+    set stood: that set's manifest holds both, so a full set and increments with nothing but
+    defaults make a chain.
 
     `at` is the run's clock: the set stamp, the upper bound of a watermark increment and the
     instant retention counts ages from. Tables are read one by one, not in one transaction; the
@@ -306,10 +314,14 @@ def run_backup(
     if mode == INCREMENTAL and driver == "mysql":
         if not changes:
             raise ValueError("a log increment needs change tables")
-        start = log_start or load_coordinate(spark, state_path, connection, driver)
+        start = log_start or load_coordinate(
+            spark, state_path, connection, driver, base=first_base, database=database
+        )
         plan = log_plan(database, changes, start, log_files, cluster_changes)
     elif mode == INCREMENTAL:
-        saved = load_since(spark, state_path, connection, driver) if since is None else None
+        saved = None
+        if since is None:
+            saved = load_since(spark, state_path, connection, driver, base=first_base, database=database)
         window = resume_window(at, since=since, saved=saved, lookback=lookback)
         names = watermark_tables(catalog_columns(spark, tables), watermark_column)
         chosen = _chosen_tables(tables, names, include_tables, exclude_tables)
@@ -348,6 +360,7 @@ def run_backup(
     }
     for base in bases.values():
         write_manifest(spark, base, name, manifest)
+        compact_manifests(spark, base, database, driver, mode)
 
     if plan.resume and not outcome.failed:
         set_id = name.removesuffix(MANIFEST_SUFFIX)

@@ -14,11 +14,14 @@ from tidemark.sources.manifests import manifest_location, read_manifests
 from tidemark.workspace import Storage, materialise
 
 
-def all_manifests(spark: SparkSession, bases: Mapping[str, str]) -> DataFrame | None:
-    """Manifests of every destination that has any."""
+def all_manifests(
+    spark: SparkSession, bases: Mapping[str, str], *,
+    database: str | None = None, driver: str | None = None, mode: str | None = None,
+) -> DataFrame | None:
+    """Manifests of every destination that has any; of one database or family, only its own are opened."""
     storage = Storage(spark)
     found = [
-        read_manifests(spark, base, disk)
+        read_manifests(spark, base, disk, database=database, driver=driver, mode=mode)
         for disk, base in bases.items()
         if storage.exists(manifest_location(base))
     ]
@@ -41,8 +44,12 @@ def apply_retention(
 
     Returns the removal plan, or None when there is nothing to look at.
     """
-    manifests = all_manifests(spark, bases)
-    if manifests is None or (keep is None and days is None):
+    if keep is None and days is None:
+        return None
+    manifests = all_manifests(
+        spark, bases, database=database, driver=driver if database else None, mode=mode if database and driver else None
+    )
+    if manifests is None:
         return None
     for name, value in (("database", database), ("driver", driver), ("mode", mode)):
         if value is not None:

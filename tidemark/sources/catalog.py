@@ -44,6 +44,15 @@ def empty_table(spark: SparkSession, catalog: DataFrame, schema_name: str, table
     return spark.createDataFrame([], T.StructType(fields))
 
 
+def empty_tables(spark: SparkSession, catalog: DataFrame) -> dict[str, DataFrame]:
+    """All tables of a catalog by `schema.table`, without rows. A catalog has one row for each column."""
+    fields: dict[str, list[T.StructField]] = {}
+    for c in catalog.orderBy("schema_name", "table_name", "ordinal").collect():
+        own = fields.setdefault(f"{c.schema_name}.{c.table_name}", [])
+        own.append(T.StructField(c.column_name, T.DataType.fromDDL(c.data_type), c.nullable))
+    return {name: spark.createDataFrame([], T.StructType(own)) for name, own in fields.items()}
+
+
 def user_schemas(catalog: DataFrame) -> DataFrame:
     return (
         catalog.select("schema_name")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +37,17 @@ def materialise(df: DataFrame, label: str, *, compression: str | None = None) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `materialise` wrote. For tables whose every reader's result is written too:
+    nothing that a lost executor takes with it is then made from them again."""
+    for df in tables:
+        folders = {f.rpartition("/")[0] for f in df.inputFiles()}
+        for folder in folders:
+            if "/tidemark/" not in folder:
+                raise ValueError(f"{folder} is no intermediate table")
+            Storage(df.sparkSession).delete(folder)
+
+
 class Storage:
     """Small files and deletes on any Hadoop file system, from the driver."""
 
@@ -55,10 +67,36 @@ class Storage:
         fs, p = self._open(path)
         return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
+    def matching_names(self, pattern: str) -> list[str]:
+        """Last path parts of what a glob finds."""
+        return sorted(x.rpartition("/")[2] for x in self.matching_paths(pattern))
+
+    def matching_paths(self, pattern: str) -> list[str]:
+        """Paths that a glob finds: listed and matched in the JVM, and sent as one text, for which a job's
+        input setting serves, since that takes an array of paths."""
+        fs, p = self._open(pattern)
+        found = fs.globStatus(p)
+        if found is None or not len(found):
+            return []
+        hadoop = self._jvm.org.apache.hadoop
+        job = hadoop.mapred.JobConf(self._conf)
+        hadoop.mapred.FileInputFormat.setInputPaths(job, hadoop.fs.FileUtil.stat2Paths(found))
+        joined = job.get("mapreduce.input.fileinputformat.inputdir")
+        return sorted(re.sub(r"\\(.)", r"\1", x) for x in re.split(r"(?<!\\),", joined))
+
     def delete(self, path: str) -> bool:
         fs, p = self._open(path)
         return fs.delete(p, True)
 
+    def read_text(self, path: str) -> str:
+        """A small file, whole."""
+        fs, p = self._open(path)
+        source = fs.open(p)
+        try:
+            return bytes(self._jvm.org.apache.commons.io.IOUtils.toByteArray(source)).decode("utf-8")
+        finally:
+            source.close()
+
     def write_text(self, path: str, text: str) -> None:
         """Create a new file whole: written under a hidden name, then renamed."""
         fs, p = self._open(path)
