@@ -25,12 +25,14 @@ is carried.
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
+import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.frequent import most_frequent
@@ -38,7 +40,7 @@ from tidemark.llm.ship import ship
 from tidemark.workspace import materialise
 
 SEGMENT = 1 << 16  # characters that are encoded together
-RANGE = 1 << 14  # bytes of one fragment
+RANGE = 1 << 16  # bytes of one fragment
 FAN = 8  # fragments put together at once
 SENT = 1 << 19  # pairs whose counts go to all tasks
 TOGETHER = 1 << 19  # characters of texts that are encoded in one call
@@ -69,21 +71,48 @@ def _byte_level() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+# Fixed value: how a byte-level vocabulary of this kind splits a text before merging.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Runs that a merge by plain search would take the square of their length for.
+LONG_RUN = re.compile(r"\S{2000}|\s{2000}")
+
+
 class ByteLevel(Side):
-    """A byte-level vocabulary; a space is put before the text."""
+    """A byte-level vocabulary; a space is put before the text. Ids that follow the order of the merges
+    are ranks as well: a faster library merges by these, and the definition's own library takes the
+    texts with long runs. Both give the same ids."""
 
     def __init__(self, definition: str):
+        import tiktoken
         import tokenizers
 
         self.model = tokenizers.Tokenizer.from_str(definition)
         self.model.encode_special_tokens = True
-        of = _byte_level()
-        size = self.model.get_vocab_size()
-        names = [self.model.id_to_token(i) or "" for i in range(size)]
-        super().__init__([bytes(of[c] for c in n) if all(c in of for c in n) else n.encode() for n in names])
+        fields = json.loads(definition)
+        vocabulary, of = fields["model"]["vocab"], _byte_level()
+        names = {i: bytes(of[c] for c in n) for n, i in vocabulary.items() if all(c in of for c in n)}
+        special = {t["id"]: t["content"].encode() for t in fields.get("added_tokens", [])}
+        size = max([*names, *special]) + 1
+        super().__init__([special.get(i, names.get(i, b"")) for i in range(size)])
+        made = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in fields["model"]["merges"]]
+        ranks = {n: i for i, n in names.items() if i not in special}
+        splits = fields["pre_tokenizer"]
+        plain = splits["type"] == "ByteLevel" and splits.get("use_regex", True) and not splits.get("add_prefix_space")
+        self.ranked = None
+        if plain and made == sorted(made) and all(bytes([b]) in ranks for b in range(256)):
+            self.ranked = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.model.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        out: list = [None] * len(texts)
+        slow = []
+        for k, text in enumerate(texts):
+            if self.ranked is None or LONG_RUN.search(text):
+                slow.append(k)
+            else:
+                out[k] = self.ranked.encode_ordinary(" " + text)
+        for k, found in zip(slow, self.model.encode_batch_fast([" " + texts[k] for k in slow], add_special_tokens=False), strict=True):
+            out[k] = found.ids
+        return out
 
 
 class Marked(Side):
@@ -160,6 +189,30 @@ def _behind(a, b):
     return tuple((np.concatenate([x[0], y[0]]), np.concatenate([x[1], y[1]])) for x, y in zip(a, b, strict=True))
 
 
+def _places(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct ends of both sides in order, and the token of either side that each lies in. Ends
+    count from where both sides start."""
+    if not len(a_ends):
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    size = int(a_ends[-1]) + 1
+    marks = np.zeros((2, size), np.int8)
+    marks[0, a_ends], marks[1, b_ends] = 1, 1
+    ends = np.flatnonzero(marks[0] | marks[1])
+    before = [np.cumsum(m, dtype=np.int32)[ends] - m[ends] for m in marks]
+    return ends, before[0], before[1]
+
+
+class Pairs:
+    """Pairs of ids as numbers: second id first, in 32 bits where all fit."""
+
+    def __init__(self, first: int, second: int):
+        self.first = first
+        self.kind = np.uint32 if first * second < 1 << 32 else np.int64
+
+    def of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return b.astype(self.kind) * self.kind(self.first) + a.astype(self.kind)
+
+
 def links_of(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray) -> np.ndarray:
     """Pairs of ids whose tokens overlap, for tokens that start and end together, as b << 32 | a."""
     ends = np.union1d(a_ends, b_ends)
@@ -196,7 +249,9 @@ def fragment(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarra
     starts where tokens of both sides start."""
     common = np.intersect1d(a_ends, b_ends, assume_unique=True)
     if not len(common):
-        return Fragment(((a, a_ends), (b, b_ends)), None, 0, (NONE, NONE), []), *NONE
+        tokens, none = ((a, a_ends), (b, b_ends)), (NONE, NONE)
+        # The start of a text is a common end too: what follows it is open behind it.
+        return (Fragment(none, "", 0, tokens, []) if head else Fragment(tokens, None, 0, none, [])), *NONE
     first = -1 if head else common[0]
     last = common[-1]
     parts = []
@@ -230,8 +285,8 @@ def join(x: Fragment, y: Fragment) -> Fragment:
 OPEN = ("pa", "pa_ends", "pb", "pb_ends", "sa", "sa_ends", "sb", "sb_ends")
 FRAGMENT = {"uid": "bigint", "place": "bigint", "closed": "boolean", "text": "string", "n_groups": "bigint", **dict.fromkeys((*OPEN, "links"), "binary")}
 # Of one range besides: the closed tokens, how many tokens end in it, and whether it is a whole text.
-RANGED = {**FRAGMENT, "doc_id": "bigint", "ok": "boolean", "lone": "boolean", "n_a": "bigint", "n_b": "bigint", "ids_a": "array<int>", "ids_b": "array<int>"}
-_ARROW = {"bigint": pa.int64(), "boolean": pa.bool_(), "string": pa.large_string(), "binary": pa.large_binary(), "array<int>": pa.list_(pa.int32())}
+RANGED = {**FRAGMENT, "doc_id": "bigint", "ok": "boolean", "lone": "boolean", "n_a": "bigint", "n_b": "bigint", "ids_a": "binary", "ids_b": "binary"}
+_ARROW = {"bigint": pa.int64(), "boolean": pa.bool_(), "string": pa.large_string(), "binary": pa.large_binary()}
 
 
 def _ddl(fields: dict) -> str:
@@ -259,6 +314,23 @@ def _unpacked(row: dict) -> Fragment:
     return Fragment(prefix, row["text"] if row["closed"] else None, row["n_groups"], suffix, [x["links"]] if len(x["links"]) else [])
 
 
+class Packer:
+    """Token ids of one text as few bytes: half-size numbers, compressed."""
+
+    def __init__(self, vocabulary: int):
+        self.kind = np.uint16 if vocabulary <= 1 << 16 else np.uint32
+        self.pack_bytes = zstandard.ZstdCompressor(level=1).compress
+        self.unpack_bytes = zstandard.ZstdDecompressor().decompress
+
+    def pack(self, ids: np.ndarray) -> bytes:
+        return self.pack_bytes(ids.astype(self.kind).tobytes())
+
+    def unpack(self, packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and how many each row has; an empty value is no ids."""
+        parts = [np.frombuffer(self.unpack_bytes(p) if p else b"", self.kind) for p in packed]
+        return np.concatenate([np.empty(0, self.kind), *parts]).astype(np.int64), np.array([len(x) for x in parts], np.int64)
+
+
 def _digest(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest() if text else ""
 
@@ -285,6 +357,7 @@ def _encoded(tokenizers: Tokenizers, range_size: int, whole: bool):
 
     def several(rows: list[tuple]) -> pa.RecordBatch:
         first, second = tokenizers.sides()
+        packers = [Packer(len(side.names)) for side in (first, second)]
         texts, out = [r[3] for r in rows], []
         for (uid, doc_id, start, text), a, b in zip(rows, first.encode(texts), second.encode(texts), strict=True):
             wanted = (" " + text).encode()
@@ -304,7 +377,7 @@ def _encoded(tokenizers: Tokenizers, range_size: int, whole: bool):
                     row["text"] = _digest(row["text"])
                 out.append({
                     "uid": uid, "place": start + low, **row, "doc_id": doc_id, "ok": ok, "lone": lone, "n_a": len(own[0]), "n_b": len(own[2]),
-                    "ids_a": closed_a.astype(np.int32), "ids_b": closed_b.astype(np.int32),
+                    "ids_a": packers[0].pack(closed_a), "ids_b": packers[1].pack(closed_b),
                 })
         return pa.RecordBatch.from_arrays(_columns(out, RANGED), list(RANGED))
 
@@ -323,12 +396,17 @@ def _encoded(tokenizers: Tokenizers, range_size: int, whole: bool):
     return run
 
 
-def _composed(table: pa.Table) -> pa.Table:
-    """All fragments of one node, in order, as one; the node bounds their number."""
-    rows = sorted(table.to_pylist(), key=lambda r: r["place"])
-    whole = reduce(join, map(_unpacked, rows))
-    row = {"uid": rows[0]["uid"], "place": rows[0]["place"], **_packed(whole)}
-    return pa.Table.from_arrays(_columns([row], FRAGMENT), list(FRAGMENT))
+def _composed(last: bool):
+    """All fragments of one node, in order, as one; the node bounds their number. The last one's text is hashed."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda r: r["place"])
+        row = {"uid": rows[0]["uid"], "place": rows[0]["place"], **_packed(reduce(join, map(_unpacked, rows)))}
+        if last:
+            row["text"] = _digest(row["text"])
+        return pa.Table.from_arrays(_columns([row], FRAGMENT), list(FRAGMENT))
+
+    return run
 
 
 def fragments(docs: DataFrame, tokenizers: Tokenizers, *, segment: int = SEGMENT, range_size: int = RANGE) -> DataFrame:
@@ -346,50 +424,97 @@ def fragments(docs: DataFrame, tokenizers: Tokenizers, *, segment: int = SEGMENT
         return lambda batches: _encoded(sent.value, range_size, whole)(batches)
 
     rows = short.mapInArrow(encoded(True), _ddl(RANGED)).unionByName(segments.mapInArrow(encoded(False), _ddl(RANGED)))
-    return materialise(rows, "fragments", compression="zstd")
+    return materialise(rows, "fragments")
 
 
 def compose(rows: DataFrame, range_size: int = RANGE) -> DataFrame:
-    """One fragment for each text of several ranges, by a tree: a node holds the ranges of `FAN` nodes below."""
+    """One fragment for each text of several ranges, by a tree: a node holds the ranges of `FAN` nodes
+    below. Of the groups as text it has the hash."""
     ranged = rows.select(*FRAGMENT)
     top = ranged.agg(F.max("place").alias("place")).first()["place"] or 0
     width = range_size
     while True:
         width *= FAN
         node = F.floor(F.col("place") / width).alias("node")
-        ranged = ranged.groupBy("uid", node).applyInArrow(_composed, _ddl(FRAGMENT))
+        ranged = ranged.groupBy("uid", node).applyInArrow(_composed(width > top), _ddl(FRAGMENT))
         if width > top:
             return ranged
 
 
-def _flat(batch: pa.RecordBatch, sizes: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The links of a batch of rows, and the row of each: of closed tokens, then those that joins brought."""
-    a, b = batch.column("ids_a"), batch.column("ids_b")
-    flat_a, flat_b = a.flatten().to_numpy().astype(np.int64), b.flatten().to_numpy().astype(np.int64)
-    a_ends, b_ends = np.cumsum(sizes[0][flat_a]), np.cumsum(sizes[1][flat_b])
-    found = links_of(flat_a, a_ends, flat_b, b_ends)
-    lengths = pa.compute.fill_null(pa.compute.list_value_length(a), 0).to_numpy()
-    upto = np.concatenate([[0], a_ends])[np.cumsum(lengths)]
-    row = np.searchsorted(upto, np.union1d(a_ends, b_ends))
-    more = [np.frombuffer(x or b"", np.int64) for x in batch.column("links").to_pylist()]
-    own = np.repeat(np.arange(len(more)), [len(x) for x in more])
-    return np.concatenate([found, *more]), np.concatenate([row, own])
+class Found:
+    """The links of a batch of rows: of closed tokens, in order of the rows, then those that joins brought."""
+
+    def __init__(self, batch: pa.RecordBatch, sizes: tuple[np.ndarray, np.ndarray]):
+        pairs = Pairs(len(sizes[0]), len(sizes[1]))
+        a, lengths = Packer(len(sizes[0])).unpack(batch.column("ids_a").to_pylist())
+        b, _ = Packer(len(sizes[1])).unpack(batch.column("ids_b").to_pylist())
+        a_ends = np.cumsum(sizes[0][a])
+        ends, of_a, of_b = _places(a_ends, np.cumsum(sizes[1][b]))
+        links = pairs.of(a[of_a], b[of_b])
+        upto = np.concatenate([[0], a_ends])[np.cumsum(lengths)]
+        more = [np.frombuffer(x or b"", np.int64) for x in batch.column("links").to_pylist()]
+        joined = np.concatenate([np.empty(0, np.int64), *more])
+        self.bounds = np.concatenate([[0], np.searchsorted(ends, upto, "right")])
+        self.joined_bounds = np.concatenate([[0], np.cumsum([len(x) for x in more])]).astype(np.int64) + len(links)
+        self.links = np.concatenate([links, pairs.of(joined & 0xFFFFFFFF, joined >> 32)])
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """Sums of a value of each link, for each row."""
+        upto = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
+        return np.diff(upto[self.bounds]) + np.diff(upto[self.joined_bounds])
+
+    def rows(self) -> np.ndarray:
+        return np.concatenate([np.repeat(np.arange(len(b) - 1), np.diff(b)) for b in (self.bounds, self.joined_bounds)])
+
+
+class PairTable:
+    """Where a pair stands in a list, by open addressing in numpy."""
+
+    def __init__(self, pairs: np.ndarray):
+        self.bits = max(4, int(len(pairs)).bit_length() + 2)
+        self.at = np.full(1 << self.bits, -1, np.int32)
+        self.pairs = pairs
+        left, step = np.arange(len(pairs), dtype=np.int32), 0
+        while len(left):
+            slot = self._slots(pairs[left], step)
+            free = np.flatnonzero(self.at[slot] < 0)
+            self.at[slot[free]] = left[free]  # of those that want one place, the last gets it
+            left, step = left[self.at[slot] != left], step + 1
+        self.steps = step
+
+    def _slots(self, pairs: np.ndarray, step: int) -> np.ndarray:
+        mixed = pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return ((mixed >> np.uint64(64 - self.bits)).astype(np.int64) + step) & ((1 << self.bits) - 1)
+
+    def find(self, links: np.ndarray) -> np.ndarray:
+        """Places in the list, -1 for pairs that are not there."""
+        out = np.full(len(links), -1, np.int32)
+        left = np.arange(len(links), dtype=np.int32)
+        for step in range(self.steps):
+            at = self.at[self._slots(links[left], step)]
+            some = at >= 0
+            left, at = left[some], at[some]
+            same = self.pairs[at] == links[left]
+            out[left[same]] = at[same]
+            left = left[~same]
+            if not len(left):
+                break
+        return out
 
 
 def pair_counts(rows: DataFrame, sent) -> DataFrame:
-    """pair (b << 32 | a), n, and whether no pair of the same b has more."""
+    """pair (a number of `Pairs`), n, and whether no pair of the same second id has more."""
 
     def run(batches: Batches) -> Batches:
-        first, second = sent.value.sides()
-        held, size = [], 0
+        sizes, held, size = sent.value, [], 0
 
         def counted() -> pa.RecordBatch:
             pairs, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n.astype(np.int64))], ["pair", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(pairs.astype(np.int64)), pa.array(n.astype(np.int64))], ["pair", "n"])
 
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
-                held.append(_flat(batch.slice(at, 512), (first.sizes, second.sizes))[0])
+                held.append(Found(batch.slice(at, 512), sizes).links)
                 size += len(held[-1])
                 if size >= HELD:
                     yield counted()
@@ -398,39 +523,34 @@ def pair_counts(rows: DataFrame, sent) -> DataFrame:
             yield counted()
 
     counts = materialise(rows.select("ids_a", "ids_b", "links").mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
-    b = F.shiftright("pair", 32).alias("b")
+    b = F.expr(f"pair div {len(sent.value[0])}").alias("b")
     most = counts.groupBy(b).agg(F.max("n").alias("most"))
     return materialise(counts.select("pair", "n", b).join(most, "b").select("pair", "n", (F.col("n") == F.col("most")).alias("best")), "counts")
 
 
 def link_sums(rows: DataFrame, counts: DataFrame, sent) -> DataFrame:
-    """uid, n_best and count_sum of each row of fragments: links whose pair is its b's most frequent, and all counts."""
+    """uid, n_best and count_sum of each row of fragments: links whose pair is its second id's most frequent, and all counts."""
     spark = rows.sparkSession
     top = most_frequent(counts, "n", SENT).toArrow()
-    pairs = top["pair"].to_numpy()
-    order = np.argsort(pairs)
-    known = spark.sparkContext.broadcast((pairs[order], top["n"].to_numpy()[order], top["best"].to_numpy().astype(np.int64)[order]))
+    kind = Pairs(*map(len, sent.value)).kind
+    known = spark.sparkContext.broadcast((top["pair"].to_numpy().astype(kind), top["n"].to_numpy(), top["best"].to_numpy().astype(np.int64)))
 
     def run(batches: Batches) -> Batches:
-        first, second = sent.value.sides()
-        names, n, best = known.value
+        sizes, (pairs, *values) = sent.value, known.value
+        table = PairTable(pairs)
+        values = [np.append(v, 0) for v in values]  # at -1: what is not there
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
-                links, row = _flat(part, (first.sizes, second.sizes))
-                at = np.searchsorted(names, links)
-                at[at == len(names)] = 0
-                there = names[at] == links if len(names) else np.zeros(len(links), bool)
-                sums = np.zeros((2, part.num_rows), np.int64)
-                for out, values in zip(sums, (best, n), strict=True):
-                    np.add.at(out, row[there], values[at[there]])
-                rest, of = links[~there], row[~there]
+                found = Found(part, sizes)
+                at = table.find(found.links)
+                n, best = (found.sums(v[at]) for v in values)
+                missed = np.flatnonzero(at < 0)
+                of = found.rows()[missed] if len(missed) else missed
                 order = np.argsort(of, kind="stable")
                 offsets = np.searchsorted(of[order], np.arange(part.num_rows + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("uid"), pa.array(sums[0]), pa.array(sums[1]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(rest[order]))],
-                    ["uid", "n_best", "count_sum", "rest"],
-                )
+                rest = pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.links[missed][order].astype(np.int64)))
+                yield pa.RecordBatch.from_arrays([part.column("uid"), pa.array(best), pa.array(n), rest], ["uid", "n_best", "count_sum", "rest"])
 
     found = materialise(rows.select("uid", "ids_a", "ids_b", "links").mapInArrow(run, "uid bigint, n_best bigint, count_sum bigint, rest array<bigint>"), "sums")
     rare = found.select("uid", F.explode("rest").alias("pair")).groupBy("uid", "pair").agg(F.count(F.lit(1)).alias("times")).join(counts, "pair")
@@ -440,21 +560,20 @@ def link_sums(rows: DataFrame, counts: DataFrame, sent) -> DataFrame:
 
 def align(docs: DataFrame, tokenizers: Tokenizers, *, segment: int = SEGMENT, range_size: int = RANGE) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of each row."""
-    sent = docs.sparkSession.sparkContext.broadcast(tokenizers)
+    sent = docs.sparkSession.sparkContext.broadcast(tuple(side.sizes for side in tokenizers.sides()))
     rows = fragments(docs, tokenizers, segment=segment, range_size=range_size)
     several = rows.filter(~F.col("lone"))
     bad = several.groupBy("uid").agg(F.bool_and("ok").alias("ok")).filter("not ok").select("uid")
     good = several.join(bad, "uid", "left_anti")
     whole = materialise(compose(good, range_size), "composed")
     # What joins closed has no tokens of its own ranges, and ranges have no links of joins.
-    none = F.array().cast("array<int>")
+    none = F.lit(b"")
     linked = rows.filter("lone").select("uid", "ids_a", "ids_b", "links").unionByName(good.select("uid", "ids_a", "ids_b", "links")).unionByName(
         whole.select("uid", none.alias("ids_a"), none.alias("ids_b"), "links")
     )
     sums = link_sums(linked, pair_counts(linked, sent), sent)
     totals = several.groupBy("uid").agg(F.first("doc_id").alias("doc_id"), F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b"))
-    digest = F.when(F.col("text") == "", "").otherwise(F.sha2("text", 256)).alias("text")
-    long = totals.join(whole.select("uid", "n_groups", digest), "uid", "left")
+    long = totals.join(whole.select("uid", "n_groups", "text"), "uid", "left")
     names = ["uid", "doc_id", "n_a", "n_b", "n_groups", "text"]
     every = rows.filter("lone").select(*names).unionByName(long.select(*names)).join(sums, "uid", "left")
     kept = F.col("n_groups") > 0  # a text of several ranges that isn't given back has none
