@@ -31,6 +31,7 @@ from tidemark.llm.ship import ship
 
 MARK = "▁"
 CHARS = 1 << 22  # of text whose distinct words are encoded together
+SHORT = (2, 1)
 KEPT = 400_000  # words whose ids a worker keeps from one batch to the next
 
 
@@ -42,7 +43,13 @@ class Pieces:
         plain = [i for i in range(len(names)) if i not in special and i not in as_bytes]
         self.ids = {names[i]: i for i in plain}
         self.rank = {names[i]: scores[i] for i in plain}
-        self.longest = max((len(n) for n in self.ids), default=1)
+        self.packed = {i: i.to_bytes(4, "little") for i in plain}
+        # The lengths, longest first, of pieces that end in three characters; shorter ones are always tried.
+        by_end: dict[str, set[int]] = {}
+        for n in self.ids:
+            if len(n) > 2:
+                by_end.setdefault(n[-3:], set()).add(len(n))
+        self.lengths = {end: (*sorted(sizes, reverse=True), 2, 1) for end, sizes in by_end.items()}
         self.byte_ids = {b: i for i, b in as_bytes.items()}
         if any(MARK in n.lstrip(MARK) for n in self.ids):
             raise ValueError("a piece has a mark behind another character: words can't be encoded apart")
@@ -93,7 +100,7 @@ class Pieces:
 
     def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
         """Each word's ids, packed as 32-bit numbers."""
-        ids, follows, longest = self.ids, self.follows, self.longest
+        ids, follows, lengths, packed = self.ids, self.follows, self.lengths, self.packed
         out: dict[str, bytes] = {}
         last: list[int] = [-1]  # by length of prefix: the last piece of its encoding; -2: a character of no piece
         size: list[int] = [0]
@@ -105,7 +112,10 @@ class Pieces:
                 common += 1
             del last[common + 1 :], size[common + 1 :], tail[common + 1 :]
             for end in range(common + 1, len(word) + 1):
-                for start in range(max(0, end - longest), end):
+                for length in lengths.get(word[end - 3 : end], SHORT) if end > 2 else SHORT[2 - end :]:
+                    start = end - length
+                    if start < 0:
+                        continue
                     piece = ids.get(word[start:end])
                     if piece is None:
                         continue
@@ -120,8 +130,8 @@ class Pieces:
                         ok = follows[pair] = self._may_follow(before, piece)
                     if ok:
                         last.append(piece)
-                        size.append(end - start)
-                        tail.append(piece.to_bytes(4, "little"))
+                        size.append(length)
+                        tail.append(packed[piece])
                         break
                 else:
                     last.append(-2)
