@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm.words import LOWER, SPACE_CHARS, UPPER
+from tidemark.llm.words import LOWER, SPACE_CHARS, UPPER, let
 from tidemark.workspace import materialise, work_dir
 
 HASH = "struct<a:bigint,b:bigint>"
@@ -33,15 +33,37 @@ def line_hash(line: Column) -> Column:
     return F.when(key != "", both)
 
 
+def text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def line_hashes(docs: DataFrame, *, batches: int, doc_id: str = "doc_id") -> DataFrame:
-    """Stored rows `id`, `a`, `b` for each document and distinct key in it, and the `part` it came with."""
-    found = F.array_compact(F.array_distinct(F.transform(lines(F.col("text")), line_hash)))
+    """Stored rows `id`, `hash`, `a`, `b`, `at` for each line with a key: its document, told by doc_id and
+    text, the key's hash, and its place. `first` marks one row for each document and key, `part` is
+    the batch it came with.
+
+    A document's keys are put in order once, so that equal ones stand together: nothing is compared
+    pair by pair, however many lines a document has.
+    """
+    keyed = F.transform(lines(F.col("text")), lambda x, at: F.struct(line_hash(x).alias("h"), at.alias("at")))
+    ordered = F.sort_array(F.transform(F.filter(keyed, lambda x: x["h"].isNotNull()), lambda x: F.struct(x["h"]["a"].alias("a"), x["h"]["b"].alias("b"), x["at"].alias("at"))))
+
+    def marked(rows: Column) -> Column:
+        def row(x: Column, k: Column) -> Column:
+            before = F.get(rows, k - 1)
+            same = F.coalesce((before["a"] == x["a"]) & (before["b"] == x["b"]), F.lit(False))
+            return F.struct(x["a"].alias("a"), x["b"].alias("b"), x["at"].alias("at"), (~same).alias("first"))
+
+        return F.transform(rows, row)
+
     part = F.pmod(F.xxhash64(F.col(doc_id)), F.lit(batches)).cast("int")
-    rows = docs.select(part.alias("part"), F.col(doc_id).alias("id"), F.explode(found).alias("h")).select("part", "id", "h.a", "h.b")
+    rows = docs.select(
+        part.alias("part"), F.col(doc_id).alias("id"), text_hash(F.col("text")).alias("hash"), F.explode(let(ordered, marked)).alias("x")
+    ).select("part", "id", "hash", "x.*")
     path = work_dir(docs.sparkSession, "lines")
     rows.write.partitionBy("part").parquet(path)
     kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.sparkSession.read.schema(f"id {kind}, a bigint, b bigint, part int").parquet(path)
+    return docs.sparkSession.read.schema(f"id {kind}, hash bigint, a bigint, b bigint, at int, first boolean, part int").parquet(path)
 
 
 class LineRuns:
@@ -96,33 +118,32 @@ def frequent_lines(hashes: DataFrame, *, min_docs: int = 10, batches: int = 4, f
     spark = hashes.sparkSession
     runs = LineRuns(spark, work_dir(spark, "runs"), min_docs, fanout)
     for k in range(batches):
-        runs.add(hashes.filter(F.col("part") == k).select("a", "b"))
+        runs.add(hashes.filter((F.col("part") == k) & F.col("first")).select("a", "b"))
     return materialise(runs.frequent(), "frequent")
 
 
 def drop_lines(docs: DataFrame, hashes: DataFrame, frequent: DataFrame, *, doc_id: str = "doc_id") -> DataFrame:
     """`docs` without the lines of the frequent keys, and how many there were and went.
 
-    Which lines of a document go is found on stored hashes alone; the texts are moved once, to meet it.
+    Which lines of a document go is found on stored hashes alone, as places; the texts are moved once,
+    to meet them. Rows of equal doc_id and text lose the same lines.
     """
     gone = (
-        hashes.select(F.col("id").alias("__id"), "a", "b").join(frequent, ["a", "b"], "left_semi")
-        .groupBy("__id")
-        .agg(F.collect_set(F.struct("a", "b")).alias("__gone"))
-    )
-    joined = docs.drop("n_lines", "n_dropped").join(
-        gone, F.col(doc_id).eqNullSafe(F.col("__id")), "left"
-    )
-    kept = F.filter(
-        lines(F.col("text")), lambda x: ~F.coalesce(F.array_contains("__gone", line_hash(x)), F.lit(False))
+        hashes.select(F.col("id").alias("__id"), F.col("hash").alias("__hash"), "a", "b", "at").join(frequent, ["a", "b"], "left_semi")
+        .groupBy("__id", "__hash")
+        .agg(F.collect_set("at").alias("__gone"))
     )
-    left = joined.withColumn(
-        "__kept", F.when(F.col("__gone").isNotNull(), kept).otherwise(lines(F.col("text")))
+    same = F.col(doc_id).eqNullSafe(F.col("__id")) & (text_hash(F.col("text")) == F.col("__hash"))
+    joined = docs.drop("n_lines", "n_dropped").join(gone, same, "left")
+    kept = let(
+        lines(F.col("text")),
+        lambda every: F.transform(F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("__gone")), lambda at: F.get(every, at)),
     )
+    left = joined.withColumn("__kept", F.when(F.col("__gone").isNotNull(), kept))
     out = left.withColumn("n_lines", F.size(lines(F.col("text"))).cast("long"))
-    out = out.withColumn("n_dropped", F.col("n_lines") - F.size("__kept"))
+    out = out.withColumn("n_dropped", F.coalesce(F.size("__gone"), F.lit(0)).cast("long"))
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join("__kept", "\n"))
-    return out.withColumn("text", text).drop("__id", "__gone", "__kept")
+    return out.withColumn("text", text).drop("__id", "__hash", "__gone", "__kept")
 
 
 def dedup_lines(docs: DataFrame, *, min_docs: int = 10, batches: int = 4, fanout: int = 2) -> DataFrame:
