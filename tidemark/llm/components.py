@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.workspace import materialise
+from tidemark.workspace import discard, materialise
 
 
 def _stars(edges: DataFrame, *, larger: bool) -> DataFrame:
@@ -23,7 +23,7 @@ def _stars(edges: DataFrame, *, larger: bool) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """links: a, b. Gives `node` and `label`, its component's least node, for all other nodes with a link.
+    """links: a, b; ends that are null are no nodes. Gives `node` and `label`, its component's least node, for all other nodes with a link.
 
     Both steps keep components as they are and shorten paths; when nothing changes, every edge joins a
     node to its component's least. A node's neighbours are only ever grouped by a partial minimum.
@@ -37,5 +37,6 @@ def components(links: DataFrame) -> DataFrame:
         if (state["n"], state["s"]) == seen:
             break
         seen = (state["n"], state["s"])
-        edges = materialise(_stars(_stars(edges, larger=True), larger=False), "edges")
+        before, edges = edges, materialise(_stars(_stars(edges, larger=True), larger=False), "edges")
+        discard(before)
     return edges.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("label"))

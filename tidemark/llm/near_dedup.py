@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tidemark.llm.components import components
 from tidemark.llm.hashing import shingles, slices, word_hashes
 from tidemark.llm.ship import ship
-from tidemark.workspace import materialise
+from tidemark.workspace import discard, materialise
 
 BANDS, ROWS = 42, 6
 M = BANDS * ROWS
@@ -66,12 +66,12 @@ def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(a, b)
 
 
-def bands(sketch: np.ndarray) -> np.ndarray:
-    """A bucket number for each band of a sketch."""
+def bands(sketches: np.ndarray) -> np.ndarray:
+    """A bucket number for each band of each sketch: one sketch, or one in each row."""
     with np.errstate(over="ignore"):
-        out = (sketch.reshape(BANDS, ROWS).astype(np.uint64) + np.uint64(1)) * _band_seeds[:, :ROWS]
+        out = (sketches.reshape(*sketches.shape[:-1], BANDS, ROWS).astype(np.uint64) + np.uint64(1)) * _band_seeds[:, :ROWS]
         out ^= out >> np.uint64(29)
-        out = (out * _band_seeds[:, ROWS:]).sum(axis=1, dtype=np.uint64)
+        out = (out * _band_seeds[:, ROWS:]).sum(axis=-1, dtype=np.uint64)
         return (out ^ (out >> np.uint64(32))).view(np.int64)
 
 
@@ -111,30 +111,29 @@ def _set_key(found: np.ndarray) -> bytes:
 def _sketched(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys, sketches, buckets = [], [], [], []
+            sizes, keys, sketches = [], [], []
             for found in _shingle_rows(batch.column("text"), width):
                 sizes.append(len(found))
                 keys.append(_set_key(found))
-                if len(found):
-                    sketch = registers(found)
-                    sketches.append(sketch.tobytes())
-                    buckets.append(bands(sketch))
-                else:
-                    sketches.append(b"")
-                    buckets.append(np.empty(0, np.int64))
-            flat = np.concatenate(buckets) if buckets else np.empty(0, np.int64)
-            at = np.cumsum([0] + [len(b) for b in buckets]).astype(np.int32)
+                sketches.append(registers(found).tobytes() if len(found) else b"")
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("uid"), batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
-                    pa.array(sketches, pa.binary()), pa.ListArray.from_arrays(at, flat),
+                    pa.array(sketches, pa.binary()),
                 ],
-                ["uid", "doc_id", "text_hash", "n_shingles", "key", "sketch", "buckets"],
+                ["uid", "doc_id", "text_hash", "n_shingles", "key", "sketch"],
             )
 
     return run
 
 
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sketches = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint16).reshape(-1, M)
+        at = np.arange(len(sketches) + 1, dtype=np.int32) * BANDS
+        yield pa.RecordBatch.from_arrays([batch.column("uid"), pa.ListArray.from_arrays(at, pa.array(bands(sketches).ravel()))], ["uid", "buckets"])
+
+
 def _full_sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,12 +172,14 @@ def _sets_of(uids: DataFrame, classes: DataFrame, docs: DataFrame, width: int) -
         wanted.select("doc_id").distinct().alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")), "left_semi"
     )
     sets = texts.select("doc_id", "text").mapInArrow(_full_sets(width), "doc_id bigint, key binary, members array<bigint>")
-    return materialise(
+    found = materialise(
         sets.alias("s")
         .join(wanted.alias("w"), F.col("s.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("s.key") == F.col("w.key")))
         .select("w.uid", "s.members").dropDuplicates(["uid"]),
         "sets",
     )
+    discard(wanted)
+    return found
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -207,7 +208,10 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     near = _likely(pairs, classes, percent)
     ends = near.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
-    return _similar(near, _sets_of(ends, classes, docs, width), percent)
+    sets = _sets_of(ends, classes, docs, width)
+    links = _similar(near, sets, percent)
+    discard(near, sets)
+    return links
 
 
 def _sharing_rare(outside: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -250,9 +254,7 @@ def groups(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
         F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text"
     )
     sketched = materialise(
-        numbered.mapInArrow(
-            _sketched(width), "uid bigint, doc_id bigint, text_hash bigint, n_shingles bigint, key binary, sketch binary, buckets array<bigint>"
-        ),
+        numbered.mapInArrow(_sketched(width), "uid bigint, doc_id bigint, text_hash bigint, n_shingles bigint, key binary, sketch binary"),
         "sketches",
     )
     filled = sketched.filter(F.col("n_shingles") > 0)
@@ -262,12 +264,15 @@ def groups(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
         ),
         "heads",
     )
-    classes = materialise(filled.join(heads.select("uid"), "uid", "left_semi"), "classes")
-    entries = classes.select(F.posexplode("buckets").alias("band", "bucket"), "uid").select(
-        F.xxhash64("band", "bucket").alias("bucket"), "uid"
-    )
-    shared = entries.groupBy("bucket").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi")).filter("lo < hi")
-    busy = materialise(entries.join(shared, "bucket"), "busy")
+    classes = materialise(filled.join(heads.select("uid"), "uid", "left_semi").drop("text_hash"), "classes")
+    rows = materialise(sketched.drop("sketch"), "rows")
+    discard(sketched)
+    # The buckets are made from the sketches and go through one exchange: the window finds the ends of each.
+    entries = classes.select("uid", "sketch").mapInArrow(_buckets, "uid bigint, buckets array<bigint>").select(
+        F.posexplode("buckets").alias("band", "bucket"), "uid"
+    ).select(F.xxhash64("band", "bucket").alias("bucket"), "uid")
+    own = Window.partitionBy("bucket")
+    busy = materialise(entries.select("bucket", "uid", F.min("uid").over(own).alias("lo"), F.max("uid").over(own).alias("hi")).filter("lo < hi"), "busy")
     hubs = _ordered(
         busy.select("uid", F.explode(F.array("lo", "hi")).alias("hub")).filter("uid <> hub").select(
             F.col("uid").alias("a"), F.col("hub").alias("b")
@@ -277,6 +282,7 @@ def groups(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     links = _verified(tested, classes, source, width, percent)
     labels = components(links)
+    parts = [links]
     for hubs in HUBS:
         outside = _open(busy, labels)
         chosen = outside.groupBy("bucket").agg(
@@ -285,16 +291,28 @@ def groups(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
         met = outside.join(chosen, "bucket").select("uid", "label", F.explode("hubs").alias("hub")).filter("label <> hub.label")
         more = _ordered(met.select(F.col("uid").alias("a"), F.col("hub.uid").alias("b"))).join(tested, ["a", "b"], "left_anti")
         more = materialise(more, "pairs")
+        discard(outside)
         tested = tested.unionByName(more)
-        links = links.unionByName(_verified(more, classes, source, width, percent))
-        labels = components(links)
+        parts.append(_verified(more, classes, source, width, percent))
+        links = links.unionByName(parts[-1])
+        labels = _relabelled(links, labels)
     outside = _open(busy, labels)
+    discard(busy)
     sets = _sets_of(outside.select("uid").distinct(), classes, source, width)
     more = materialise(_ordered(_sharing_rare(outside, sets, percent)).join(tested, ["a", "b"], "left_anti"), "pairs")
-    late = _similar(_likely(more, classes, percent), sets, percent)
+    near = _likely(more, classes, percent)
+    late = _similar(near, sets, percent)
+    discard(outside, sets, tested, more, near, classes)
     if not late.isEmpty():
-        labels = components(links.unionByName(late))
-    return _labelled(sketched, heads, labels)
+        labels = _relabelled(links.unionByName(late), labels)
+    discard(*parts, late)
+    return _labelled(rows, heads, labels)
+
+
+def _relabelled(links: DataFrame, before: DataFrame) -> DataFrame:
+    labels = components(links)
+    discard(before)
+    return labels
 
 
 def _open(busy: DataFrame, labels: DataFrame) -> DataFrame:
