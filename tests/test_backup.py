@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import time
 from datetime import timedelta
 from pathlib import Path
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from registered.common import TABLES
 from tidemark.functions.coordinates import Coordinate
-from tidemark.operators.changes import LogGapError, with_seq
+from tidemark.operators.changes import LogGapError, log_coordinates, with_seq
 from tidemark.plans import backup
 from tidemark.plans.backup import run_backup
 from tidemark.plans.restore import (
@@ -27,7 +28,7 @@ from tidemark.plans.restore import (
 )
 from tidemark.plans.retention import all_manifests, apply_retention
 from tidemark.sinks.formats import read_artifact
-from tidemark.sinks.removal import remove_sets
+from tidemark.sinks.removal import carry_out, remove_sets
 from tidemark.sources.catalog import CATALOG_SCHEMA, catalog_columns, empty_table, user_schemas
 from tidemark.sources.manifests import (
     compact_manifests,
@@ -36,8 +37,8 @@ from tidemark.sources.manifests import (
     read_manifests,
 )
 from tidemark.sources.state import load_coordinate, load_since
-from tidemark.sources.tables import VIEW, Table, catalog_tables, jdbc_table, parquet_tables, table_set
-from tidemark.workspace import Storage, work_dir
+from tidemark.sources.tables import VIEW, Table, catalog_tables, parquet_tables, table_set
+from tidemark.workspace import Storage, materialise, work_dir
 
 
 @pytest.fixture
@@ -162,11 +163,6 @@ def test_views_are_left_out(spark, base):
     assert row.first().files == ["shop/full/public/t/set=20240201_000000"]
 
 
-def test_jdbc_ranges_need_bounds(spark):
-    with pytest.raises(ValueError, match="bounds"):
-        jdbc_table(spark, "jdbc:postgresql://host/db", "public", "t", partition_column="id")
-
-
 def test_views_and_tables_of_the_session_catalog(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS cat")
     spark.range(3).write.mode("overwrite").saveAsTable("cat.t")
@@ -585,7 +581,7 @@ def test_each_increment_is_read_once(spark, base):
     backup_of(spark, base, "2024-01-01", {"public.t": rows_at(spark, 50)})
     backup_of(spark, base, "2024-01-02", {"public.t": rows_at(spark, 5, "2024-01-02")}, mode="incremental")
     back = restore_table(spark, base, "shop", "public", "t", ["id"], until="2024-01-02")
-    folders = {f.rpartition("/tidemark/")[2].split("-")[0] for f in back.inputFiles()}
+    folders = {f.rpartition("/tidemark/")[2].split("/")[1].split("-")[0] for f in back.inputFiles()}
     assert folders == {"base", "latest"} and not any("/incremental/" in f for f in back.inputFiles())
     assert "HashAggregate" not in back._jdf.queryExecution().executedPlan().toString()
 
@@ -601,3 +597,23 @@ def test_schema_sets_are_restored_by_their_manifest(spark, small, base):
     for day in (2, 3):
         back = restore_schema(spark, base, "shop", until=f"2024-01-0{day}")
         assert {n: df.schema for n, df in back.items()} == want and all(df.isEmpty() for df in back.values())
+
+
+def test_a_thousand_change_tables_are_one_inventory(spark):
+    one = with_seq(spark.createDataFrame([("bin.9", 4, 1), ("bin.10", 8, 2)], "file string, pos bigint, v int"))
+    began = time.perf_counter()
+    log = log_coordinates([Table("a", f"t{k}", one.withColumn("v", F.lit(k))) for k in range(1000)])
+    assert log.columns == ["file", "seq", "pos"] and time.perf_counter() - began < 30
+
+
+def test_removal_goes_on_where_it_stopped(spark, base):
+    storage = Storage(spark)
+    rows = [("a", 0, f"shop/full/t/set={k}") for k in range(300)] + [("a", 1, f"m{k}.manifest.json") for k in range(20)]
+    for _, step, path in rows:
+        storage.write_text(f"{base}/_manifests/{path}" if step else f"{base}/{path}/part", "x")
+    plan = materialise(spark.createDataFrame([*rows, ("b", 0, "x")], "destination string, step int, path string"), "plan")
+    with pytest.raises(KeyError):  # a destination that is not known: no manifest is touched
+        carry_out(spark, plan, {"a": base}, max_parallel=3)
+    assert len(storage.child_names(f"{base}/_manifests")) >= 20
+    done = carry_out(spark, plan.filter("destination = 'a'"), {"a": base}, max_parallel=3)
+    assert done == 320 and storage.child_names(f"{base}/_manifests") == [] and storage.child_names(f"{base}/shop/full/t") == []

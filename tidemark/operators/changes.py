@@ -7,12 +7,12 @@ in a stored log, its partition column.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.coordinates import FIRST_POSITION, Coordinate, in_range, log_seq
 from tidemark.sources.tables import Table
+from tidemark.workspace import union_all
 
 DELETE_OPS = ("delete",)
 SHOWN_GAPS = 20
@@ -41,7 +41,7 @@ def with_seq(changes: DataFrame) -> DataFrame:
 def log_coordinates(tables: Sequence[Table]) -> DataFrame:
     """The coordinates of several change tables that share one log."""
     parts = [with_seq(t.df).select("file", "seq", "pos") for t in tables]
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)
 
 
 def log_inventory(changes: DataFrame) -> DataFrame:

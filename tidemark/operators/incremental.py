@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import datetime, timedelta
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.stamps import DEFAULT_WINDOW, as_utc, typed_literal, utc_text
+from tidemark.workspace import union_all
 
 
 class Window(NamedTuple):
@@ -62,7 +62,7 @@ def extract_summary(extracts: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
         )
         for name, (df, column) in extracts.items()
     ]
-    return reduce(DataFrame.unionByName, rows)
+    return union_all(rows)
 
 
 def highest_watermark(df: DataFrame, column: str) -> datetime | None:

@@ -26,33 +26,39 @@ def _same_family(family: Sequence[str], left: str, right: str) -> Column:
     return condition
 
 
+def _reach(counts: DataFrame, carried: Sequence[str], level: str) -> DataFrame:
+    """Of each group of counts the row of `level`, newest first, in which the needed one lies, and which
+    one of its own it is."""
+    newer = F.sum("n").over(Window.partitionBy(*carried).orderBy(F.desc(level))) - F.col("n")
+    found = counts.withColumn("newer", newer).filter((F.col("newer") < F.col("need")) & (F.col("need") <= F.col("newer") + F.col("n")))
+    return found.withColumn("need", F.col("need") - F.col("newer")).drop("newer")
+
+
 def _cut_by_counts(sets: DataFrame, family: Sequence[str], keep: int) -> DataFrame:
-    """The keep-th newest set of every family by counting: first its day, then its second, then
-    its name.
+    """The keep-th newest set of every family by counting: first its day, then its second, then its name.
 
-    Only counts are ordered in a window: as many rows per family as there are days, then seconds
-    of one day, then names within one second. The names are stored once for the three passes.
+    One pass over the sets counts each second, with its first and last name; days are summed from that.
+    Only counts are ordered in a window: as many rows per family as there are days, then seconds of one
+    day. Names are looked up only where the cut lies between the first and the last of its second.
     """
-    sets = sets.withColumn("day", F.substring("set_ts", 1, DAY_LENGTH))
-    sets = materialise(sets, "retention-names").filter(F.col("set_ts").isNotNull())
-    rows, carried = sets.withColumn("need", F.lit(keep).cast("bigint")), list(family)
-    for level in ("day", "set_ts", "manifest"):
-        counts = rows.groupBy(*carried, level).agg(
-            F.count(F.lit(1)).alias("n"), F.max("need").alias("need")
-        )
-        newest_first = Window.partitionBy(*carried).orderBy(F.desc(level))
-        newer = F.sum("n").over(newest_first) - F.col("n")
-        carried.append(level)
-        cut = (
-            counts.withColumn("newer", newer)
-            .filter((F.col("newer") < F.col("need")) & (F.col("need") <= F.col("newer") + F.col("n")))
-            .select(*carried, (F.col("need") - F.col("newer")).alias("need"))
-        )
-        cut = materialise(cut, f"retention-{level}")
-        rows = (
-            sets.alias("s").join(cut.alias("c"), _same_family(carried, "s", "c")).select("s.*", "c.need")
-        )
-    return cut.select(*family, "set_ts", "manifest")
+    named = sets.filter(F.col("set_ts").isNotNull())
+    seconds = named.groupBy(*family, "set_ts").agg(
+        F.count(F.lit(1)).alias("n"), F.min("manifest").alias("first"), F.max("manifest").alias("last")
+    )
+    seconds = materialise(seconds.withColumn("day", F.substring("set_ts", 1, DAY_LENGTH)), "retention-seconds")
+    days = seconds.groupBy(*family, "day").agg(F.sum("n").alias("n")).withColumn("need", F.lit(keep).cast("bigint"))
+    day = _reach(days, family, "day").select(*family, "day", "need")
+    within = seconds.alias("s").join(day.alias("c"), _same_family([*family, "day"], "s", "c")).select("s.*", "c.need")
+    cut = materialise(_reach(within, family, "set_ts"), "retention-cut")
+    name = F.when(F.col("need") == 1, F.col("last")).when(F.col("need") == F.col("n"), F.col("first"))
+    cut = cut.withColumn("manifest", name)
+    between = cut.filter("manifest IS NULL")
+    if between.isEmpty():
+        return cut.select(*family, "set_ts", "manifest")
+    names = named.alias("s").join(between.alias("c"), _same_family([*family, "set_ts"], "s", "c")).select("s.*", "c.need")
+    place = F.row_number().over(Window.partitionBy(*family).orderBy(F.desc("manifest")))
+    looked_up = names.withColumn("place", place).filter(F.col("place") == F.col("need"))
+    return cut.filter("manifest IS NOT NULL").select(*family, "set_ts", "manifest").unionByName(looked_up.select(*family, "set_ts", "manifest"))
 
 
 def flag_expired(
@@ -82,8 +88,8 @@ def flag_expired(
     elif keep == 0:
         flagged = manifests.withColumn("by_keep", F.col("set_token").isNotNull())
     else:
-        narrow = manifests.select(*family, "set_ts", "manifest")
-        cut = _cut_by_counts(narrow, family, keep)
+        manifests = materialise(manifests, "retention")  # what they are made from is read once
+        cut = materialise(_cut_by_counts(manifests.select(*family, "set_ts", "manifest"), family, keep), "retention-cut")
         # Structs order NULL first instead of comparing to NULL, hence the separate test.
         older = F.struct("s.set_ts", "s.manifest") < F.struct("c.set_ts", "c.manifest")
         older = F.col("s.set_ts").isNotNull() & older

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.retention import expired_sets
 from tidemark.sinks.removal import remove_sets
 from tidemark.sources.manifests import manifest_location, read_manifests
-from tidemark.workspace import Storage, materialise
+from tidemark.workspace import Storage, union_all
 
 
 def all_manifests(
@@ -25,7 +24,7 @@ def all_manifests(
         for disk, base in bases.items()
         if storage.exists(manifest_location(base))
     ]
-    return reduce(DataFrame.unionByName, found) if found else None
+    return union_all(found) if found else None
 
 
 def apply_retention(
@@ -54,8 +53,6 @@ def apply_retention(
     for name, value in (("database", database), ("driver", driver), ("mode", mode)):
         if value is not None:
             manifests = manifests.filter(F.col(name) == value)
-    # Documents are parsed once; the passes over them read the stored rows.
-    manifests = materialise(manifests, "manifests")
     return remove_sets(
         spark, expired_sets(manifests, keep=keep, days=days, as_of=as_of), bases, dry_run
     )

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
-from itertools import islice
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -12,7 +11,7 @@ from tidemark.sources.manifests import manifest_artifacts, manifest_location
 from tidemark.workspace import Storage, materialise
 
 DATA, MANIFEST = 0, 1
-BATCH_SIZE = 1_000
+QUEUED = 4  # deletions waiting for each that runs
 
 
 def removal_plan(expired: DataFrame) -> DataFrame:
@@ -43,17 +42,30 @@ def remove_sets(
     """Delete expired sets and return the plan that was, or with `dry_run` would be, carried out.
 
     The plan is stored first: the manifests it was made from are among what it deletes, and an
-    interrupted run can be repeated from it. Paths stream to the driver one partition at a time.
+    interrupted run can be taken up from it with `carry_out`.
     """
     plan = materialise(removal_plan(expired), "removal")
-    if dry_run:
-        return plan
-    storage = Storage(spark)
+    if not dry_run:
+        carry_out(spark, plan, bases, max_parallel)
+    return plan
+
+
+def carry_out(spark: SparkSession, plan: DataFrame, bases: Mapping[str, str], max_parallel: int = 16) -> int:
+    """Delete what a stored plan lists, all data before any manifest, and give how many paths that were.
+
+    Each artifact is one folder and one call, whatever it holds. Paths stream to the driver one
+    partition at a time and wait in a bounded queue: `max_parallel` deletions run at any moment, none
+    waits for a slow one. What is gone already counts as deleted, so a plan can be repeated. The
+    first failure is raised once those that run have ended, and then no manifest is touched.
+    """
+    storage, done = Storage(spark), 0
     with ThreadPoolExecutor(max_workers=max_parallel) as pool:
         for step in (DATA, MANIFEST):
-            rows = plan.filter(F.col("step") == step).toLocalIterator()
-            while batch := list(islice(rows, BATCH_SIZE)):
-                paths = [_location(bases[r.destination], step, r.path) for r in batch]
-                # Waits for the batch, and raises what went wrong in it before going on.
-                list(pool.map(storage.delete, paths))
-    return plan
+            waiting: set[Future] = set()
+            for row in plan.filter(F.col("step") == step).toLocalIterator(prefetchPartitions=True):
+                waiting.add(pool.submit(storage.delete, _location(bases[row.destination], step, row.path)))
+                if len(waiting) >= QUEUED * max_parallel:
+                    ended, waiting = wait(waiting, return_when=FIRST_COMPLETED)
+                    done += sum(f.result() is not None for f in ended)
+            done += sum(f.result() is not None for f in waiting)
+    return done

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.sources.tables import TABLE, Table
+from tidemark.workspace import union_all
 
 CATALOG_SCHEMA = (
     "schema_name string, table_name string, kind string, ordinal int, "
@@ -102,4 +102,4 @@ def table_counts(tables: Sequence[Table]) -> DataFrame:
         )
         for t in tables
     ]
-    return reduce(DataFrame.unionByName, counts)
+    return union_all(counts)

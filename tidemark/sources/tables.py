@@ -61,38 +61,6 @@ def catalog_tables(spark: SparkSession, schema_name: str) -> list[Table]:
     return out
 
 
-def jdbc_table(
-    spark: SparkSession,
-    url: str,
-    schema_name: str,
-    table_name: str,
-    *,
-    partition_column: str | None = None,
-    bounds: tuple[object, object] | None = None,
-    num_partitions: int | None = None,
-    fetch_size: int = 10_000,
-    properties: Mapping[str, str] | None = None,
-) -> Table:
-    """A database table, read in parallel ranges of `partition_column`.
-
-    The bounds only place the ranges: rows outside them are read too. Filters on the result,
-    the watermark filter among them, are pushed into the database by Spark.
-    """
-    reader = spark.read.format("jdbc").options(
-        url=url, dbtable=f"{schema_name}.{table_name}", fetchsize=str(fetch_size), **(properties or {})
-    )
-    if partition_column is not None:
-        if bounds is None or num_partitions is None:
-            raise ValueError("partition_column needs bounds and num_partitions")
-        reader = reader.options(
-            partitionColumn=partition_column,
-            lowerBound=str(bounds[0]),
-            upperBound=str(bounds[1]),
-            numPartitions=str(num_partitions),
-        )
-    return Table(schema_name, table_name, reader.load())
-
-
 def find_table(tables: Sequence[Table], schema_name: str, table_name: str) -> Table:
     for table in tables:
         if (table.schema_name, table.table_name) == (schema_name, table_name):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,16 +14,27 @@ _named: dict[str, str] = {}
 
 
 def name_folder(path: str) -> None:
-    """The shared folder of sessions that set no `spark.checkpoint.dir`."""
+    """The folder of local sessions, whose executor is this process, that set no `spark.checkpoint.dir`."""
     _named["root"] = path
 
 
-def work_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder named by `spark.checkpoint.dir`, else by `name_folder`."""
-    root = spark.conf.get(CHECKPOINT_DIR, None) or _named.get("root")
+def _app_dir(spark: SparkSession) -> str:
+    root = spark.conf.get(CHECKPOINT_DIR, None)
+    if not root and re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        root = _named.get("root")
     if not root:
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-    return f"{root.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/tidemark/{spark.sparkContext.applicationId}"
+
+
+def work_dir(spark: SparkSession, label: str) -> str:
+    """A fresh path below this application's part of the shared folder, which `spark.checkpoint.dir` names."""
+    return f"{_app_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all that this application put into the shared folder: at its end, when no result is read any more."""
+    Storage(spark).delete(_app_dir(spark))
 
 
 def materialise(df: DataFrame, label: str, *, compression: str | None = None) -> DataFrame:
@@ -48,6 +60,16 @@ def discard(*tables: DataFrame) -> None:
             Storage(df.sparkSession).delete(folder)
 
 
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
+    """Many tables of the same columns as one. Halves are put together, not one after the other: each
+    union is analysed with all below it, which would take the square of their number."""
+    frames = list(frames)
+    while len(frames) > 1:
+        pairs = [frames[k : k + 2] for k in range(0, len(frames), 2)]
+        frames = [p[0].unionByName(p[1]) if len(p) == 2 else p[0] for p in pairs]
+    return frames[0]
+
+
 class Storage:
     """Small files and deletes on any Hadoop file system, from the driver."""
 
