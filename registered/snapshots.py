@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from registered.common import TABLES, Registry, counts_sql, load
+from registered.common import TABLES, Registry, column_sums, column_sums_sql, load
 from tidemark.functions.stamps import utc_text
 from tidemark.operators.selection import select_schemas
 from tidemark.plans.backup import RAW_SUFFIX, run_backup
 from tidemark.plans.restore import backup_chain, restore_snapshot
 from tidemark.sinks.formats import CSV, read_artifact, write_artifact
-from tidemark.sources.catalog import table_counts
 from tidemark.sources.manifests import (
     MANIFEST_SCHEMA,
     manifest_artifacts,
@@ -20,7 +17,7 @@ from tidemark.sources.manifests import (
     read_manifests,
 )
 from tidemark.sources.tables import Table, parquet_tables
-from tidemark.workspace import work_dir
+from tidemark.workspace import union_all, work_dir
 
 R = Registry()
 AT = "2024-02-01T00:00:00"
@@ -32,19 +29,16 @@ def _roundtrip(df: DataFrame, label: str, **options) -> DataFrame:
     return read_artifact(df.sparkSession, path, df.schema, fmt=options.get("fmt", "parquet"))
 
 
-@R.add(counts_sql(TABLES))
+@R.add(column_sums_sql(TABLES))
 def full_snapshot(spark, sf_dir):
-    """A full backup of all tables, restored and counted per table."""
+    """A full backup of all tables, restored and summed up over every column of each."""
     base = work_dir(spark, "full")
     run_backup(
         spark, parquet_tables(spark, sf_dir, TABLES),
         database="shop", destinations={"local": base}, at=AT, max_parallel=8,
     )
     manifest = backup_chain(spark, base, "shop", "pgsql", AT).full
-    restored = [
-        Table("main", name, restore_snapshot(spark, base, manifest, "main", name)) for name in TABLES
-    ]
-    return table_counts(restored).select("table_name", "n_rows")
+    return union_all([column_sums(name, restore_snapshot(spark, base, manifest, "main", name)) for name in TABLES])
 
 
 @R.add("SELECT * FROM documents")
@@ -75,18 +69,14 @@ def csv_gzip_roundtrip(spark, sf_dir):
 
 
 @R.add("""
-    SELECT vec_id, label, len(embedding) AS n, CAST(embedding[1] AS DOUBLE) AS first,
-           CAST(embedding[len(embedding)] AS DOUBLE) AS last FROM embeddings
+    SELECT vec_id, label, generate_subscripts(embedding, 1) - 1 AS place, CAST(unnest(embedding) AS DOUBLE) AS value
+    FROM embeddings
 """)
 def csv_nested_roundtrip(spark, sf_dir):
-    """Arrays through CSV, as JSON text."""
+    """Arrays through CSV, as JSON text: every element of every vector."""
     back = _roundtrip(load(spark, sf_dir, "embeddings"), "csv-nested", fmt=CSV)
-    vector = F.col("embedding")
-    return back.select(
-        "vec_id", "label", F.size(vector).cast("bigint").alias("n"),
-        F.element_at(vector, 1).cast("double").alias("first"),
-        F.element_at(vector, -1).cast("double").alias("last"),
-    )
+    each = back.select("vec_id", "label", F.posexplode("embedding").alias("place", "value"))
+    return each.select("vec_id", "label", F.col("place").cast("bigint").alias("place"), F.col("value").cast("double").alias("value"))
 
 
 @R.add("SELECT event_id, props, octet_length(encode(props)) AS n_bytes FROM events")
@@ -102,10 +92,7 @@ def csv_binary_roundtrip(spark, sf_dir):
 
 
 @R.add("""
-    SELECT disk, copy, count(*) AS n_rows, min(ts) AS first_ts, max(ts) AS last_ts,
-           CAST(sum(event_id) AS BIGINT) AS id_sum
-    FROM events, (VALUES ('a'), ('b')) d(disk), (VALUES ('gzip'), ('raw')) c(copy)
-    GROUP BY disk, copy
+    SELECT disk, copy, e.* FROM events e, (VALUES ('a'), ('b')) d(disk), (VALUES ('gzip'), ('raw')) c(copy)
 """)
 def fanout_copies(spark, sf_dir):
     """Two destinations, each with a compressed and an uncompressed copy, all read back."""
@@ -121,13 +108,8 @@ def fanout_copies(spark, sf_dir):
         for copy, suffix in (("gzip", ""), ("raw", RAW_SUFFIX)):
             path = f"{base}/shop/full/main/events{suffix}/set=20240201_000000"
             rows = read_artifact(spark, path, events.schema)
-            copies.append(
-                rows.agg(
-                    F.count(F.lit(1)).alias("n_rows"), F.min("ts").alias("first_ts"),
-                    F.max("ts").alias("last_ts"), F.sum("event_id").alias("id_sum"),
-                ).select(F.lit(disk).alias("disk"), F.lit(copy).alias("copy"), "*")
-            )
-    return reduce(DataFrame.unionByName, copies)
+            copies.append(rows.select(F.lit(disk).alias("disk"), F.lit(copy).alias("copy"), "*"))
+    return union_all(copies)
 
 
 @R.add("""
