@@ -377,6 +377,18 @@ def test_a_private_key_is_one_span(end):
     assert secrets.novel_spans(far) == []
 
 
+@pytest.mark.parametrize("end", ["\n", "\\n"])
+def test_a_private_key_without_an_end_stops_at_the_first_other_line(end):
+    rng = random.Random(8)
+    body = "".join(rng.choices(string.ascii_letters + string.digits + "+/", k=64 * 4))
+    lines = [body[k : k + 64] for k in range(0, len(body), 64)]
+    prose = "\nand then the text goes on with 0123456789abcdefXYZ0123456789 and " + "".join(rng.choices(string.ascii_letters, k=40))
+    text = end.join(["-----BEGIN RSA PRIVATE KEY-----", *lines]) + "\n" * (end != "\n") + "\nother words here" * 3 + prose
+    (a, b, kind), = secrets.novel_spans(text)
+    assert (text[a:b].replace(end, ""), kind) == (body, "novel")
+    assert secrets.key_spans("-----BEGIN PRIVATE KEY-----" * 3000)[-1] == (81_000, 81_000)
+
+
 def test_many_words_and_keys_on_one_line():
     rng = random.Random(9)
     keys = ["".join(rng.choices(string.ascii_letters + string.digits, k=24)) for _ in range(2000)]

@@ -60,6 +60,14 @@ def test_runs_are_compacted(spark, tmp_path):
         runs.add(spark.createDataFrame([(1, 1), (2, 2)], "a bigint, b bigint").limit(2))
     assert [len(level) for level in runs.levels] == [1, 0, 1]
     assert {tuple(r) for r in runs.frequent().collect()} == {(1, 1), (2, 2)}
+    # A later session goes on; what a dead one left unlisted does not count.
+    (tmp_path / "level=0" / "run=99").mkdir()
+    again = line_dedup.LineRuns(spark, str(tmp_path), min_docs=3, fanout=2)
+    assert (again.levels, again.written) == (runs.levels, runs.written)
+    for _ in range(3):
+        again.add(spark.createDataFrame([(3, 3), (1, 1)], "a bigint, b bigint").limit(2))
+    assert [len(level) for level in again.levels] == [0, 0, 0, 1]
+    assert {tuple(r) for r in line_dedup.LineRuns(spark, str(tmp_path), min_docs=3, fanout=2).frequent().collect()} == {(1, 1), (2, 2), (3, 3)}
 
 
 def test_empty_tables(empty):
@@ -147,8 +155,12 @@ def test_mixing_shares_shortages_among_siblings_first(spark):
     assert got == {"s1": 100, "s2": 787, "s3": 887, "s4": 1775}
 
 
-def test_mixing_is_brute_force(odd):
-    rows = collections.Counter((r[0], r[2], r[3], measures(r[1])[0]) for r in odd_rows())
+@pytest.mark.parametrize("repeats", [0, 300])
+def test_mixing_is_brute_force(spark, odd, repeats):
+    # One doc_id and the missing one hold many rows of many lengths.
+    more = [(k % 2 * 7 or None, "w " * (k % 11), "en", f"src{k % 3}", "", "", "") for k in range(repeats)]
+    odd = odd.unionByName(spark.createDataFrame(more, DOCS)) if more else odd
+    rows = collections.Counter((r[0], r[2], r[3], measures(r[1])[0]) for r in odd_rows() + more)
     chosen = mixing.choose(odd, domain=F.lit("d"), budget_percent=60, max_epochs=2, seed=5)
     budgets = mixing.leaf_budgets(
         odd.select(F.lit("d").alias("domain"), "lang", "source", F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"\s+"), lambda w: w != "")).alias("n"))
@@ -159,12 +171,15 @@ def test_mixing_is_brute_force(odd):
     for b in budgets:
         leaf = [(r, k) for r, k in rows.items() if r[1:3] == (b.lang, b.source)]
         whole, rest = (int(b.budget) // b.tokens, int(b.budget) % b.tokens) if b.tokens else (1, 0)
-        order = sorted(((hashlib.md5(f"5:{whole}:{'' if r[0] is None else r[0]}".encode()).hexdigest(), r, k) for r, k in leaf), key=lambda x: x[0])
+        by_place = collections.defaultdict(list)  # rows of one place are taken or left together
+        for r, k in leaf:
+            by_place[hashlib.md5(f"5:{whole}:{'' if r[0] is None else r[0]}".encode()).hexdigest()].append((r, k))
         total = 0
-        for _, r, k in order:
-            total += r[3] * k
-            if whole + (rest > 0 and total <= rest):
-                want[(*r, whole + (rest > 0 and total <= rest))] += k
+        for place in sorted(by_place):
+            total += sum(r[3] * k for r, k in by_place[place])
+            copies = whole + (rest > 0 and total <= rest)
+            for r, k in by_place[place] if copies else []:
+                want[(*r, copies)] += k
     got = collections.Counter((r.doc_id, r.lang, r.source, r.n_tokens, r.copies) for r in chosen.collect())
     assert got == want
     again = mixing.mix(odd, domain=F.lit("d"), budget_percent=60, max_epochs=2, seed=5)
