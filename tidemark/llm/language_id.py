@@ -18,9 +18,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.hashing import slices
+from tidemark.llm.sampling import hash_bound
 from tidemark.llm.ship import ship
 
 # Families of languages by their two-letter codes. Any other language is a family of its own.
@@ -132,18 +133,29 @@ def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def fit(labelled: DataFrame, *, sample_rows: int = 3000) -> Model:
-    """labelled: doc_id, text, lang. At most about `sample_rows` rows are learned from, as many of each
-    language where there are enough."""
+def draw(labelled: DataFrame, sample_rows: int) -> DataFrame:
+    """lang and text of a sample: of each language as many distinct texts as go to it when `sample_rows`
+    are shared out evenly, and at least one; all, where there are fewer.
+
+    Texts are drawn by a hash of theirs, so neither a repeated doc_id nor repeated texts fill the
+    sample. A first bound on the hash, twice as high as needed by the estimated number of distinct
+    texts, leaves few rows of each language to be put in order.
+    """
     usable = labelled.filter(has_letter(F.col("text")) & F.col("lang").isNotNull())
-    counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
-    if not counts:
-        return Model(np.zeros((0, SIZE), np.float32), [])
-    each = sample_rows / len(counts)
-    chance = F.lit(0.0)
-    for name, n in counts.items():
-        chance = F.when(F.col("lang") == name, min(1.0, each / n)).otherwise(chance)
-    drawn = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("sample")), F.lit(1 << 20)) < chance * (1 << 20)
+    hashed = usable.select("lang", "text", F.xxhash64("text", F.lit("sample")).bitwiseAND(F.lit((1 << 63) - 1)).alias("h"))
+    sizes = hashed.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()
+    each = max(1, sample_rows // max(1, len(sizes)))
+    bound = F.lit(-1).cast("long")
+    for r in sizes:
+        bound = F.when(F.col("lang") == r["lang"], F.lit(hash_bound(2 * each + 20, r["n"]))).otherwise(bound)
+    some = hashed.filter(F.col("h") <= bound).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    return some.withColumn("place", place).filter(F.col("place") <= each).select("lang", "text")
+
+
+def fit(labelled: DataFrame, *, sample_rows: int = 3000) -> Model:
+    """labelled: text, lang. At most `sample_rows` rows are learned from, or one for each language if
+    there are more languages than that."""
     ship(labelled.sparkSession)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,9 +168,11 @@ def fit(labelled: DataFrame, *, sample_rows: int = 3000) -> Model:
                 )
 
     rows = (
-        usable.filter(drawn).select("doc_id", "lang", "text").mapInArrow(packed, "lang string, at binary, x binary")
-        .orderBy("lang", "at", "x").limit(2 * sample_rows).collect()
+        draw(labelled, sample_rows).mapInArrow(packed, "lang string, at binary, x binary")
+        .orderBy("lang", "at", "x").collect()
     )
+    if not rows:
+        return Model(np.zeros((0, SIZE), np.float32), [])
     x = np.zeros((len(rows), SIZE), np.float32)
     for k, r in enumerate(rows):
         x[k, np.frombuffer(r["at"], np.uint16)] = np.frombuffer(r["x"], np.float32)

@@ -21,10 +21,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.hashing import slices, word_hashes
+from tidemark.llm.sampling import hash_bound
 from tidemark.llm.ship import ship
 
 PAIRS, BINS = 4096, 12
@@ -124,13 +125,28 @@ class Model:
         return float(self.words[at[self.names[at] == found]].sum() + shares @ self.pairs)
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 5000) -> Model:
-    """At most about `sample_rows` labelled documents are learned from, drawn by a hash of their doc_id."""
+def draw(labels: DataFrame, sample_rows: int) -> DataFrame:
+    """doc_id and grade of a sample of at most about `sample_rows` labelled documents: each grade has its
+    share of them, and at least a tenth of `sample_rows` where it has so many. A document that was
+    rated several times counts once, with its least grade.
+    """
     rated = labels.select("doc_id", grade(F.col("quality"), F.col("toxic")).alias("grade")).filter("grade IS NOT NULL AND doc_id IS NOT NULL")
-    total = rated.count()
-    drawn = rated.filter(
-        F.pmod(F.xxhash64(F.col("doc_id"), F.lit("sample")), F.lit(1 << 20)) < int(min(1.0, sample_rows / max(1, total)) * (1 << 20))
-    ).limit(2 * sample_rows)
+    single = rated.groupBy("doc_id").agg(F.min("grade").alias("grade"))
+    hashed = single.withColumn("h", F.xxhash64(F.col("doc_id"), F.lit("sample")).bitwiseAND(F.lit((1 << 63) - 1)))
+    sizes = {r["grade"]: r["count"] for r in hashed.groupBy("grade").count().collect()}
+    total = max(1, sum(sizes.values()))
+    wanted = {g: max(sample_rows * n // total, min(n, sample_rows // 10)) for g, n in sizes.items()}
+    bound, most = F.lit(-1).cast("long"), F.lit(0)
+    for g, n in sizes.items():
+        bound = F.when(F.col("grade") == g, F.lit(hash_bound(2 * wanted[g] + 20, n))).otherwise(bound)
+        most = F.when(F.col("grade") == g, F.lit(wanted[g])).otherwise(most)
+    place = F.row_number().over(Window.partitionBy("grade").orderBy("h", "doc_id"))
+    some = hashed.filter(F.col("h") <= bound).withColumn("place", place)
+    return some.filter(F.col("place") <= most).select("doc_id", "grade")
+
+
+def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 5000) -> Model:
+    """At most about `sample_rows` labelled documents are learned from; of rows of one doc_id, one."""
     ship(docs.sparkSession)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,8 +162,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 5000) -> Model
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    joined = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")  # at most 2 * sample_rows of two numbers
-    rows = joined.mapInArrow(packed, f"doc_id {kind}, grade int, words binary, at binary, share binary").orderBy("doc_id", "grade", "words").collect()
+    # At most 1.3 * sample_rows rows of two numbers go to all tasks.
+    joined = docs.select("doc_id", "text").join(F.broadcast(draw(labels, sample_rows)), "doc_id")
+    one = joined.groupBy("doc_id", "grade").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows = one.select("doc_id", "grade", "text").mapInArrow(packed, f"doc_id {kind}, grade int, words binary, at binary, share binary").orderBy("doc_id", "grade", "words").collect()
     shares = np.zeros((len(rows), PAIRS + BINS), np.float32)
     for k, r in enumerate(rows):
         shares[k, np.frombuffer(r["at"], np.uint16)] = np.frombuffer(r["share"], np.float32)
