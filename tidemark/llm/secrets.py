@@ -37,8 +37,9 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 SENSITIVE = ("secret", "token", "passw", "passphrase", "credential", "bearer", "authorization", "api key", "apikey", "api_key", "private", "signature", "access_key", "session")
 CONTEXT = re.compile("|".join(re.escape(w) for w in SENSITIVE), re.IGNORECASE | re.ASCII)
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-# PEM marks with the key between them, and its lines; line ends may be written as \n.
-PEM = re.compile(r"-----BEGIN [A-Z0-9 ]{0,64}PRIVATE KEY[A-Z ]{0,64}-----(.*?)(?:-----END|\Z)", re.DOTALL)
+# PEM marks, and the lines of a key; line ends may be written as \n.
+BEGIN, END = re.compile(r"-----BEGIN [A-Z0-9 ]{0,64}PRIVATE KEY[A-Z ]{0,64}-----"), "-----END"
+KEY_LINE = re.compile(r"""[ \t]*+(?:[A-Za-z-]++: ?[^\n]*+|[A-Za-z0-9+/=_\\"',-]*+)[ \t\r]*+(?:\n|\Z)""")
 BODY = re.compile(r"""(?<!\\)[A-Za-z0-9+/_=-]{16,}+(?:[ \t]*+(?:\\r)?(?:\\n|\r?\n)[ \t]*+[A-Za-z0-9+/=]++(?=[\s\\"',]|\Z))*+""")
 LINE_ENDS = re.compile(r"\\[rn]|\s+")
 AROUND, PIECE = 512, 48
@@ -116,9 +117,25 @@ def fixed_spans(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
+def key_spans(text: str) -> list[tuple[int, int]]:
+    """What stands behind each BEGIN of a private key: up to its END, or, without one, as far as lines are
+    those of a key."""
+    found, at, closed = [], 0, True
+    while begin := BEGIN.search(text, at):
+        at = begin.end()
+        end = text.find(END, at) if closed else -1
+        if end < 0:
+            closed, end = False, at  # none follows: that need not be asked again
+            while end < len(text) and (line := KEY_LINE.match(text, end)):
+                end = line.end()
+        found.append((at, end))
+        at = max(at, end)
+    return found
+
+
 def candidates(text: str) -> list[tuple[int, int]]:
     """Spans of the strings that sensitive words point to, in order."""
-    keys = [m.span(1) for m in PEM.finditer(text)]
+    keys = key_spans(text)
     found = [m.span() for a, b in keys for m in BODY.finditer(text, a, b)]
     lines, at = [], 0
     for line in text.split("\n"):
