@@ -129,10 +129,11 @@ def choose(
     )
     rows = (
         inner.alias("n").join(ends2.alias("e"), _same("n", "e", TREE) & (second == F.col("e.bucket")))
-        .select(*[f"n.{c}" for c in (*TREE, "doc_id", "place", "n_tokens")], F.col("e.left").alias("left"))
+        .select(*[f"n.{c}" for c in (*TREE, "place", "n_tokens")], F.col("e.left").alias("left"))
     )
-    by_place = Window.partitionBy(*TREE).orderBy("place", "doc_id")
-    rows = rows.withColumn("sum", F.sum("n_tokens").over(by_place))  # equal places are peers
+    # Rows of one doc_id have one place: they are summed up first, however many there are.
+    rows = rows.groupBy(*TREE, "place").agg(F.sum("n_tokens").alias("n_tokens"), F.first("left").alias("left"))
+    rows = rows.withColumn("sum", F.sum("n_tokens").over(Window.partitionBy(*TREE).orderBy("place")))
     last = (
         rows.groupBy(*TREE)
         .agg(F.max(F.when(F.col("sum") <= F.col("left"), F.col("place"))).alias("last"), F.min("place").alias("least"))
