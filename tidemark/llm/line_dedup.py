@@ -14,12 +14,12 @@ replaced. Keys are told apart by 128 bits of hash.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm.words import LOWER, SPACE_CHARS, UPPER, let
-from tidemark.workspace import materialise, work_dir
-
-HASH = "struct<a:bigint,b:bigint>"
+from tidemark.workspace import Storage, materialise, work_dir
 
 
 def lines(text: Column) -> Column:
@@ -67,7 +67,9 @@ def line_hashes(docs: DataFrame, *, batches: int, doc_id: str = "doc_id") -> Dat
 
 
 class LineRuns:
-    """The runs of one corpus, below one folder that all executors reach.
+    """The runs of one corpus, below one folder that all executors reach. Which runs count is written after
+    each batch as a new list, so a later session goes on where this one stopped, and a run that a dead
+    session left unlisted is not read.
 
     `add` takes the line hashes of a batch, one row for each document and key. `frequent` gives the keys
     found in at least `min_docs` documents of all batches so far.
@@ -78,7 +80,12 @@ class LineRuns:
             raise ValueError("min_docs is at least 1, fanout at least 2")
         self.spark, self.path, self.min_docs, self.fanout = spark, path, min_docs, fanout
         self.levels: list[list[str]] = [[]]
-        self.written = 0
+        self.written = self.lists = 0
+        self.storage = Storage(spark)
+        known = self.storage.matching_paths(f"{path}/list-*.json")
+        if known:
+            self.levels, self.written = json.loads(self.storage.read_text(known[-1])).values()
+            self.lists = int(known[-1].rpartition("-")[2].removesuffix(".json")) + 1
 
     def _read(self, paths: list[str]) -> DataFrame:
         return self.spark.read.schema("a bigint, b bigint, n_docs bigint").parquet(*paths)
@@ -86,7 +93,7 @@ class LineRuns:
     def _write(self, run: DataFrame, level: int) -> None:
         path = f"{self.path}/level={level}/run={self.written}"
         self.written += 1
-        run.sortWithinPartitions("a", "b").write.parquet(path)
+        run.sortWithinPartitions("a", "b").write.mode("overwrite").parquet(path)
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(path)
@@ -102,10 +109,17 @@ class LineRuns:
         if self.paths():
             own = own.join(self.frequent(), ["a", "b"], "left_anti")
         self._write(own, 0)
+        merged: list[str] = []
         for level, runs in enumerate(self.levels):
             if len(runs) >= self.fanout:
                 self.levels[level] = []
                 self._write(self._merge(runs), level + 1)
+                merged += runs
+        listed = json.dumps({"levels": self.levels, "written": self.written})
+        self.storage.write_text(f"{self.path}/list-{self.lists:09d}.json", listed)
+        self.lists += 1
+        for path in merged:  # in no list any more
+            self.storage.delete(path)
 
     def frequent(self) -> DataFrame:
         if not self.paths():
