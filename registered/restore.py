@@ -12,6 +12,7 @@ from tidemark.plans.backup import run_backup
 from tidemark.plans.restore import restore_schema, restore_set, restore_table, upsert_in_place
 from tidemark.sinks.formats import CSV, read_artifact, write_artifact
 from tidemark.sources.catalog import catalog_columns, table_counts
+from tidemark.sources.manifests import parsed_meta
 from tidemark.sources.tables import Table, table_set
 from tidemark.workspace import work_dir
 
@@ -222,3 +223,28 @@ def restore_log_chain(spark, sf_dir):
     return restore_table(
         spark, base, "app", "app", "users", ["user_id"], driver="mysql", until="2024-02-03"
     )
+
+
+@R.add(f"""
+    SELECT o.*, n.n_empty, n.failed FROM ({_chain_sql(T1)}) o,
+        (SELECT CAST(count(*) AS BIGINT) AS n_empty, 'public.broken' AS failed FROM region WHERE r_regionkey < 0) n
+""")
+def restore_around_a_failed_table(spark, sf_dir):
+    """An increment in which one table fails and one has nothing new: the others are kept and restored,
+    the empty one leaves no artifact, the failed one is named and holds back the state."""
+    base = work_dir(spark, "skip")
+    orders = load(spark, sf_dir, "orders")
+    region = load(spark, sf_dir, "region").withColumn("updated_at", F.expr("TIMESTAMP_NTZ '1990-01-01'"))
+    broken = region.withColumn("r_name", F.when(F.lit(True), F.raise_error(F.lit("source is gone"))).cast("string"))
+    for when, mode, third in ((T0, "full", region), (T1, "incremental", broken.withColumn("updated_at", F.expr(f"TIMESTAMP_NTZ '{T1}'")))):
+        manifest = run_backup(
+            spark, table_set({"public.orders": _orders_at(orders, when), "public.region": region, "public.broken": third}),
+            database="shop", destinations={"local": base}, mode=mode, at=when, on_error="skip",
+        )
+    info = parsed_meta(manifest).select(
+        F.size(F.filter("info.tables", lambda t: t["table_name"] == "region")).cast("bigint").alias("n_empty"),
+        F.array_join("info.failed", ",").alias("failed"),
+    )
+    back = restore_table(spark, base, "shop", "public", "orders", ["o_orderkey"], until=T1)
+    row = info.first()
+    return back.withColumns({"n_empty": F.lit(row.n_empty), "failed": F.lit(row.failed)})

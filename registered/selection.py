@@ -5,15 +5,22 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from registered.common import TABLES, Registry, counts_sql, load
-from tidemark.functions.names import artifact_path, basename, set_token, set_ts
-from tidemark.functions.options import base_path, destination_map
+from tidemark.functions.names import (
+    artifact_path,
+    basename,
+    canonical_driver,
+    driver_abbreviation,
+    set_token,
+    set_ts,
+)
+from tidemark.functions.options import base_path, destination_map, non_negative_int
 from tidemark.functions.stamps import stamp_column
 from tidemark.operators.incremental import extract_summary
 from tidemark.operators.placement import placement_plan
 from tidemark.operators.selection import schema_set, select_schemas, select_tables
 from tidemark.sources.catalog import catalog_columns as columns_of
-from tidemark.sources.catalog import table_counts, user_tables, watermark_columns
-from tidemark.sources.tables import find_table, parquet_tables
+from tidemark.sources.catalog import table_counts, user_schemas, user_tables, watermark_columns
+from tidemark.sources.tables import TABLE, VIEW, Table, find_table, parquet_tables
 
 R = Registry()
 NAMES = ", ".join(f"'{t}'" for t in TABLES)
@@ -125,32 +132,73 @@ def manifest_tokens(spark, sf_dir):
 
 
 @R.add("""
-    SELECT o_orderkey, 'backups/' || o_orderstatus AS s3, '' AS wasabi,
-           o_orderpriority AS gcs, 'fallback/x' AS azure
+    SELECT o_orderkey, 'arc/' || o_orderstatus AS near, '' AS far,
+           o_orderpriority AS vault, 'spare/y' AS tape
     FROM orders
 """)
 def destination_options(spark, sf_dir):
     """Option texts parsed per row: trimmed slashes, an empty path, a pair without colon, a fallback."""
     text = F.concat(
-        F.lit("s3:/backups/"), "o_orderstatus", F.lit("/, wasabi: ,junk,,gcs:/"), "o_orderpriority"
+        F.lit("near:/arc/"), "o_orderstatus", F.lit("/, far: ,junk,,vault:/"), "o_orderpriority"
     )
     mapped = load(spark, sf_dir, "orders").select("o_orderkey", destination_map(text).alias("m"))
     return mapped.select(
         "o_orderkey",
         *[
-            base_path(F.lit(d), F.col("m"), F.lit("fallback/x/")).alias(d)
-            for d in ("s3", "wasabi", "gcs", "azure")
+            base_path(F.lit(d), F.col("m"), F.lit("spare/y/")).alias(d)
+            for d in ("near", "far", "vault", "tape")
         ],
     )
 
 
+@R.add("""
+    SELECT o_orderkey, o_orderstatus || '/a:b' AS near, '' AS far, 'spare' AS vault,
+           CASE o_orderkey % 3 WHEN 0 THEN 'mysql' WHEN 1 THEN 'mysql' ELSE 'pgsql' END AS driver,
+           CASE o_orderkey % 3 WHEN 2 THEN 'pg' ELSE 'my' END AS short,
+           CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(o_custkey AS INTEGER) END AS keep
+    FROM orders
+""")
+def run_options(spark, sf_dir):
+    """Destination maps as JSON, drivers in any case and by their other name, counts with blanks."""
+    orders, key = load(spark, sf_dir, "orders"), F.col("o_orderkey")
+    mapped = orders.withColumns({
+        "m": destination_map(F.concat(F.lit(' {"near": "/'), "o_orderstatus", F.lit('/a:b/", "far": null}'))),
+        "driver": F.when(key % 3 == 0, "MySQL").when(key % 3 == 1, "MariaDB").otherwise("PgSQL"),
+        "count": F.when(key % 5 == 0, F.lit("  ")).otherwise(F.concat(F.lit(" "), "o_custkey", F.lit("\t"))),
+    })
+    return mapped.select(
+        "o_orderkey", *[base_path(F.lit(d), F.col("m"), F.lit("/spare/")).alias(d) for d in ("near", "far", "vault")],
+        canonical_driver(F.col("driver")).alias("driver"), driver_abbreviation(F.col("driver")).alias("short"),
+        non_negative_int(F.col("count")).alias("keep"),
+    )
+
+
+@R.add("""
+    SELECT schema_name, table_name, n_rows, CAST(row_number() OVER (ORDER BY schema_name, table_name) AS BIGINT) AS place FROM (
+        SELECT CASE WHEN substr(table_name, 1, 1) < 'l' THEN 'audit' ELSE 'sales' END AS schema_name, table_name, n_rows
+        FROM (%s) WHERE table_name NOT IN ('region', 'nation', 'pages')
+    )
+""" % counts_sql(TABLES))
+def user_catalog(spark, sf_dir):
+    """Schemas and ordinary tables of a catalog that holds system schemas and a view too, in order."""
+    def schema(name: str) -> str:
+        return {"region": "pg_catalog", "nation": "information_schema"}.get(name, "audit" if name[0] < "l" else "sales")
+
+    tables = [Table(schema(t), t, load(spark, sf_dir, t), VIEW if t == "pages" else TABLE) for t in TABLES]
+    catalog = columns_of(spark, tables)
+    names = user_tables(catalog).join(user_schemas(catalog), "schema_name", "left_semi").orderBy("schema_name", "table_name").collect()
+    places = spark.createDataFrame([(*n, k) for k, n in enumerate(names, 1)], "schema_name string, table_name string, place bigint")
+    counts = table_counts([find_table(tables, *n) for n in names])
+    return counts.join(places, ["schema_name", "table_name"]).select("schema_name", "table_name", "n_rows", "place")
+
+
 @R.add("""
     SELECT event_id, disk, base_path, file_name,
            CASE WHEN base_path = '' THEN path ELSE base_path || '/' || path END AS remote_path
     FROM (SELECT event_id, event_type || '/incremental/public/user-' || user_id || '/set='
                  || strftime(ts, '%Y%m%d_%H%M%S') AS path,
                  'set=' || strftime(ts, '%Y%m%d_%H%M%S') AS file_name FROM events),
-         (VALUES ('s3', 'backups/prod'), ('wasabi', ''), ('gcs', 'fallback/x')) d(disk, base_path)
+         (VALUES ('near', 'arc/one'), ('far', ''), ('vault', 'spare/y')) d(disk, base_path)
 """)
 def placement(spark, sf_dir):
     """Every artifact at three destinations: one mapped, one mapped to its root, one falling back."""
@@ -159,7 +207,7 @@ def placement(spark, sf_dir):
         F.lit("public"), F.concat(F.lit("user "), "user_id"),
     )
     artifacts = load(spark, sf_dir, "events").select("event_id", path.alias("path"))
-    plan = placement_plan(artifacts, ["s3", "wasabi", "gcs"], "s3:/backups/prod/,wasabi:", "fallback/x")
+    plan = placement_plan(artifacts, ["near", "far", "vault"], "near:/arc/one/,far:", "spare/y")
     return plan.select(
         "event_id", "disk", "base_path", basename(F.col("path")).alias("file_name"), "remote_path"
     )

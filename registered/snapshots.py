@@ -101,10 +101,10 @@ def fanout_copies(spark, sf_dir):
     disks = {"a": f"{root}/a", "b": f"{root}/b"}
     run_backup(
         spark, [Table("main", "events", events)], database="shop", destinations=disks,
-        remote_map="a:backups/prod,b:", at=AT, gzip=True, keep_raw=True,
+        remote_map="a:arc/one,b:", at=AT, gzip=True, keep_raw=True,
     )
     copies = []
-    for disk, base in (("a", f"{root}/a/backups/prod"), ("b", f"{root}/b")):
+    for disk, base in (("a", f"{root}/a/arc/one"), ("b", f"{root}/b")):
         for copy, suffix in (("gzip", ""), ("raw", RAW_SUFFIX)):
             path = f"{base}/shop/full/main/events{suffix}/set=20240201_000000"
             rows = read_artifact(spark, path, events.schema)

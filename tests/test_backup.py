@@ -239,10 +239,10 @@ def test_copies_at_every_destination(spark, base):
     df = rows_at(spark, 10)
     row = run_backup(
         spark, [Table("public", "t", df)], database="shop", destinations=disks, at="2024-02-01",
-        gzip=True, keep_raw=True, remote_map='{"a": "backups/prod/", "b": ""}', remote_path="/fall/x",
+        gzip=True, keep_raw=True, remote_map='{"a": "arc/one/", "b": ""}', remote_path="/spare/y",
     ).first()
     assert len(row.files) == 2
-    for place in ("a/backups/prod", "b", "c/fall/x"):
+    for place in ("a/arc/one", "b", "c/spare/y"):
         assert names(read_manifests(spark, f"{base}/{place}")) == [row.manifest]
         for path, mark in zip(row.files, (".gz.parquet", ".parquet")):
             copy = read_artifact(spark, f"{base}/{place}/{path}", df.schema)
