@@ -9,11 +9,15 @@ gradients at the window's start (truncated backpropagation through time).
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 from dataclasses import dataclass, fields
 
 import numpy as np
 
 
+FAR = 60.0  # e to its power, and a row's worth of that, fit 32-bit numbers
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
@@ -37,6 +41,9 @@ class Weights:
     word_bias: np.ndarray
     bounds: np.ndarray  # of the classes' ids; not learned
 
+    def __post_init__(self) -> None:
+        self.class_of = np.repeat(np.arange(len(self.bounds) - 1, dtype=np.int16), np.diff(self.bounds))
+
     @classmethod
     def start(cls, counts: np.ndarray, singles: int, classes: int, hidden: int, seed: int = 3) -> Weights:
         """counts: of all ids; the last `singles` ids are classes of their own. Starts from frequencies."""
@@ -72,7 +79,8 @@ class Weights:
 
 
 class Lanes:
-    """Documents dealt out to lanes that run side by side; longer lanes come first."""
+    """Documents dealt out to lanes that run side by side; longer lanes come first. The ids of a lane lie
+    in a row, and a window looks up its own: memory goes with the ids, not with the longest lane."""
 
     def __init__(self, ids: np.ndarray, lengths: np.ndarray, lanes: int, start_id: int):
         """ids: of all documents in a row. lengths: ids of each document, 1 or more."""
@@ -86,38 +94,51 @@ class Lanes:
             heapq.heappush(heap, (total + int(lengths[d]), k))
         docs.sort(key=lambda lane: -sum(int(lengths[d]) for d in lane))
         self.sizes = np.array([sum(int(lengths[d]) for d in lane) for lane in docs])
-        steps = int(self.sizes.max()) if lanes else 0
-        self.target = np.full((steps, lanes), -1, np.int32)
-        self.doc = np.zeros((steps, lanes), np.int32)
-        self.fresh = np.zeros((steps, lanes), bool)
-        for k, lane in enumerate(docs):
-            at = 0
-            for d in lane:
-                n = int(lengths[d])
-                self.target[at : at + n, k] = ids[begins[d] : begins[d] + n]
-                self.doc[at : at + n, k] = d
-                self.fresh[at, k] = True
-                at += n
-        self.input = np.full_like(self.target, start_id)
-        self.input[1:] = self.target[:-1]
-        self.input[self.fresh] = start_id
-
-    def windows(self, length: int):
-        """first step, end step, lanes with ids in the first step."""
-        for t in range(0, len(self.target), length):
-            yield t, min(t + length, len(self.target)), int((self.sizes > t).sum())
-
-
-def run(w: Weights, lanes: Lanes, t: int, end: int, n: int, state: np.ndarray, keep: list | None = None) -> np.ndarray:
-    """States after each step of a window, for the first n lanes; `keep` gets what going back needs."""
-    hidden = w.again.shape[0]
-    states = np.empty((end - t, n, hidden), np.float32)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        order = np.array([d for lane in docs for d in lane], np.int64)
+        own = lengths[order]
+        self.doc_of = np.repeat(order, own).astype(np.int32)
+        heads = np.cumsum(own) - own
+        self.target_of = ids[np.arange(len(self.doc_of)) + np.repeat(begins[order] - heads, own)].astype(np.int32)
+        self.fresh_of = np.zeros(len(self.doc_of), bool)
+        self.fresh_of[heads] = True
+        self.input_of = np.full(len(self.doc_of), start_id, np.int32)
+        self.input_of[1:] = self.target_of[:-1]
+        self.input_of[self.fresh_of] = start_id
+
+    def windows(self, length: int, tokens: int = 0) -> Iterator[Window]:
+        """Windows of `length` steps; with `tokens`, longer ones where few lanes go on."""
+        t, last = 0, int(self.sizes[0]) if len(self.sizes) else 0
+        while t < last:
+            n = int((self.sizes > t).sum())
+            end = min(t + max(length, tokens // n), last)
+            yield Window(self, t, end, n)
+            t = end
+
+
+class Window:
+    """Steps t to `end` of the first n lanes: target (-1 behind a lane's end), document, input, fresh."""
+
+    def __init__(self, lanes: Lanes, t: int, end: int, n: int):
+        steps = np.arange(t, end)[:, None]
+        live = steps < lanes.sizes[:n]
+        at = np.where(live, steps + lanes.begins[:n], 0)
+        self.steps, self.n, self.live = end - t, n, live
+        self.target = np.where(live, lanes.target_of[at], -1)
+        self.doc, self.input = lanes.doc_of[at], lanes.input_of[at]
+        self.fresh = lanes.fresh_of[at] & live
+
+
+def run(w: Weights, window: Window, state: np.ndarray, keep: list | None = None) -> np.ndarray:
+    """States after each step of a window; `keep` gets what going back needs."""
+    hidden, n = w.again.shape[0], window.n
+    states = np.empty((window.steps, n, hidden), np.float32)
     h = state[:n]
-    for k in range(t, end):
-        fresh = lanes.fresh[k, :n]
+    for k in range(window.steps):
+        fresh = window.fresh[k]
         if fresh.any():
             h = np.where(fresh[:, None], np.float32(0), h)
-        x = w.into[lanes.input[k, :n]]
+        x = w.into[window.input[k]]
         a = h @ w.again
         gates = x[:, : 2 * hidden] + a[:, : 2 * hidden]
         np.negative(gates, out=gates)
@@ -128,46 +149,60 @@ def run(w: Weights, lanes: Lanes, t: int, end: int, n: int, state: np.ndarray, k
         new = np.tanh(x[:, 2 * hidden :] + r * a[:, 2 * hidden :])
         before = h
         h = new + z * (before - new)
-        states[k - t] = h
+        states[k] = h
         if keep is not None:
             keep.append((before, z, r, new, a[:, 2 * hidden :]))
     return states
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
-    return x
+def _chances(x: np.ndarray, place: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log chances of the places of each row of logits, and the rows' sums; `x` is left as what is summed.
+    One shift does for all rows, unless some lie so far below others that nothing would be left of them."""
+    top = x.max()
+    x -= top if top - x.min() < FAR else x.max(axis=1, keepdims=True)
+    own = x[rows, place]
+    np.exp(x, out=x)
+    sums = x @ np.ones(x.shape[1], x.dtype)
+    return own - np.log(sums), sums
 
 
 def outcome(w: Weights, h: np.ndarray, target: np.ndarray, slopes: dict | None = None) -> np.ndarray:
     """The log chance of each target after each state. `slopes` gets the loss's slopes, summed."""
-    classes = np.searchsorted(w.bounds, target, "right") - 1
+    classes = w.class_of[target]
     rows = np.arange(len(target))
-    logits = _log_softmax(h @ w.to_class + w.class_bias)
-    out = logits[rows, classes].astype(np.float64)
+    p = h @ w.to_class
+    p += w.class_bias
+    found, sums = _chances(p, classes, rows)
+    out = found.astype(np.float64)
+    # In order of classes: each class's own rows lie together.
+    order = np.argsort(classes, kind="stable")
+    at = np.searchsorted(classes[order], np.arange(len(w.bounds)))
+    hs, places, inner = h[order], target[order], np.zeros(len(order), np.float32)
     if slopes is not None:
-        p = np.exp(logits)
+        p /= sums[:, None]
         p[rows, classes] -= 1
         slopes["to_class"], slopes["class_bias"] = h.T @ p, p.sum(axis=0)
         slopes["h"] = p @ w.to_class.T
         slopes["to_word"], slopes["word_bias"] = np.zeros_like(w.to_word), np.zeros_like(w.word_bias)
-    order = np.argsort(classes.astype(np.int16), kind="stable")
-    at = np.searchsorted(classes[order], np.arange(len(w.bounds)))
+        back = np.zeros_like(hs)
     for c in np.flatnonzero(np.diff(at)):
         low, high = w.bounds[c], w.bounds[c + 1]
         if high - low == 1:
             continue
-        idx = order[at[c] : at[c + 1]]
-        own, place, hc = np.arange(len(idx)), target[idx] - low, h[idx]
-        logits = _log_softmax(hc @ w.to_word[low:high].T + w.word_bias[low:high])
-        out[idx] += logits[own, place]
+        part = slice(at[c], at[c + 1])
+        hc, place = hs[part], places[part] - low
+        p = hc @ w.to_word[low:high].T
+        p += w.word_bias[low:high]
+        inner[part], sums = _chances(p, place, rows[: len(place)])
         if slopes is not None:
-            p = np.exp(logits)
-            p[own, place] -= 1
+            p /= sums[:, None]
+            p[rows[: len(place)], place] -= 1
             slopes["to_word"][low:high] = p.T @ hc
             slopes["word_bias"][low:high] = p.sum(axis=0)
-            slopes["h"][idx] += p @ w.to_word[low:high]
+            back[part] = p @ w.to_word[low:high]
+    out[order] += inner
+    if slopes is not None:
+        slopes["h"][order] += back
     return out
 
 
@@ -177,16 +212,16 @@ def score(w: Weights, ids: np.ndarray, lengths: np.ndarray, *, lanes: int = 256,
     if not len(lengths):
         return sums
     deal = Lanes(ids, lengths, lanes, len(w.into) - 1)
-    state = np.zeros((deal.target.shape[1], w.again.shape[0]), np.float32)
-    for t, end, n in deal.windows(window):
-        states = run(w, deal, t, end, n, state)
+    state = np.zeros((len(deal.sizes), w.again.shape[0]), np.float32)
+    for part in deal.windows(window, lanes * window):
+        states = run(w, part, state)
         state = states[-1]
-        target, doc = deal.target[t:end, :n].ravel(), deal.doc[t:end, :n].ravel()
-        live = target >= 0
-        if not live.all():
-            target, doc = target[live], doc[live]
         h = states.reshape(-1, states.shape[2])
-        sums += np.bincount(doc, outcome(w, h if live.all() else h[live], target), minlength=len(lengths))
+        target, doc = part.target.ravel(), part.doc.ravel()
+        live = part.live.ravel()
+        if not live.all():
+            target, doc, h = target[live], doc[live], h[live]
+        sums += np.bincount(doc, outcome(w, h, target), minlength=len(lengths))
     return sums
 
 
@@ -202,32 +237,29 @@ class Learner:
         self.sums[k][rows] += slope * slope
         weight[rows] -= self.rate * slope / np.sqrt(self.sums[k][rows])
 
-    def learn(self, ids: np.ndarray, lengths: np.ndarray, *, lanes: int = 128, window: int = 16, every: int = 1) -> int:
-        """Goes through all documents with the state carried on; of each `every` windows one is learned
-        from, the lanes' states run on through the others. Gives how many ids were learned from."""
+    def learn(self, ids: np.ndarray, lengths: np.ndarray, *, lanes: int = 512, window: int = 32) -> int:
+        """Goes through all documents, learning from every window, with the state carried on. Gives how
+        many ids were learned from."""
         w, learned = self.w, 0
         if not len(lengths):
             return 0
         deal = Lanes(ids, lengths, lanes, len(w.into) - 1)
         hidden = w.again.shape[0]
-        state = np.zeros((deal.target.shape[1], hidden), np.float32)
-        for number, (t, end, n) in enumerate(deal.windows(window)):
-            if number % every:
-                state = run(w, deal, t, end, n, state)[-1]
-                continue
+        state = np.zeros((len(deal.sizes), hidden), np.float32)
+        for part in deal.windows(window):
+            n = part.n
             keep: list = []
-            states = run(w, deal, t, end, n, state, keep)
+            states = run(w, part, state, keep)
             state = states[-1]
-            target = deal.target[t:end, :n].ravel()
-            live = target >= 0
+            target, live = part.target.ravel(), part.live.ravel()
             slopes: dict = {}
             outcome(w, states.reshape(-1, hidden)[live], target[live], slopes)
             learned += int(live.sum())
             back = np.zeros((len(target), hidden), np.float32)
             back[live] = slopes["h"] / n
-            back = back.reshape(end - t, n, hidden)
-            into, again, carry = np.empty((end - t, n, 3 * hidden), np.float32), np.zeros_like(w.again), 0
-            for k in range(end - t - 1, -1, -1):
+            back = back.reshape(part.steps, n, hidden)
+            into, again, carry = np.empty((part.steps, n, 3 * hidden), np.float32), np.zeros_like(w.again), 0
+            for k in range(part.steps - 1, -1, -1):
                 before, z, r, new, a = keep[k]
                 d = back[k] + carry
                 d_new = d * (1 - z) * (1 - new * new)
@@ -237,12 +269,13 @@ class Learner:
                 pre = np.concatenate([d_z, d_r, d_new * r], axis=1)
                 again += before.T @ pre
                 carry = d * z + pre @ w.again.T
-                fresh = deal.fresh[t + k, :n]
+                fresh = part.fresh[k]
                 if fresh.any():
                     carry[fresh] = 0
-            used = deal.input[t:end, :n].ravel()
+            used = part.input.ravel().astype(np.uint16 if len(w.into) <= 1 << 16 else np.int32)
             order = np.argsort(used, kind="stable")
-            rows, firsts = np.unique(used[order], return_index=True)
+            firsts = np.flatnonzero(np.append(True, np.diff(used[order]) != 0))
+            rows = used[order][firsts]
             self._step(0, w.into, np.add.reduceat(into.reshape(-1, 3 * hidden)[order], firsts), rows)
             self._step(1, w.again, again)
             for k, name in enumerate(("to_class", "class_bias", "to_word", "word_bias"), 2):

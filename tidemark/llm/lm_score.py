@@ -8,7 +8,7 @@ score is a whole document's chance over all words, seen and unseen.
 Learning: a short start on a bounded sample of documents, on the driver; then each task carries on from
 there over all training documents in its part of the table, and the tasks' weights are averaged, in
 proportion to what they learned from, by a tree of merges. Every document is read to its end with its
-state carried on; one window in `EVERY` changes the weights.
+state carried on, and every window changes the weights.
 
 A word is told by 64 bits of hash. The counts of the `SENT` most frequent words go to all tasks; the rest
 meet their counts in a join on the word, once for each occurrence.
@@ -25,17 +25,19 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.gru import Learner, Weights, score
 from tidemark.llm.hashing import slices, word_hashes
+from tidemark.llm.sampling import RANGE, hash_bound
 from tidemark.llm.ship import ship
+from tidemark.llm.words import words
 from tidemark.workspace import materialise
 
-VOCABULARY, CLASSES, HIDDEN = 8192, 80, 24
+VOCABULARY, CLASSES, HIDDEN = 4096, 64, 16
 SENT = 1 << 17
-START_TOKENS, START_LONGEST = 300_000, 20_000
-EVERY, RATE = 8, 0.2
+START_TOKENS = 300_000
+RATE = 0.2
 BUFFER = 1_500_000  # ids a task holds at once, but for one longer document
 SMOOTH = 0.1
 
@@ -126,11 +128,16 @@ def _learning_ids(batches: Batches, lookup: Lookup) -> Iterator[tuple[np.ndarray
 
 
 def _started(training: DataFrame, lookup: Lookup) -> Weights:
-    """Weights after the start on a sample: whole documents of at most START_LONGEST words."""
+    """Weights after the start on a sample of distinct whole texts, drawn by their hash, of START_TOKENS
+    words at most. It only spares the tasks the first steps: they learn from all texts, these too."""
     weights = Weights.start(lookup.frequencies, 2, CLASSES, HIDDEN)
-    share = min(1.0, 1.1 * START_TOKENS / max(1, lookup.tokens))
-    drawn = training.filter(F.pmod(F.xxhash64("doc_id", F.lit("start")), F.lit(1 << 20)) < max(1, int(share * (1 << 20))))
     sent = training.sparkSession.sparkContext.broadcast(lookup)
+    hashed = training.select("text", F.xxhash64("text", F.lit("start")).bitwiseAND(F.lit(RANGE - 1)).alias("h"))
+    drawn = hashed.filter(F.col("h") <= hash_bound(2 * START_TOKENS, max(1, lookup.tokens)))
+    one = drawn.groupBy("h").agg(F.min("text").alias("text"))
+    sized = one.withColumn("n", F.size(words(F.col("text"))) + 1)
+    upto = F.sum("n").over(Window.orderBy("h").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    chosen = sized.withColumn("upto", upto).filter(F.col("upto") <= START_TOKENS)
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
@@ -139,13 +146,13 @@ def _started(training: DataFrame, lookup: Lookup) -> Weights:
                 hashes, counts = word_hashes(data, bounds)
                 ids, lengths = sent.value.network_ids(*sent.value.find(hashes), counts)
                 ends = np.cumsum(lengths)
-                rows += [ids[e - n : e].tobytes() for e, n in zip(ends, lengths, strict=True) if n <= START_LONGEST]
+                rows += [ids[e - n : e].tobytes() for e, n in zip(ends, lengths, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["ids"])
 
-    rows = sorted(r["ids"] for r in drawn.select("doc_id", "text").mapInArrow(run, "ids binary").limit(START_TOKENS).collect())
+    rows = sorted(r["ids"] for r in chosen.select("text").mapInArrow(run, "ids binary").collect())
     if rows:
         lengths = np.array([len(r) // 4 for r in rows])
-        Learner(weights, RATE).learn(np.frombuffer(b"".join(rows), np.int32), lengths, lanes=64)
+        Learner(weights, RATE).learn(np.frombuffer(b"".join(rows), np.int32), lengths, lanes=64, window=16)
     return weights
 
 
@@ -173,7 +180,7 @@ def _trained(training: DataFrame, lookup: Lookup) -> Weights:
     def run(batches: Batches) -> Batches:
         lookup, first = sent.value
         learner = Learner(first.unpack(first.pack()), RATE / 2)
-        learned = sum(learner.learn(ids, n, every=EVERY) for ids, n in _learning_ids(batches, lookup))
+        learned = sum(learner.learn(ids, n) for ids, n in _learning_ids(batches, lookup))
         if learned:
             yield pa.RecordBatch.from_arrays([pa.array([learned]), pa.array([learner.w.pack().tobytes()], pa.binary())], ["n", "weights"])
 
