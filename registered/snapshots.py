@@ -135,8 +135,10 @@ def per_schema_snapshot(spark, sf_dir):
 """)
 def manifest_inventory(spark, sf_dir):
     """One increment per event type as a database of its own; what the listed manifests say of them."""
-    base = work_dir(spark, "inventory")
+    base, stored = work_dir(spark, "inventory"), work_dir(spark, "by-type")
     events = load(spark, sf_dir, "events")
+    write_artifact(events, stored, partition_by=("event_type",))  # each database is then one pruned read
+    events = read_artifact(spark, stored, events.schema)
     for kind in [r.event_type for r in events.select("event_type").distinct().collect()]:
         run_backup(
             spark, [Table("public", "events", events.filter(F.col("event_type") == kind))],

@@ -93,9 +93,13 @@ def stream_log_chain(spark, sf_dir):
         spark, [Table("app", "users", users)], database="app", driver="mysql", at="2024-03-01",
         destinations={"local": base}, changes=[Table("app", "users", seen)],
     )
-    log.filter(F.col("event_id") > last // 3 - 100).repartitionByRange(5, "seq", "pos").write.parquet(source)
-    stream_sets(
-        file_stream(spark, source, log.schema, max_files=2), work_dir(spark, "log-sets-checkpoint"), database="app",
-        schema_name="app", table_name="users", destinations={"local": base}, driver="mysql", log=True,
-    )
+    # The log arrives in its order; each part overlaps the one before.
+    checkpoint, bounds = work_dir(spark, "log-sets-checkpoint"), [last // 3, last // 2, 2 * last // 3, last]
+    for low, high in zip(bounds, bounds[1:]):
+        part = log.filter(F.col("event_id").between(low - 100, high))
+        part.repartitionByRange(2, "seq", "pos").write.mode("append").parquet(source)
+        stream_sets(
+            file_stream(spark, source, log.schema), checkpoint, database="app", schema_name="app", table_name="users",
+            destinations={"local": base}, driver="mysql", log=True,
+        )
     return restore_table(spark, base, "app", "app", "users", ["user_id"], driver="mysql", until="2999-01-01")

@@ -135,8 +135,9 @@ def stream_sets(
 
     A watermark set says that it holds what arrived after the set before it, or after `since`; where a
     batch may hold several versions of a row, `keys` and `order` keep the last one. With
-    `log` the stream is a change table, and a set spans the coordinates from where the one before it
-    ended, or from its first change; `mysql` is the driver of such chains.
+    `log` the stream is a change table whose files arrive in the log's order, and a set spans the
+    coordinates from where the one before it ended, or from its first change; files that come before
+    their predecessors make a chain that restore refuses. `mysql` is the driver of such chains.
     """
     if driver not in DRIVER_ABBREVIATIONS:
         raise ValueError(f"unsupported driver {driver!r}")
