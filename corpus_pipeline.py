@@ -14,8 +14,19 @@ from tidemark.llm.queries import PIECES_MODEL, source_group
 from tidemark.workspace import materialise
 
 
+BATCH_ROWS = 2_000  # of whole texts that are handed to a Python worker at once
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def _bounded_batches(spark: SparkSession) -> None:
+    """Batches are counted in rows; those of texts are kept smaller than Spark's own bound for narrow rows."""
+    if not 0 < int(spark.conf.get(_BATCH)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH, BATCH_ROWS)
+
+
 def judge_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents whose chance of the top grade is 0.4 or more: neither toxic nor poor."""
+    _bounded_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality_model.fit(docs, labels, sample_rows=5000)
     return quality_model.judge(docs, model, threshold=0.4).filter("accepted").select(*docs.columns)
@@ -31,6 +42,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: the one of the least doc_id. Five words, similarity 0.8."""
+    _bounded_batches(spark)
     found = near_dedup.groups(docs, width=5, percent=80)
     first = found.filter("first").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
     hashed = docs.withColumn("__text", F.xxhash64("text"))
@@ -45,6 +57,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of each whole document."""
+    _bounded_batches(spark)
     encoded = pieces.encode(docs, pieces.Pieces.load(PIECES_MODEL))
     return encoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_pieces"), "ids")
 
