@@ -39,6 +39,7 @@ BANDS, ROWS = 42, 6
 M = BANDS * ROWS
 STEP, RATE, TOP = 1.001, 20.0, 65535  # base of the scale, rate of the variates, greatest register
 HUBS = (3,)  # for each bucket, drawn anew in each of these rounds
+TOGETHER = 256  # texts whose sets are handed on at once
 MARGIN = 0.15  # six standard deviations of the estimate at the threshold
 
 _seeds = np.random.default_rng(7919).integers(1, 2**32, (3, M), dtype=np.uint32)
@@ -136,14 +137,16 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _full_sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = list(_shingle_rows(batch.column("text"), width))
-            flat = np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64)
-            at = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([_set_key(s) for s in sets], pa.binary()), pa.ListArray.from_arrays(at, flat)],
-                ["doc_id", "key", "members"],
-            )
+        for whole in batches:
+            for start in range(0, whole.num_rows, TOGETHER):  # sets are larger than their texts
+                batch = whole.slice(start, TOGETHER)
+                sets = list(_shingle_rows(batch.column("text"), width))
+                flat = np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64)
+                at = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), pa.array([_set_key(s) for s in sets], pa.binary()), pa.ListArray.from_arrays(at, flat)],
+                    ["doc_id", "key", "members"],
+                )
 
     return run
 
