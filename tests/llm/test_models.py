@@ -162,6 +162,27 @@ def test_components_of_random_graphs(spark):
     assert got == {k: v for k, v in label.items() if k != v}
 
 
+def test_components_of_stars_take_one_pass(spark, monkeypatch):
+    """Known to be done from the edges alone: on many partitions each further pass costs what the first does."""
+    stored = []
+    monkeypatch.setattr(components, "materialise", lambda df, label, real=components.materialise: stored.append(label) or real(df, label))
+    links = [(10, k) for k in range(11, 40)] + [(52, 50), (50, 51), (60, 61), (61, 61), (None, 3)]
+    got = {r.node: r.label for r in components.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert got == {k: 10 for k in range(11, 40)} | {51: 50, 52: 50, 61: 60}
+    assert stored == ["edges"]
+
+
+def test_components_after_more_links_are_those_of_all_links(spark):
+    rng = np.random.default_rng(4)
+    links = [tuple(map(int, x)) for x in rng.integers(0, 90, (60, 2))]
+    kind = "a bigint, b bigint"
+    for k in (0, 20, 45, 60):
+        before = components.components(spark.createDataFrame(links[:k], kind))
+        got = [(r.node, r.label) for r in components.joined(before, spark.createDataFrame(links[k:], kind)).collect()]
+        want = [(r.node, r.label) for r in components.components(spark.createDataFrame(links, kind)).collect()]
+        assert sorted(got) == sorted(want)
+
+
 def test_gradients_are_slopes():
     """Against differences, through both the classes and the recurrence."""
     w = gru.Weights.start(np.array([9.0, 5, 4, 2, 1, 3, 7]), 2, 2, 4, seed=1)

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.components import components
+from tidemark.llm.components import components, joined
 from tidemark.llm.hashing import shingles, slices, word_hashes
 from tidemark.llm.ship import ship
 from tidemark.workspace import discard, materialise
@@ -172,7 +172,7 @@ def _sets_of(uids: DataFrame, classes: DataFrame, docs: DataFrame, width: int) -
     """uid and members: the full shingle sets of some classes, made anew from their texts."""
     wanted = materialise(classes.join(uids, "uid", "left_semi").select("uid", "doc_id", "key"), "wanted")
     texts = docs.alias("d").join(
-        wanted.select("doc_id").distinct().alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")), "left_semi"
+        wanted.select("doc_id").alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")), "left_semi"
     )
     sets = texts.select("doc_id", "text").mapInArrow(_full_sets(width), "doc_id bigint, key binary, members array<bigint>")
     found = materialise(
@@ -285,9 +285,11 @@ def groups(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     links = _verified(tested, classes, source, width, percent)
     labels = components(links)
-    parts = [links]
+    discard(links)
+    outside = _open(busy, labels)
     for hubs in HUBS:
-        outside = _open(busy, labels)
+        if outside.isEmpty():
+            break
         chosen = outside.groupBy("bucket").agg(
             F.array(*[F.min_by(F.struct("uid", "label"), F.xxhash64("uid", F.lit(hubs + k))) for k in range(hubs)]).alias("hubs")
         )
@@ -296,25 +298,27 @@ def groups(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
         more = materialise(more, "pairs")
         discard(outside)
         tested = tested.unionByName(more)
-        parts.append(_verified(more, classes, source, width, percent))
-        links = links.unionByName(parts[-1])
-        labels = _relabelled(links, labels)
-    outside = _open(busy, labels)
+        labels = _relabelled(labels, _verified(more, classes, source, width, percent))
+        outside = _open(busy, labels)
     discard(busy)
-    sets = _sets_of(outside.select("uid").distinct(), classes, source, width)
-    more = materialise(_ordered(_sharing_rare(outside, sets, percent)).join(tested, ["a", "b"], "left_anti"), "pairs")
-    near = _likely(more, classes, percent)
-    late = _similar(near, sets, percent)
-    discard(outside, sets, tested, more, near, classes)
-    if not late.isEmpty():
-        labels = _relabelled(links.unionByName(late), labels)
-    discard(*parts, late)
+    if not outside.isEmpty():
+        sets = _sets_of(outside.select("uid").distinct(), classes, source, width)
+        more = materialise(_ordered(_sharing_rare(outside, sets, percent)).join(tested, ["a", "b"], "left_anti"), "pairs")
+        near = _likely(more, classes, percent)
+        late = _similar(near, sets, percent)
+        discard(sets, more, near)
+        labels = _relabelled(labels, late)
+    discard(outside, tested, classes)
     return _labelled(rows, heads, labels)
 
 
-def _relabelled(links: DataFrame, before: DataFrame) -> DataFrame:
-    labels = components(links)
-    discard(before)
+def _relabelled(before: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after more links, which are deleted with the former labels."""
+    if links.isEmpty():
+        discard(links)
+        return before
+    labels = joined(before, links)
+    discard(before, links)
     return labels
 
 
