@@ -8,6 +8,7 @@ import math
 import random
 import re
 import string
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -208,6 +209,47 @@ def test_gradients_are_slopes():
             assert abs(-(up - down) / 0.02 / 2 - full[at]) < 0.02
 
 
+def test_a_window_of_class_logits_is_never_held_whole():
+    """Only blocks that stay in the processor's cache: the time of a window goes with the memory it walks over."""
+    counts = np.arange(4100, 0, -1).astype(float)
+    w = gru.Weights.start(counts, 2, 512, 16)
+    rng = np.random.default_rng(6)
+    h, target = rng.uniform(-1, 1, (1 << 16, 16)).astype(np.float32), rng.integers(0, 4100, 1 << 16)
+    tracemalloc.start()
+    gru.outcome(w, h, target)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < len(target) * (len(w.bounds) - 1) * 4
+
+
+def test_logits_far_apart_keep_their_chances():
+    """Against 64 bits, with and without the shift that logits near 0 do without, and the slopes with it."""
+    for scale in (0.5, 30.0):
+        w = gru.Weights.start(np.arange(40, 0, -1).astype(float), 2, 5, 6)
+        rng = np.random.default_rng(8)
+        w.to_class[:], w.to_word[:] = rng.normal(0, scale, w.to_class.shape), rng.normal(0, scale, w.to_word.shape)
+        h, target = rng.uniform(-1, 1, (3000, 6)).astype(np.float32), rng.integers(0, 40, 3000)
+        slopes: dict = {}
+        got = gru.outcome(w, h, target, slopes)
+        x = h.astype(float)
+        by_class, by_word = x @ w.to_class + w.class_bias, x @ w.to_word.T + w.word_bias
+        same = w.class_of[target][:, None] == w.class_of[None, :]
+        by_word = np.where(same, by_word, -np.inf)
+        log = lambda y: y - y.max(axis=1, keepdims=True) - np.log(np.exp(y - y.max(axis=1, keepdims=True)).sum(axis=1, keepdims=True))
+        of_class, of_word = log(by_class), log(by_word)
+        rows = np.arange(len(target))
+        assert np.allclose(got, of_class[rows, w.class_of[target]] + of_word[rows, target], rtol=1e-4, atol=1e-3)
+        d_class, d_word = np.exp(of_class), np.exp(of_word)
+        d_class[rows, w.class_of[target]] -= 1
+        d_word[rows, target] -= 1
+        want = {"to_class": x.T @ d_class, "class_bias": d_class.sum(axis=0), "h": d_class @ w.to_class.T + d_word @ w.to_word}
+        # Words that are a class of their own have no slopes.
+        alone = np.repeat(np.diff(w.bounds), np.diff(w.bounds)) == 1
+        want |= {"to_word": np.where(alone[:, None], 0, d_word.T @ x), "word_bias": np.where(alone, 0, d_word.sum(axis=0))}
+        for k, v in want.items():
+            assert np.allclose(slopes[k], v, rtol=1e-3, atol=2e-2), k
+
+
 def test_chances_sum_to_one_and_windows_do_not_matter():
     w = gru.Weights.start(np.arange(20, 0, -1).astype(float), 2, 4, 6)
     w.to_word += np.random.default_rng(3).normal(0, 1, w.to_word.shape).astype(np.float32)

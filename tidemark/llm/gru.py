@@ -16,6 +16,7 @@ import numpy as np
 
 
 FAR = 60.0  # e to its power, and a row's worth of that, fit 32-bit numbers
+BLOCK = 2048  # rows whose class logits are made at once: they stay in the processor's cache
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -130,36 +131,49 @@ class Window:
 
 
 def run(w: Weights, window: Window, state: np.ndarray, keep: list | None = None) -> np.ndarray:
-    """States after each step of a window; `keep` gets what going back needs."""
+    """States after each step of a window, a row for each unit, so that each gate's values lie together; `keep`
+    gets what going back needs."""
     hidden, n = w.again.shape[0], window.n
-    states = np.empty((window.steps, n, hidden), np.float32)
-    h = state[:n]
+    states = np.empty((window.steps, hidden, n), np.float32)
+    again = np.ascontiguousarray(w.again.T)
+    h = np.ascontiguousarray(state[:, :n])
     for k in range(window.steps):
         fresh = window.fresh[k]
         if fresh.any():
-            h = np.where(fresh[:, None], np.float32(0), h)
-        x = w.into[window.input[k]]
-        a = h @ w.again
-        gates = x[:, : 2 * hidden] + a[:, : 2 * hidden]
+            h = np.where(fresh, np.float32(0), h)
+        x = np.ascontiguousarray(w.into[window.input[k]].T)
+        a = again @ h
+        gates, new = x[: 2 * hidden], x[2 * hidden :]
+        gates += a[: 2 * hidden]
         np.negative(gates, out=gates)
         np.exp(gates, out=gates)
         gates += 1
         np.reciprocal(gates, out=gates)
-        z, r = gates[:, :hidden], gates[:, hidden:]
-        new = np.tanh(x[:, 2 * hidden :] + r * a[:, 2 * hidden :])
+        z, r = gates[:hidden], gates[hidden:]
+        new += r * a[2 * hidden :]
+        np.tanh(new, out=new)
         before = h
-        h = new + z * (before - new)
-        states[k] = h
+        h = states[k]
+        np.subtract(before, new, out=h)
+        h *= z
+        h += new
         if keep is not None:
-            keep.append((before, z, r, new, a[:, 2 * hidden :]))
+            keep.append((before, z, r, new, a[2 * hidden :]))
     return states
 
 
-def _chances(x: np.ndarray, place: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _by_step(x: np.ndarray) -> np.ndarray:
+    """Values of steps, units and lanes with a row for each step of each lane."""
+    return np.ascontiguousarray(x.transpose(0, 2, 1)).reshape(-1, x.shape[1])
+
+
+def _chances(x: np.ndarray, place: np.ndarray, rows: np.ndarray, near: bool) -> tuple[np.ndarray, np.ndarray]:
     """Log chances of the places of each row of logits, and the rows' sums; `x` is left as what is summed.
-    One shift does for all rows, unless some lie so far below others that nothing would be left of them."""
-    top = x.max()
-    x -= top if top - x.min() < FAR else x.max(axis=1, keepdims=True)
+    Logits known to be near 0 need no shift. One shift does for all rows, unless some lie so far below others
+    that nothing would be left of them."""
+    if not near:
+        top = x.max()
+        x -= top if top - x.min() < FAR else x.max(axis=1, keepdims=True)
     own = x[rows, place]
     np.exp(x, out=x)
     sums = x @ np.ones(x.shape[1], x.dtype)
@@ -168,55 +182,68 @@ def _chances(x: np.ndarray, place: np.ndarray, rows: np.ndarray) -> tuple[np.nda
 
 def outcome(w: Weights, h: np.ndarray, target: np.ndarray, slopes: dict | None = None) -> np.ndarray:
     """The log chance of each target after each state. `slopes` gets the loss's slopes, summed."""
+    hidden = h.shape[1]
     classes = w.class_of[target]
     rows = np.arange(len(target))
-    p = h @ w.to_class
-    p += w.class_bias
-    found, sums = _chances(p, classes, rows)
-    out = found.astype(np.float64)
+    # The bias is the weight of a last unit that is always 1; the others lie between -1 and 1.
+    h = np.concatenate([h, np.ones((len(h), 1), np.float32)], axis=1)
+    to_class = np.concatenate([w.to_class, w.class_bias[None]])
+    to_word = np.concatenate([w.to_word, w.word_bias[:, None]], axis=1)
+    near = float(np.abs(to_class).sum(axis=0).max()) < FAR
+    near_words = np.maximum.reduceat(np.abs(to_word).sum(axis=1), w.bounds[:-1]) < FAR
+    out = np.empty(len(target))
+    if slopes is not None:
+        slope_class, slope_word = np.zeros((to_class.shape[1], hidden + 1), np.float32), np.zeros_like(to_word)
+        slopes["h"] = np.empty((len(h), hidden), np.float32)
+    for first in range(0, len(target), BLOCK):
+        part = slice(first, first + BLOCK)
+        hc, own = h[part], classes[part]
+        p = hc @ to_class
+        out[part], sums = _chances(p, own, rows[: len(own)], near)
+        if slopes is not None:
+            # Rows are divided by their sums where they are narrow.
+            p[rows[: len(own)], own] -= sums
+            shares = (1 / sums)[:, None]
+            slope_class += p.T @ (hc * shares)
+            np.multiply(p @ w.to_class.T, shares, out=slopes["h"][part])
     # In order of classes: each class's own rows lie together.
     order = np.argsort(classes, kind="stable")
     at = np.searchsorted(classes[order], np.arange(len(w.bounds)))
     hs, places, inner = h[order], target[order], np.zeros(len(order), np.float32)
-    if slopes is not None:
-        p /= sums[:, None]
-        p[rows, classes] -= 1
-        slopes["to_class"], slopes["class_bias"] = h.T @ p, p.sum(axis=0)
-        slopes["h"] = p @ w.to_class.T
-        slopes["to_word"], slopes["word_bias"] = np.zeros_like(w.to_word), np.zeros_like(w.word_bias)
-        back = np.zeros_like(hs)
+    back = np.zeros((len(order), hidden if slopes is not None else 0), np.float32)
     for c in np.flatnonzero(np.diff(at)):
         low, high = w.bounds[c], w.bounds[c + 1]
         if high - low == 1:
             continue
         part = slice(at[c], at[c + 1])
         hc, place = hs[part], places[part] - low
-        p = hc @ w.to_word[low:high].T
-        p += w.word_bias[low:high]
-        inner[part], sums = _chances(p, place, rows[: len(place)])
+        own = rows[: len(place)]
+        p = hc @ to_word[low:high].T
+        inner[part], sums = _chances(p, place, own, near_words[c])
         if slopes is not None:
-            p /= sums[:, None]
-            p[rows[: len(place)], place] -= 1
-            slopes["to_word"][low:high] = p.T @ hc
-            slopes["word_bias"][low:high] = p.sum(axis=0)
-            back[part] = p @ w.to_word[low:high]
+            p[own, place] -= sums
+            shares = (1 / sums)[:, None]
+            slope_word[low:high] = p.T @ (hc * shares)
+            np.multiply(p @ w.to_word[low:high], shares, out=back[part])
     out[order] += inner
     if slopes is not None:
         slopes["h"][order] += back
+        slopes["to_class"], slopes["class_bias"] = slope_class[:, :hidden].T, slope_class[:, hidden]
+        slopes["to_word"], slopes["word_bias"] = slope_word[:, :hidden], slope_word[:, hidden]
     return out
 
 
-def score(w: Weights, ids: np.ndarray, lengths: np.ndarray, *, lanes: int = 256, window: int = 24) -> np.ndarray:
+def score(w: Weights, ids: np.ndarray, lengths: np.ndarray, *, lanes: int = 512, window: int = 24) -> np.ndarray:
     """The natural log chance of each whole document."""
     sums = np.zeros(len(lengths))
     if not len(lengths):
         return sums
     deal = Lanes(ids, lengths, lanes, len(w.into) - 1)
-    state = np.zeros((len(deal.sizes), w.again.shape[0]), np.float32)
+    state = np.zeros((w.again.shape[0], len(deal.sizes)), np.float32)
     for part in deal.windows(window, lanes * window):
         states = run(w, part, state)
         state = states[-1]
-        h = states.reshape(-1, states.shape[2])
+        h = _by_step(states)
         target, doc = part.target.ravel(), part.doc.ravel()
         live = part.live.ravel()
         if not live.all():
@@ -245,7 +272,7 @@ class Learner:
             return 0
         deal = Lanes(ids, lengths, lanes, len(w.into) - 1)
         hidden = w.again.shape[0]
-        state = np.zeros((len(deal.sizes), hidden), np.float32)
+        state = np.zeros((hidden, len(deal.sizes)), np.float32)
         for part in deal.windows(window):
             n = part.n
             keep: list = []
@@ -253,25 +280,38 @@ class Learner:
             state = states[-1]
             target, live = part.target.ravel(), part.live.ravel()
             slopes: dict = {}
-            outcome(w, states.reshape(-1, hidden)[live], target[live], slopes)
+            outcome(w, _by_step(states)[live], target[live], slopes)
             learned += int(live.sum())
             back = np.zeros((len(target), hidden), np.float32)
             back[live] = slopes["h"] / n
-            back = back.reshape(part.steps, n, hidden)
+            back = np.ascontiguousarray(back.reshape(part.steps, n, hidden).transpose(0, 2, 1))
             into, again, carry = np.empty((part.steps, n, 3 * hidden), np.float32), np.zeros_like(w.again), 0
+            pre = np.empty((3 * hidden, n), np.float32)
+            d_z, d_r, d_again = pre[:hidden], pre[hidden : 2 * hidden], pre[2 * hidden :]
             for k in range(part.steps - 1, -1, -1):
                 before, z, r, new, a = keep[k]
-                d = back[k] + carry
-                d_new = d * (1 - z) * (1 - new * new)
-                d_z = d * (before - new) * z * (1 - z)
-                d_r = d_new * a * r * (1 - r)
-                into[k] = np.concatenate([d_z, d_r, d_new], axis=1)
-                pre = np.concatenate([d_z, d_r, d_new * r], axis=1)
-                again += before.T @ pre
-                carry = d * z + pre @ w.again.T
+                d = back[k]
+                d += carry
+                rest = 1 - z
+                d_new = 1 - new * new
+                d_new *= rest
+                d_new *= d
+                np.subtract(before, new, out=d_z)
+                d_z *= z
+                carry = d * z
+                rest *= d
+                d_z *= rest
+                np.multiply(d_new, r, out=d_again)
+                np.subtract(1, r, out=d_r)
+                d_r *= a
+                d_r *= d_again
+                into[k, :, : 2 * hidden] = pre[: 2 * hidden].T
+                into[k, :, 2 * hidden :] = d_new.T
+                again += before @ pre.T
+                carry += w.again @ pre
                 fresh = part.fresh[k]
                 if fresh.any():
-                    carry[fresh] = 0
+                    carry[:, fresh] = 0
             used = part.input.ravel().astype(np.uint16 if len(w.into) <= 1 << 16 else np.int32)
             order = np.argsort(used, kind="stable")
             firsts = np.flatnonzero(np.append(True, np.diff(used[order]) != 0))
