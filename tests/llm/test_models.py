@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import math
+import pathlib
 import random
 import re
 import string
@@ -343,6 +344,76 @@ def test_neighbours_of_uneven_lengths(spark, lengths):
     assert np.mean(shares) >= 0.9 and min(shares) >= 0.5, (np.mean(shares), min(shares))
 
 
+def clustered(n: int, clusters: int, seed: int = 6) -> np.ndarray:
+    rng = np.random.default_rng(seed)
+    x = rng.standard_normal((clusters, 32))[rng.integers(0, clusters, n)] + 0.15 * rng.standard_normal((n, 32))
+    return (x / np.sqrt((x**2).sum(axis=1))[:, None]).astype(np.float32)
+
+
+def stored(spark) -> int:
+    folder = pathlib.Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    return sum(p.stat().st_size for p in folder.rglob("*") if p.is_file())
+
+
+def test_neighbours_meet_few_and_are_stored_once(spark, monkeypatch):
+    x, chosen = clustered(12_000, 60), []
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "vec_id bigint, embedding array<float>")
+    choose = neighbours._reach
+    monkeypatch.setattr(neighbours, "CALL", 0)  # so few vectors would all be compared
+    monkeypatch.setattr(neighbours, "PAIR", 100)
+    monkeypatch.setattr(neighbours, "_reach", lambda *a: chosen.append(choose(*a)) or chosen[0])
+    before = stored(spark)
+    rows = neighbours.search(df, every=20, k=20).collect()
+    assert stored(spark) - before < 3 * x.nbytes
+    assert len(chosen) == 1 and 0 < chosen[0].visited < 0.4
+    found = collections.defaultdict(set)
+    for r in rows:
+        found[r.query_id].add(r.vec_id)
+    hits = []
+    for q in range(0, len(x), 20):
+        scores = x.astype(float) @ x[q].astype(float)
+        scores[q] = -np.inf
+        assert len(found[q]) == 20
+        hits.append(len(found[q] & set(np.argsort(-scores)[:20].tolist())) / 20)
+    assert np.mean(hits) >= 0.9
+
+
+def test_few_pairs_of_a_part_are_compared(monkeypatch):
+    x = clustered(6_000, 60)
+    functions, pairs = neighbours.Tables(32, 8, 9, 2.0), []
+    reach = neighbours.Reach(functions, 1.0, x[::3])
+    reach.share = 0.02
+    asks = x[::20]
+    limits = reach.limits(asks / np.sqrt((asks**2).sum(axis=1))[:, None])
+    meet = neighbours._Met.meet
+    monkeypatch.setattr(neighbours._Met, "meet", lambda self, near, who, by, v: (pairs.append(len(by) * (len(near) if who is None else len(who))), meet(self, near, who, by, v)))
+    part = neighbours._Part([np.arange(len(x))], [x], 1.0, functions, 21)
+    at, which, scores = part.search(asks, asks, limits, functions, 0.5, 20)
+    assert sum(pairs) < 0.5 * len(x) * len(asks) and min(scores) >= 0.5
+    assert {(i, 20 * i) for i in range(len(asks))} <= set(zip(at.tolist(), part.ids[part.starts[which]].tolist()))
+
+
+def test_queries_below_the_measured_bar_are_compared_with_all(spark):
+    x = clustered(5_000, 1)
+    far = next(k for k in range(0, 5_000, 10) if not neighbours._drawn(np.array([k]), neighbours.MEASURED / 500, 3)[0])
+    x[far] = -x[far]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "vec_id bigint, embedding array<float>")
+    got = [(r.vec_id, r.score) for r in neighbours.search(df, every=10, k=20).filter(F.col("query_id") == far).orderBy("rank").collect()]
+    scores = x.astype(float) @ x[far].astype(float)
+    scores[far] = -np.inf
+    assert [v for v, _ in got] == np.argsort(-scores, kind="stable")[:20].tolist()
+    assert all(abs(s - scores[v]) < 1e-12 for v, s in got)
+
+
+def test_costs_of_cells_follow_the_probes():
+    t = neighbours.Tables(8, 2, 5, 1.0)
+    place = np.array([0.1, 1.9, -0.4, 3.5, 2.2])
+    cells = t.probes(place, 40).astype(np.int64)
+    order = np.random.default_rng(1).permutation(40)
+    costs = neighbours.Cells(cells[order]).costs(place[None])[0][np.argsort(order)]
+    assert costs[0] == 0 and all(b > a - 1e-6 for a, b in zip(costs, costs[1:]))
+
+
 def test_probes_come_in_order_of_success():
     t = neighbours.Tables(8, 2, 5, 1.0)
     place = np.array([0.1, 1.9, -0.4, 3.5, 2.2])
