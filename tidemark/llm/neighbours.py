@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tidemark.llm.ship import ship
 from tidemark.workspace import materialise
 
-PART_BYTES = 128 << 20  # of vectors that a task holds
+PART_BYTES = 96 << 20  # of vectors that a task holds, twice for a moment
 LEAST_PART = 4096  # vectors; fewer aren't split for the sake of parallel tasks
 BLOCK = 32768  # queries handed on at once
 SAMPLE = 4096  # vectors that tell which share of all lies in the cells up to some cost
@@ -386,7 +386,11 @@ class _Part:
     """Vectors that a task holds, one of each equal ones, and the cells of all tables."""
 
     def __init__(self, ids: list[np.ndarray], x: list[np.ndarray], longest: float, tables: Tables | None, most: int):
-        own, x = np.concatenate(ids), np.concatenate(x)
+        """Empties the lists, so that vectors are held twice at most."""
+        own, packs = np.concatenate(ids), x
+        ids.clear()
+        x = np.concatenate(packs)
+        packs.clear()
         order, starts = _alike(own, x, _hashed(x))
         if len(starts) < len(own):
             x = x[order[starts]]
@@ -533,7 +537,6 @@ def _searching(functions: Tables | None, longest: float, bar: float, k: int, dim
                     continue
                 if part is None and ids:
                     part = _Part(ids, x, longest, functions, k + 1)
-                    ids, x = [], []
                 if part is None:
                     continue
                 limits = np.frombuffer(batch.column("limits")[row].as_buffer(), np.float32).reshape(-1, functions.tables) if functions else None
